@@ -1,0 +1,76 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from helpers import plan, rows
+
+from tripflow.operators.align import aligned_union, common_columns, lower_names, rename, union_all
+from tripflow.operators.dedup import keep_first
+
+
+def test_common_columns_keep_the_first_order(spark):
+    left = spark.createDataFrame([(1, 2, 3)], "b int, A int, c int")
+    right = spark.createDataFrame([(1, 2)], "a int, B int")
+    assert common_columns(left, right) == ["b", "A"]
+
+
+def test_aligned_union_does_not_swap_permuted_columns(spark):
+    green = spark.createDataFrame([(1, 10, 7)], "a int, b int, only_green int")
+    yellow = spark.createDataFrame([(20, 2)], "b int, a int")
+    out = aligned_union({"Green": green, "Yellow": yellow})
+    assert out.columns == ["a", "b", "service_type"]
+    assert rows(out) == [(1, 10, "Green"), (2, 20, "Yellow")]
+
+
+def test_union_keeps_duplicates(spark):
+    df = spark.createDataFrame([(1,), (1,)], "a int")
+    assert rows(union_all(df, df)) == [(1,)] * 4
+
+
+def test_filter_on_the_tag_removes_the_other_branch(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    out = aligned_union({"Green": orders, "Yellow": orders}).filter("service_type = 'Green'")
+    assert plan(out).count("Location: InMemoryFileIndex") == 1
+
+
+def test_rename_and_lower_names(spark):
+    df = spark.createDataFrame([(1, 2)], "VendorID int, lpep_pickup_datetime int")
+    out = rename(lower_names(df), {"lpep_pickup_datetime": "pickup_datetime", "absent": "x"})
+    assert out.columns == ["vendorid", "pickup_datetime"]
+
+
+values = st.one_of(st.none(), st.integers(0, 2))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(values, values, values, values), max_size=12))
+def test_keep_first_equals_brute_force(spark, data):
+    df = spark.createDataFrame(data, "k1 int, k2 int, a int, b int").repartition(3)
+    best = {}
+    for row in data:
+        order = tuple((v is None, v or 0) for v in row[2:])
+        if row[:2] not in best or order < best[row[:2]][0]:
+            best[row[:2]] = (order, row)
+    expected = sorted((row for _, row in best.values()), key=repr)
+    assert rows(keep_first(df, ["k1", "k2"])) == expected
+
+
+def test_keep_first_with_named_order_and_without_other_columns(spark):
+    df = spark.createDataFrame([(1, 5, 1), (1, 4, 2)], "k int, a int, b int")
+    assert rows(keep_first(df, ["k"], ["a"])) == [(1, 4, 2)]
+    assert rows(keep_first(df.select("k"), ["k"])) == [(1,)]
+
+
+def test_keep_first_limits_each_task_before_the_shuffle(spark, sf):
+    """A hot key must not send all its rows to one reducer."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    tree = plan(keep_first(lines, ["l_suppkey", "l_shipdate"])).split("\n\n")[0]
+    final, exchange, partial = (
+        tree.index("WindowGroupLimit"),
+        tree.index("Exchange"),
+        tree.rindex("WindowGroupLimit"),
+    )
+    assert final < exchange < partial
+
+
+def test_keep_first_with_hot_keys(spark):
+    hot = spark.range(0, 90_000, 1, 6).selectExpr("id % 3 AS k", "id AS v")
+    assert rows(keep_first(hot, ["k"])) == [(0, 0), (1, 1), (2, 2)]

@@ -1,0 +1,225 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from helpers import plan, rows, ts
+from pyspark.sql import functions as F
+
+from tripflow.operators.quality import QualityError
+from tripflow.plans import jobs, marts
+from tripflow.plans.staging import stage, stage_green, stage_services, stage_yellow
+from tripflow.schemas import TRIP_TYPES, ZONE_SCHEMA
+from tripflow.sources import supplied
+
+GREEN_SCHEMA = """VendorID double, lpep_pickup_datetime timestamp_ntz, lpep_dropoff_datetime timestamp_ntz,
+store_and_fwd_flag string, RatecodeID double, PULocationID int, DOLocationID int,
+passenger_count double, trip_distance double, fare_amount double, extra double, mta_tax double,
+tip_amount double, tolls_amount double, ehail_fee double, improvement_surcharge double,
+total_amount double, payment_type double, trip_type double, congestion_surcharge double"""
+
+
+def green(vendor, minute, fare=10.0, pickup=1, dropoff=2, payment=1.0, passengers=1.0):
+    start = dt.datetime(2020, 1, 1, 10, minute)
+    return (vendor, start, start + dt.timedelta(minutes=9), "N", 1.0, pickup, dropoff, passengers,
+            1.5, fare, 0.5, 0.5, 1.0, 0.0, None, 0.3, fare + 2.3, payment, 2.0, 0.0)
+
+
+def green_frame(spark, *trips):
+    return spark.createDataFrame(list(trips), GREEN_SCHEMA)
+
+
+def yellow_frame(spark, *trips):
+    """Yellow names, permuted columns, and no trip type or hail fee."""
+    df = green_frame(spark, *trips).drop("ehail_fee", "trip_type").withColumnsRenamed(
+        {
+            "lpep_pickup_datetime": "tpep_pickup_datetime",
+            "lpep_dropoff_datetime": "tpep_dropoff_datetime",
+        }
+    )
+    return df.select(*reversed(df.columns))
+
+
+ZONES = [
+    (1, "Queens", "Corona", "Boro Zone"),
+    (2, "Queens", "Corona", "Boro Zone"),
+    (3, "Manhattan", "Harlem", "Yellow Zone"),
+    (264, "Unknown", "NV", "N/A"),
+]
+
+
+def zone_frame(spark):
+    return spark.createDataFrame(ZONES, ZONE_SCHEMA)
+
+
+def test_staging_types_key_and_description(spark):
+    out = stage_green(green_frame(spark, green(2.0, 0, payment=9.0), green(None, 1)))
+    types = {f.name: f.dataType for f in out.schema}
+    assert {n: types[n] for n in TRIP_TYPES} == TRIP_TYPES
+    (row,) = out.collect()
+    assert (row.vendorid, row.trip_type, row.ehail_fee) == (2, 2, None)
+    assert row.fare_amount == Decimal("10.00") and row.trip_distance == Decimal("1.500000")
+    assert row.payment_type_description is None and len(row.tripid) == 32
+
+
+def test_yellow_gets_its_constants_and_is_matched_by_name(spark):
+    row = stage_yellow(yellow_frame(spark, green(1.0, 0, fare=7.25))).first()
+    assert (row.trip_type, row.ehail_fee, row.fare_amount) == (1, Decimal("0.00"), Decimal("7.25"))
+    assert row.payment_type_description == "Credit card"
+
+
+def test_duplicates_are_resolved_per_service_and_do_not_depend_on_partitioning(spark):
+    data = [green(1.0, 0, fare=f) for f in (9.0, 8.0, 12.0)] + [green(1.0, 5)]
+    for parts in (1, 4):
+        g, y = green_frame(spark, *data).repartition(parts), yellow_frame(spark, *data)
+        out = stage_services(g, y)
+        assert rows(out.groupBy("service_type").count()) == [("Green", 2), ("Yellow", 2)]
+        assert {r.fare_amount for r in out.collect()} == {Decimal("8.00"), Decimal("10.00")}
+    assert out.select("tripid").distinct().count() == 2
+
+
+def test_staging_together_equals_staging_apart(spark, sf):
+    g, y = supplied.raw_green(spark, sf), supplied.raw_yellow(spark, sf)
+    together = stage_services(g, y)
+    apart = stage_green(g).withColumn("service_type", F.lit("Green")).unionByName(
+        stage_yellow(y).withColumn("service_type", F.lit("Yellow"))
+    )
+    one_scan = stage(supplied.all_trips(spark, sf))
+    for other in (apart.select(together.columns), one_scan.select(together.columns)):
+        assert together.exceptAll(other).isEmpty() and other.exceptAll(together).isEmpty()
+
+
+def test_sample_rows_is_off_by_default_and_ordered(spark):
+    df = green_frame(spark, *(green(1.0, m) for m in range(10)))
+    assert stage_green(df).count() == 10
+    first = [r.tripid for r in stage_green(df, sample_rows=3).collect()]
+    assert first == sorted(r.tripid for r in stage_green(df).collect())[:3]
+
+
+def test_one_service_of_the_stacked_trips_filters_in_the_scan(spark, sf):
+    text = plan(stage(supplied.all_trips(spark, sf)).filter("service_type = 'Green'"))
+    assert "EqualTo(l_linestatus,F)" in text
+
+
+def test_dim_zones_renames_the_service_zone(spark):
+    assert {r.service_zone for r in marts.dim_zones(zone_frame(spark)).collect()} == {
+        "Green Zone",
+        "Yellow Zone",
+        "N/A",
+    }
+
+
+def test_fact_drops_unknown_and_unmatched_zones(spark):
+    staged = stage(
+        supplied_shape(
+            spark,
+            green(1.0, 0, pickup=1, dropoff=3),
+            green(1.0, 1, pickup=264, dropoff=3),
+            green(1.0, 2, pickup=1, dropoff=99),
+            green(1.0, 3, pickup=None, dropoff=1),
+        )
+    )
+    fact = marts.fact_trips(staged, zone_frame(spark))
+    assert fact.columns == list(marts.FACT_COLUMNS) and len(fact.columns) == 27
+    assert [(r.pickup_zone, r.dropoff_zone) for r in fact.collect()] == [("Corona", "Harlem")]
+
+
+def supplied_shape(spark, *trips):
+    from tripflow.plans.staging import canonical
+    from tripflow.schemas import GREEN
+
+    return canonical(green_frame(spark, *trips), GREEN)
+
+
+def test_mart_by_name_is_coarser_than_by_id(spark):
+    staged = stage(
+        supplied_shape(spark, *(green(1.0, i, pickup=1 + i % 2, dropoff=3) for i in range(4)))
+    )
+    fact = marts.fact_trips(staged, zone_frame(spark))
+    by_name = marts.monthly_zone_revenue(fact)
+    by_id = marts.monthly_revenue_by_zone_id(
+        staged.withColumnRenamed("pickup_locationid", "pulocationid")
+    )
+    assert by_name.count() == 1 and by_id.count() == 2
+    row = by_name.first()
+    assert row.revenue_month == ts("2020-01-01 00:00:00") and row.total_monthly_trips == 4
+    assert row.revenue_monthly_fare == Decimal("40.00") and row.avg_montly_passenger_count == 1.0
+    assert row.revenue_monthly_fare == sum(r.revenue_monthly_fare for r in by_id.collect())
+
+
+def test_monthly_mart_plan(spark, sf):
+    """One scan of the trips, broadcast zones, and only two trip-sized shuffles."""
+    staged = stage(supplied.all_trips(spark, sf))
+    mart = marts.monthly_zone_revenue(
+        marts.fact_trips(staged, marts.dim_zones(supplied.zone_lookup(spark, sf)))
+    )
+    text = plan(mart)
+    assert text.count("lineitem.parquet") == 1
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 2
+    assert text.count("Arguments: hashpartitioning") == 2
+    assert "partial_sum" in text
+
+
+def test_service_union_job_reads_back_one_service_only(spark, tmp_path):
+    green_frame(spark, green(1.0, 0), green(1.0, 0)).write.parquet(f"{tmp_path}/g")
+    yellow_frame(spark, green(2.0, 1)).write.parquet(f"{tmp_path}/y")
+    out = jobs.union_services(
+        spark, [f"{tmp_path}/g"], [f"{tmp_path}/y"], f"{tmp_path}/u", files_out=2
+    )
+    assert rows(out.groupBy("service_type").count()) == [("Green", 2), ("Yellow", 1)]
+    assert "trip_type" not in out.columns
+    assert "PartitionFilters: [isnotnull(service_type" in plan(out.filter("service_type = 'Green'"))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        jobs.union_services(spark, [f"{tmp_path}/g"], [f"{tmp_path}/y"], f"{tmp_path}/u")
+
+
+def test_mart_job_from_files_and_its_report(spark, tmp_path):
+    green_frame(spark, green(1.0, 0), green(1.0, 1, pickup=77, payment=0.0)).write.parquet(
+        f"{tmp_path}/g"
+    )
+    yellow_frame(spark, green(1.0, 0)).write.parquet(f"{tmp_path}/y")
+    zone_frame(spark).write.option("header", True).csv(f"{tmp_path}/zones")
+    built = jobs.build_marts_from_files(
+        spark, [f"{tmp_path}/g"], [f"{tmp_path}/y"], f"{tmp_path}/zones", f"{tmp_path}/out"
+    )
+    assert built.fact.count() == 2 and built.monthly.count() == 2
+    found = {(r.check, r.column_name): (r.severity, r.violations) for r in built.report.collect()}
+    assert found == {
+        ("unique", "service_type+tripid"): ("warn", 0),
+        ("not_null", "tripid"): ("warn", 0),
+        ("relationships", "pickup_locationid"): ("warn", 1),
+        ("relationships", "dropoff_locationid"): ("warn", 0),
+        ("accepted_values", "payment_type"): ("warn", 1),
+        ("not_null", "revenue_monthly_total_amount"): ("error", 0),
+    }
+
+
+def test_mart_job_fails_on_an_error_check(spark, tmp_path):
+    staged = stage(supplied_shape(spark, green(1.0, 0))).withColumn(
+        "total_amount", F.lit(None).cast("decimal(18,2)")
+    )
+    with pytest.raises(QualityError, match="revenue_monthly_total_amount"):
+        jobs.build_marts(staged, zone_frame(spark), str(tmp_path))
+
+
+def test_monthly_report_job_writes_its_result(spark, tmp_path):
+    green_frame(spark, green(1.0, 0), green(1.0, 0)).write.parquet(f"{tmp_path}/g")
+    yellow_frame(spark, green(1.0, 0)).write.parquet(f"{tmp_path}/y")
+    out = jobs.monthly_report(spark, [f"{tmp_path}/g"], [f"{tmp_path}/y"], f"{tmp_path}/r")
+    assert {(r.service_type, r.revenue_monthly_fare) for r in out.collect()} == {
+        ("Green", Decimal("20.00")),
+        ("Yellow", Decimal("10.00")),
+    }
+    assert "revenue_monthly_ehail_fee" not in out.columns
+
+
+def test_command_line_runs_a_job(spark, tmp_path, monkeypatch):
+    import tripflow.__main__ as cli
+
+    green_frame(spark, green(1.0, 0)).write.parquet(f"{tmp_path}/g")
+    yellow_frame(spark, green(1.0, 0)).write.parquet(f"{tmp_path}/y")
+    monkeypatch.setattr(cli, "build_session", lambda *_: spark)
+    cli.main(
+        ["monthly-report", "--input_green", f"{tmp_path}/g", "--input_yellow", f"{tmp_path}/y",
+         "--output", f"{tmp_path}/r"]
+    )
+    assert spark.read.parquet(f"{tmp_path}/r").count() == 2

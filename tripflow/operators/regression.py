@@ -11,10 +11,8 @@ from operator import add
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     SQLTransformer,
-    StringIndexer,
     StringIndexerModel,
     VectorAssembler,
 )
@@ -77,39 +75,85 @@ def feature_info(df: DataFrame, spec: Spec) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-def _preparation(spec: Spec) -> Pipeline:
-    """Casts, mean imputation, category indexes and the feature vector."""
-    casts = ", ".join(f"CAST({c} AS double) AS _raw_{c}" for c in spec.numbers)
-    stages = [
-        SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"),
-        Imputer(
-            inputCols=[f"_raw_{c}" for c in spec.numbers],
-            outputCols=[f"_num_{c}" for c in spec.numbers],
-        ),
+@dataclass(frozen=True)
+class Summary:
+    """Mean of each number, and how often each category value occurs."""
+
+    rows: int
+    means: dict[str, float]
+    frequencies: dict[str, dict[str, int]]
+
+    def by_frequency(self, name: str) -> list[tuple[str, int]]:
+        """Category values and counts, most frequent first, then by value."""
+        return sorted(self.frequencies[name].items(), key=lambda item: (-item[1], item[0]))
+
+
+def summarize(df: DataFrame, spec: Spec) -> Summary:
+    """All that feature preparation has to know about the data, in one pass.
+
+    A NULL or empty category is a missing one. Each row gives one (input, category) pair per input; numbers have no
+    category. The pairs combine before the shuffle, and what reaches the driver
+    is one row per number and per distinct category, bounded by the check.
+    """
+    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    pairs = [
+        F.struct(F.lit(c).alias("input"), no_text.alias("category"), F.col(c).cast("double").alias("x"))
+        for c in spec.numbers
+    ] + [
+        F.struct(F.lit(c).alias("input"), F.col(c).cast("string").alias("category"), no_number.alias("x"))
+        for c in spec.categories
     ]
+    bound = len(spec.numbers) + len(spec.categories) * (MAX_CATEGORIES + 1)
+    found = (
+        df.select(F.inline(F.array(*pairs)))
+        .groupBy("input", "category")
+        .agg(F.count("*").alias("n"), F.avg("x").alias("mean"))
+        .limit(bound + 1)
+        .collect()
+    )
+    means, frequencies, rows = {}, {c: {} for c in spec.categories}, 0
+    for r in found:
+        if r.input in spec.numbers:
+            means[r.input], rows = r.mean, r.n
+        elif r.category:
+            frequencies[r.input][r.category] = r.n
+    wide = [c for c, counts in frequencies.items() if len(counts) > MAX_CATEGORIES]
+    if wide or len(found) > bound:
+        raise ValueError(f"too many categories to one-hot encode: {wide or spec.categories}")
+    empty = [c for c in spec.numbers if means.get(c) is None]
+    if empty:
+        raise ValueError(f"no values to learn from in: {empty}")
+    return Summary(rows, means, frequencies)
+
+
+def _prepare(df: DataFrame, spec: Spec, summary: Summary) -> PipelineModel:
+    """Casts, mean imputation, category indexes and the feature vector.
+
+    Everything comes from the summary, so no stage has to pass over the data.
+    """
+    filled = ", ".join(
+        f"coalesce(CAST({c} AS double), {summary.means[c]!r}D) AS _num_{c}" for c in spec.numbers
+    )
+    stages = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")]
     if spec.categories:
         stages += [
-            StringIndexer(
-                inputCols=list(spec.categories),
-                outputCols=[f"_idx_{c}" for c in spec.categories],
+            StringIndexerModel.from_labels(
+                [value for value, _ in summary.by_frequency(name)],
+                inputCol=name,
+                outputCol=f"_idx_{name}",
                 handleInvalid="keep",
-            ),
+            )
+            for name in spec.categories
+        ]
+        stages.append(
             OneHotEncoder(
                 inputCols=[f"_idx_{c}" for c in spec.categories],
                 outputCols=[f"_hot_{c}" for c in spec.categories],
-            ),
-        ]
+            )
+        )
     inputs = [f"_num_{c}" for c in spec.numbers] + [f"_hot_{c}" for c in spec.categories]
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="_features")])
-
-
-def _check_categories(df: DataFrame, spec: Spec) -> None:
-    if not spec.categories:
-        return
-    widths = df.agg(*(F.approx_count_distinct(c).alias(c) for c in spec.categories)).first()
-    wide = {c: widths[c] for c in spec.categories if widths[c] > MAX_CATEGORIES}
-    if wide:
-        raise ValueError(f"too many categories to one-hot encode: {wide}")
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="_features"))
+    return Pipeline(stages=stages).fit(df)
 
 
 def _estimator(spec: Spec, l1: float = 0.0, l2: float = 0.0) -> LinearRegression:
@@ -148,7 +192,7 @@ class TrainedModel:
         with the training mean, so baseline plus all of them is the prediction.
         """
         prepared = self.pipeline.transform(df)
-        parts = _contributions(self.spec, self.pipeline)
+        parts = _contributions(self.spec, self.pipeline, self.pipeline.stages[-1])
         ranked = F.array_sort(
             F.array(
                 *(
@@ -190,25 +234,32 @@ def load(spark: SparkSession, path: str) -> TrainedModel:
     return TrainedModel(spec, PipelineModel.load(f"{path}/pipeline"), row.means, row.baseline)
 
 
-def _contributions(spec: Spec, pipeline: PipelineModel, regression=None) -> dict[str, Column]:
+def _weights(spec: Spec, pipeline: PipelineModel, regression) -> dict[str, list[float]]:
+    """Coefficients per source column: one for a number, one per category label."""
+    weights = [float(w) for w in regression.coefficients]
+    indexers = [s for s in pipeline.stages if isinstance(s, StringIndexerModel)]
+    widths = [1] * len(spec.numbers) + [len(v) for s in indexers for v in s.labelsArray]
+    blocks, start = {}, 0
+    for name, width in zip(spec.inputs, widths, strict=True):
+        blocks[name] = weights[start : start + width]
+        start += width
+    return blocks
+
+
+def _contributions(spec: Spec, pipeline: PipelineModel, regression) -> dict[str, Column]:
     """What each source column adds to a prediction, over prepared rows.
 
     A category's weight is looked up by its index in a constant array, so the
     feature vector is never unpacked. The index past the end is the bucket of
     unseen categories, which weighs nothing.
     """
-    weights = [float(w) for w in (regression or pipeline.stages[-1]).coefficients]
-    parts = {
-        name: F.col(f"_num_{name}") * F.lit(weights[i]) for i, name in enumerate(spec.numbers)
-    }
-    indexers = [s for s in pipeline.stages if isinstance(s, StringIndexerModel)]
-    widths = [len(labels) for s in indexers for labels in s.labelsArray]
-    start = len(spec.numbers)
-    for name, width in zip(spec.categories, widths, strict=True):
-        block = F.array(*map(F.lit, weights[start : start + width]))
-        index = F.col(f"_idx_{name}").cast("int")
-        parts[name] = F.coalesce(F.get(block, index), F.lit(0.0))
-        start += width
+    parts = {}
+    for name, block in _weights(spec, pipeline, regression).items():
+        if name in spec.numbers:
+            parts[name] = F.col(f"_num_{name}") * F.lit(block[0])
+        else:
+            index = F.col(f"_idx_{name}").cast("int")
+            parts[name] = F.coalesce(F.get(F.array(*map(F.lit, block)), index), F.lit(0.0))
     return parts
 
 
@@ -217,22 +268,29 @@ def _prediction(spec: Spec, pipeline: PipelineModel, regression) -> Column:
     return reduce(add, parts.values(), F.lit(float(regression.intercept)))
 
 
+def _finish(spec: Spec, summary: Summary, preparation: PipelineModel, regression) -> TrainedModel:
+    pipeline = PipelineModel(stages=[*preparation.stages, regression])
+    blocks = _weights(spec, pipeline, regression)
+    means = {c: blocks[c][0] * summary.means[c] for c in spec.numbers}
+    for name in spec.categories:
+        counts = summary.by_frequency(name)
+        total = sum(w * n for w, (_, n) in zip(blocks[name], counts, strict=True))
+        means[name] = total / summary.rows
+    baseline = float(regression.intercept) + sum(means.values())
+    return TrainedModel(spec, pipeline, means, baseline)
+
+
 def train(df: DataFrame, spec: Spec, l1: float = 0.0, l2: float = 0.0) -> TrainedModel:
-    """Fit on the rows that have a label.
+    """Fit on the rows that have a label: one pass to summarize, one to solve.
 
-    The default solver needs a single pass: each task reduces its rows to the
-    normal equations, whose size depends on the features and not on the rows.
+    The default solver has each task reduce its rows to the normal equations,
+    whose size depends on the features and not on the rows.
     """
     labelled = df.filter(F.col(spec.label).isNotNull())
-    _check_categories(labelled, spec)
-    preparation = _preparation(spec).fit(labelled)
-    prepared = preparation.transform(labelled)
-    regression = _estimator(spec, l1, l2).fit(prepared)
-    pipeline = PipelineModel(stages=[*preparation.stages, regression])
-    parts = _contributions(spec, pipeline)
-    means = prepared.agg(*(F.avg(part).alias(name) for name, part in parts.items())).first()
-    baseline = float(regression.intercept) + sum(means)
-    return TrainedModel(spec, pipeline, means.asDict(), baseline)
+    summary = summarize(labelled, spec)
+    preparation = _prepare(labelled, spec, summary)
+    regression = _estimator(spec, l1, l2).fit(preparation.transform(labelled))
+    return _finish(spec, summary, preparation, regression)
 
 
 def _metrics(label: Column, predicted: Column, suffix: str = "") -> list[Column]:
@@ -271,8 +329,8 @@ def tune(
     draw = random.Random(seed)
     penalties = [(draw.uniform(*l1_range), draw.choice(l2_candidates)) for _ in range(trials)]
     labelled = train_rows.filter(F.col(spec.label).isNotNull())
-    _check_categories(labelled, spec)
-    preparation = _preparation(spec).fit(labelled)
+    summary = summarize(labelled, spec)
+    preparation = _prepare(labelled, spec, summary)
     prepared = preparation.transform(labelled)
     with ThreadPool(parallel) as pool:
         fitted = pool.map(lambda p: _estimator(spec, *p).fit(prepared), penalties, chunksize=1)
@@ -291,14 +349,8 @@ def tune(
         for i, (l1, l2) in enumerate(penalties)
     ]
     best = min(report, key=lambda r: r[3])[0]
-    pipeline = PipelineModel(stages=[*preparation.stages, fitted[best]])
-    parts = _contributions(spec, pipeline)
-    means = prepared.agg(*(F.avg(part).alias(name) for name, part in parts.items())).first()
-    model = TrainedModel(
-        spec, pipeline, means.asDict(), float(fitted[best].intercept) + sum(means)
-    )
     table = train_rows.sparkSession.createDataFrame(
         [(*row, row[0] == best) for row in report],
         "trial int, l1_reg double, l2_reg double, rmse double, r2_score double, is_best boolean",
     )
-    return model, table
+    return _finish(spec, summary, preparation, fitted[best]), table

@@ -17,7 +17,8 @@ from tripflow.schemas import (
     ServiceLayout,
 )
 
-DEDUP_KEYS = ("service_type", "vendorid", "pickup_datetime")
+# The most selective key leads: sorting compares it first.
+DEDUP_KEYS = ("pickup_datetime", "vendorid", "service_type")
 
 
 def canonical(raw: DataFrame, layout: ServiceLayout) -> DataFrame:

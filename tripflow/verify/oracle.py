@@ -286,8 +286,8 @@ SELECT DISTINCT l_suppkey AS vendorid FROM lineitem WHERE {_dates(MONTH)}""",
     "vendor_trip_count_in_range": f"""
 SELECT count(*) AS trips FROM lineitem WHERE {_dates(NINETEEN_MONTHS)} AND l_suppkey = {VENDOR}""",
     "partition_row_counts": """
-SELECT strftime(l_shipdate, '%Y-%m-%d') AS partition_id, count(*) AS total_rows
-FROM lineitem GROUP BY ALL""",
+SELECT strftime(ts, '%Y-%m-%d') AS partition_id, count(*) AS total_rows
+FROM events GROUP BY ALL""",
     "external_to_dated_job": "SELECT * FROM events",
     "external_csv_view": f"""WITH {ZONES}
 SELECT * FROM zones UNION ALL SELECT * FROM zones""",

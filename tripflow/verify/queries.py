@@ -205,41 +205,49 @@ def ordered_preview(spark, d):
 # Tables: external, dated, clustered, seed
 
 
-def _dated(spark, d, cluster_by=()) -> tables.DatedTable:
+def _by_month(spark, d, cluster_by=()) -> tables.DatedTable:
     trips = supplied.table(spark, d, "lineitem").selectExpr(
         "l_suppkey AS vendorid", "l_shipdate AS pickup_datetime", "l_quantity AS trip_distance"
     )
-    name = fresh_name("trips_dated")
-    path = fresh_dir(spark, "trips-dated")
-    return tables.create_dated_table(trips, name, "pickup_datetime", cluster_by, path)
+    return tables.create_dated_table(
+        trips,
+        fresh_name("trips_dated"),
+        "pickup_datetime",
+        cluster_by,
+        fresh_dir(spark, "trips-dated"),
+        grain="month",
+    )
+
+
+def _events_by_day(spark, d) -> tables.DatedTable:
+    """External table over files, dated table from it, external table dropped."""
+    return jobs.load_dated(
+        spark,
+        f"{d.rstrip('/')}/events.parquet",
+        fresh_name("events_dated"),
+        "ts",
+        ("user_id",),
+        fresh_dir(spark, "events-dated"),
+    )
 
 
 def distinct_vendors_in_range(spark, d):
-    rows = _dated(spark, d).between(spark, *MONTH)
+    rows = _by_month(spark, d).between(spark, *MONTH)
     return rows.select("vendorid").distinct()
 
 
 def vendor_trip_count_in_range(spark, d):
-    rows = _dated(spark, d, ("vendorid",)).between(spark, *NINETEEN_MONTHS)
+    rows = _by_month(spark, d, ("vendorid",)).between(spark, *NINETEEN_MONTHS)
     return rows.filter(F.col("vendorid") == VENDOR).agg(F.count("*").alias("trips"))
 
 
 def partition_row_counts(spark, d):
-    counts = _dated(spark, d).partition_counts(spark)
+    counts = _events_by_day(spark, d).partition_counts(spark)
     return counts.orderBy(F.desc("total_rows"), "partition_id")
 
 
 def external_to_dated_job(spark, d):
-    """External table over files, dated table from it, external table dropped."""
-    dated = jobs.load_dated(
-        spark,
-        f"{d.rstrip('/')}/events.parquet",
-        fresh_name("events_dated"),
-        "ts",
-        ("user_id",),
-        fresh_dir(spark, "events-dated"),
-    )
-    return dated.read(spark)
+    return _events_by_day(spark, d).read(spark)
 
 
 def external_csv_view(spark, d):
