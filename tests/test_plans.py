@@ -95,9 +95,11 @@ def test_sample_rows_is_off_by_default_and_ordered(spark):
     assert first == sorted(r.tripid for r in stage_green(df).collect())[:3]
 
 
-def test_one_service_of_the_stacked_trips_filters_in_the_scan(spark, sf):
+def test_a_service_filter_passes_below_the_dedup(spark, sf):
     text = plan(stage(supplied.all_trips(spark, sf)).filter("service_type = 'Green'"))
-    assert "EqualTo(l_linestatus,F)" in text
+    conditions = [line for line in text.splitlines() if line.startswith("Condition")]
+    assert any("l_linestatus" in c and "isnotnull(l_suppkey" in c for c in conditions)
+    assert "EqualTo(l_linestatus,F)" in plan(stage_green(supplied.raw_green(spark, sf)))
 
 
 def test_dim_zones_renames_the_service_zone(spark):

@@ -1,0 +1,78 @@
+import pytest
+from helpers import plan, rows
+
+from tripflow.operators.quality import (
+    ERROR,
+    WARN,
+    QualityError,
+    accepted_values,
+    column_profile,
+    duplicate_keys,
+    enforce,
+    not_null,
+    quality_report,
+    relationships,
+    unique,
+)
+
+
+def frame(spark):
+    return spark.createDataFrame(
+        [(1, 1, "x"), (1, 7, "x"), (2, None, None), (None, 7, None), (None, 3, "y")],
+        "id int, code int, t string",
+    )
+
+
+def test_report_counts_each_kind(spark):
+    parent = spark.createDataFrame([(1,), (3,)], "p int")
+    report = quality_report(
+        frame(spark),
+        [
+            unique("id", severity=WARN),
+            unique("id", "t", severity=WARN),
+            not_null("id"),
+            accepted_values("code", [1, 3], severity=WARN),
+            relationships("code", parent, "p", severity=WARN),
+        ],
+    )
+    assert report.columns == ["check", "column_name", "severity", "violations"]
+    assert {(r[0], r[1]): (r[2], r[3]) for r in report.collect()} == {
+        ("unique", "id"): ("warn", 1),
+        ("unique", "id+t"): ("warn", 1),
+        ("not_null", "id"): ("error", 2),
+        ("accepted_values", "code"): ("warn", 2),
+        ("relationships", "code"): ("warn", 2),
+    }
+
+
+def test_clean_and_empty_frames_report_zero(spark):
+    empty = frame(spark).filter("false")
+    checks = [unique("id"), not_null("id"), accepted_values("code", [1]), relationships("code", empty, "code")]
+    report = quality_report(empty, checks)
+    assert [r.violations for r in report.collect()] == [0, 0, 0, 0]
+    assert enforce(report) is report
+
+
+def test_severity_default_is_error_and_only_errors_raise(spark):
+    assert unique("id").severity == ERROR
+    warned = quality_report(frame(spark), [not_null("id", severity=WARN)])
+    assert enforce(warned).first().violations == 2
+    with pytest.raises(QualityError, match=r"not_null\(id\): 2"):
+        enforce(quality_report(frame(spark), [not_null("id")]))
+
+
+def test_row_checks_share_a_scan(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    checks = [not_null("o_orderkey"), not_null("o_custkey"), accepted_values("o_orderstatus", ["O"])]
+    text = plan(quality_report(orders, checks))
+    assert text.count("Location: InMemoryFileIndex") == 1
+    assert "o_totalprice" not in text
+
+
+def test_duplicate_keys_leave_nulls_out(spark):
+    assert rows(duplicate_keys(frame(spark), "id")) == [(1, 2)]
+
+
+def test_profile_counts_in_one_pass(spark):
+    got = rows(column_profile(frame(spark)))
+    assert set(got) == {("id", "int", 3, 5), ("code", "int", 4, 5), ("t", "string", 3, 5)}

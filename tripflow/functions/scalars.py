@@ -36,7 +36,7 @@ def surrogate_key(*cols: str) -> Column:
     return F.md5(F.concat_ws("-", *parts))
 
 
-def code_description(code: Column | str, descriptions: dict[int, str]) -> Column:
+def code_description(code: Column | str, descriptions: dict) -> Column:
     """Text of a code, NULL for codes without one."""
     code = F.col(code) if isinstance(code, str) else code
     first, *rest = descriptions.items()

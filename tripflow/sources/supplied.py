@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions import code_description
 from tripflow.schemas import GREEN, YELLOW, ServiceLayout
 
 # Raw column -> Spark expression over lineitem.
@@ -41,9 +42,7 @@ RAW_TRIP = {
 SERVICE = "CASE WHEN l_linestatus = 'F' THEN 'Green' ELSE 'Yellow' END"
 
 # Event types that play the two services of the hourly reports.
-EVENT_SERVICE = (
-    "CASE WHEN event_type = 'click' THEN 'Green' WHEN event_type = 'view' THEN 'Yellow' END"
-)
+EVENT_SERVICES = {"click": GREEN.service, "view": YELLOW.service}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -102,10 +101,15 @@ def zone_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as trips with real clock times, for the hourly reports."""
-    return table(spark, folder, "events").selectExpr(
-        "ts AS pickup_datetime",
-        "cast(user_id % 26 AS int) AS pulocationid",
-        "cast(value AS decimal(18,2)) AS total_amount",
-        f"{EVENT_SERVICE} AS service_type",
+    """Events as trips with real clock times, for the hourly reports.
+
+    Only the two event types that play a service are trips; naming them lets
+    the scan filter by type.
+    """
+    events = table(spark, folder, "events").filter(F.col("event_type").isin(list(EVENT_SERVICES)))
+    return events.select(
+        F.col("ts").alias("pickup_datetime"),
+        F.expr("cast(user_id % 26 AS int)").alias("pulocationid"),
+        F.col("value").cast("decimal(18,2)").alias("total_amount"),
+        code_description("event_type", EVENT_SERVICES).alias("service_type"),
     )
