@@ -1,13 +1,17 @@
 from decimal import Decimal
 
 from helpers import plan, rows, ts
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripflow.operators.aggregates import (
+    exact_sum,
     group_count,
     group_mean,
     hourly_service_columns,
     revenue_by_hour,
+    total_money,
 )
 from tripflow.operators.joins import (
     broadcast_if_small,
@@ -142,3 +146,28 @@ def test_outer_merge_of_aggregates_adds_no_shuffle(spark, sf):
 def test_hourly_service_columns_ignores_other_services(spark):
     got = rows(hourly_service_columns(trips(spark), "pulocationid", "total_amount", ["Green"]))
     assert len(got) == 4
+
+
+def test_exact_sum_of_each_kind(spark):
+    df = spark.createDataFrame(
+        [("a", 0.1, Decimal("0.10"), 7, Decimal(10) ** 20)] * 3
+        + [("a", -5.25, Decimal("-5.25"), -(2**40), Decimal(1)), ("b", None, None, None, None)],
+        "k string, x double, m decimal(18,2), n long, big decimal(30,0)",
+    )
+    got = df.groupBy("k").agg(*(exact_sum(df, c).alias(c) for c in ("x", "m", "n", "big")))
+    (a, b) = sorted(got.collect())
+    assert (a.x, a.m) == (Decimal("-4.950000"), Decimal("-4.95"))
+    assert (a.n, a.big) == (21 - 2**40, 3 * 10**20 + 1)
+    assert (b.x, b.m, b.n, b.big) == (None,) * 4
+
+
+def test_exact_sum_does_not_overflow_a_long(spark):
+    df = spark.createDataFrame([(2**62,)] * 8, "n long")
+    assert df.agg(exact_sum(df, "n")).first()[0] == 2**65
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(-(10**12), 10**12), min_size=1, max_size=20))
+def test_exact_sum_equals_integer_arithmetic_for_cents(spark, cents):
+    df = spark.createDataFrame([(c / 100,) for c in cents], "x double").repartition(4)
+    assert df.agg(total_money(df, "x")).first()[0] == Decimal(sum(cents)) / 100

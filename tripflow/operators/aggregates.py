@@ -3,17 +3,53 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.functions import truncate
 from tripflow.schemas import REVENUE_MEASURES
 
+# Binary fractions are summed in millionths.
+FRACTION_DIGITS = 6
+# Longs are summed in two parts, split at this bit, so no total can overflow.
+SPLIT = 20
 
-def mean(column: str) -> Column:
+
+def exact_sum(df: DataFrame, name: str) -> Column:
+    """Sum that is exact and does not depend on the order of rows.
+
+    Doubles added in another order give another total, and decimal addition
+    costs many times a long's. So values are counted in whole units of their
+    smallest digit (doubles: millionths) and added as longs, in a high and a
+    low part. The result is a decimal, built once per group.
+    """
+    kind, value = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.IntegralType):
+        digits, units = 0, value.cast("long")
+    elif isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        digits, units = kind.scale, (value * F.lit(10**kind.scale)).cast("long")
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        digits = FRACTION_DIGITS
+        units = F.rint(value * float(10**digits)).cast("long")
+    else:
+        return F.sum(value)
+    high = F.sum(F.shiftright(units, SPLIT)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit(2**SPLIT - 1))).cast("decimal(20,0)")
+    total = high * F.lit(2**SPLIT).cast("decimal(7,0)") + low
+    return total * F.lit(Decimal(1).scaleb(-digits)) if digits else total
+
+
+def total_money(df: DataFrame, name: str) -> Column:
+    """Exact sum in cents; only the total is rounded, never an addend."""
+    return exact_sum(df, name).cast("decimal(28,2)")
+
+
+def mean(df: DataFrame, name: str) -> Column:
     """Average as a double from an exact sum; NULL for a group without values."""
-    return F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))
+    return exact_sum(df, name).cast("double") / F.nullif(F.count(name), F.lit(0))
 
 
 def group_count(df: DataFrame, *keys: str) -> DataFrame:
@@ -21,7 +57,7 @@ def group_count(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def group_mean(df: DataFrame, column: str, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(mean(column).alias(f"avg_{column}"))
+    return df.groupBy(*keys).agg(mean(df, column).alias(f"avg_{column}"))
 
 
 def revenue_by_month(
@@ -34,7 +70,7 @@ def revenue_by_month(
 
     The report's column names, spelling included, are what its readers select.
     """
-    totals = [F.sum(m).alias(f"revenue_monthly_{REVENUE_MEASURES[m]}") for m in measures]
+    totals = [total_money(trips, m).alias(f"revenue_monthly_{REVENUE_MEASURES[m]}") for m in measures]
     counts = [F.count(count).alias("total_monthly_trips")] if count else []
     return trips.groupBy(
         F.col(zone).alias("revenue_zone"),
@@ -43,8 +79,8 @@ def revenue_by_month(
     ).agg(
         *totals,
         *counts,
-        mean("passenger_count").alias("avg_montly_passenger_count"),
-        mean("trip_distance").alias("avg_montly_trip_distance"),
+        mean(trips, "passenger_count").alias("avg_montly_passenger_count"),
+        mean(trips, "trip_distance").alias("avg_montly_trip_distance"),
     )
 
 
@@ -54,7 +90,7 @@ def revenue_by_hour(
     """Hourly revenue and record count per zone. NULL amounts add nothing."""
     return trips.groupBy(
         truncate("hour", ts).alias("hour"), F.col(zone).alias("zone")
-    ).agg(F.sum(amount).alias("amount"), F.count("*").alias("number_records"))
+    ).agg(total_money(trips, amount).alias("amount"), F.count("*").alias("number_records"))
 
 
 def hourly_service_columns(
@@ -72,17 +108,21 @@ def hourly_service_columns(
     keys, so rows with one are also grouped by their service.
     """
     hour = truncate("hour", ts)
+    services = list(services)
+    trips = trips.withColumns(
+        {f"_amount_{n}": F.when(F.col(service) == n, F.col(amount)) for n in services}
+    )
     apart = F.when(F.col(zone).isNull() | hour.isNull(), F.col(service))
     pairs = []
     for name in services:
         mine = F.col(service) == name
         suffix = name.lower()
         pairs += [
-            F.sum(F.when(mine, F.col(amount))).alias(f"revenue_hourly_total_amount_{suffix}"),
+            total_money(trips, f"_amount_{name}").alias(f"revenue_hourly_total_amount_{suffix}"),
             F.nullif(F.count_if(mine), F.lit(0)).alias(f"number_records_{suffix}"),
         ]
     return (
-        trips.filter(F.col(service).isin(list(services)))
+        trips.filter(F.col(service).isin(services))
         .groupBy(F.col(zone).alias("revenue_zone"), hour.alias("revenue_hour"), apart.alias("_apart"))
         .agg(*pairs)
         .drop("_apart")

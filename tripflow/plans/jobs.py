@@ -6,10 +6,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions import as_type
 from tripflow.operators import regression
 from tripflow.operators.align import aligned_union, lower_names, rename
 from tripflow.operators.quality import enforce, quality_report
@@ -17,7 +15,7 @@ from tripflow.plans import marts
 from tripflow.plans.checks import mart_checks, service_checks
 from tripflow.plans.staging import stage_services
 from tripflow.plans.tip_model import TIP_SPEC, tip_features
-from tripflow.schemas import GREEN, MESSAGE_SCHEMA, TRIP_TYPES, YELLOW, ZONE_SCHEMA, ServiceLayout
+from tripflow.schemas import GREEN, MESSAGE_SCHEMA, YELLOW, ZONE_SCHEMA, ServiceLayout
 from tripflow.session import fresh_dir
 from tripflow.sources import files, relational, tables
 from tripflow.streaming import messages
@@ -81,17 +79,6 @@ def union_services(
     return spark.read.parquet(output)
 
 
-def typed_for_report(trips: DataFrame) -> DataFrame:
-    """Stacked raw trips with the report's columns in their exact types."""
-    sources = {f.name: f.dataType for f in trips.schema.fields}
-    wanted = ["pickup_datetime", "passenger_count", "trip_distance", *marts.SHARED_MEASURES]
-    return trips.select(
-        "service_type",
-        "pulocationid",
-        *(as_type(F.col(n), sources[n], TRIP_TYPES[n]).alias(n) for n in wanted),
-    )
-
-
 def monthly_report(
     spark: SparkSession,
     input_green: list[str],
@@ -103,7 +90,7 @@ def monthly_report(
     trips = service_union(
         files.read_parquet(spark, *input_green), files.read_parquet(spark, *input_yellow)
     )
-    report = marts.monthly_revenue_by_zone_id(typed_for_report(trips))
+    report = marts.monthly_revenue_by_zone_id(trips)
     files.write_parquet(report, output, mode)
     return spark.read.parquet(output)
 

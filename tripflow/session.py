@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 # the initial count only bounds how far it can coalesce or split.
 BASE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Casts that do not fit and sums that overflow raise instead of giving NULL.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -46,8 +48,8 @@ def build_session(
 
 def pin_runtime_settings(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to a session somebody else built."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.adaptive.enabled"):
+        spark.conf.set(key, BASE_SETTINGS[key])
     return spark
 
 

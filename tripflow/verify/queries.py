@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tripflow.functions import hours, surrogate_key
 from tripflow.operators import regression
-from tripflow.operators.aggregates import group_count, group_mean
+from tripflow.operators.aggregates import exact_sum, group_count, group_mean, total_money
 from tripflow.operators.dedup import keep_first
 from tripflow.operators.joins import without_parent
 from tripflow.operators.quality import column_profile, duplicate_keys, quality_report, unique
@@ -117,7 +117,7 @@ def monthly_zone_revenue(spark, d):
 
 
 def monthly_revenue_by_zone_id(spark, d):
-    return marts.monthly_revenue_by_zone_id(jobs.typed_for_report(supplied.all_trips(spark, d)))
+    return marts.monthly_revenue_by_zone_id(supplied.all_trips(spark, d))
 
 
 # Alignment, grouped reports, hourly merge
@@ -133,10 +133,7 @@ def service_counts(spark, d):
 
 
 def avg_distance_by_service(spark, d):
-    trips = supplied.all_trips(spark, d).select(
-        "service_type", F.col("trip_distance").cast("decimal(18,6)").alias("trip_distance")
-    )
-    return group_mean(trips, "trip_distance", "service_type")
+    return group_mean(supplied.all_trips(spark, d), "trip_distance", "service_type")
 
 
 def hourly_revenue_green(spark, d):
@@ -284,7 +281,7 @@ def drifting_months(spark, d):
     }
     months = files.read_drifting_parquet(spark, paths, types)
     return months.groupBy("passenger_count").agg(
-        F.count("*").alias("trips"), F.sum("fare_amount").alias("fare_amount")
+        F.count("*").alias("trips"), total_money(months, "fare_amount").alias("fare_amount")
     )
 
 
@@ -311,7 +308,7 @@ def zone_distances_job(spark, d):
         supplied.all_trips(spark, d), supplied.zone_lookup(spark, d), fresh_dir(spark, "distances")
     )
     return stored.groupBy("pickup_zone", "dropoff_zone").agg(
-        F.count("*").alias("trips"), F.sum(F.col("trip_distance").cast("decimal(18,6)")).alias("distance")
+        F.count("*").alias("trips"), exact_sum(stored, "trip_distance").alias("distance")
     )
 
 
