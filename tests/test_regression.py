@@ -77,6 +77,12 @@ def test_split_is_repeatable_disjoint_and_near_80_20(data):
     assert train.count() + held_out.count() == 300 and 0.7 < len(ids) / 300 < 0.9
 
 
+def test_stored_split_equals_the_lazy_one(data, tmp_path):
+    lazy, stored = regression.split_train(data, "id"), regression.store_split(data, f"{tmp_path}/s", "id")
+    for a, b in zip(lazy, stored):
+        assert rows(a) == rows(b.select(a.columns))
+
+
 def test_rows_that_share_a_key_stay_together(spark):
     df = spark.range(200).selectExpr("id % 20 AS k", "id AS v")
     train, held_out = regression.split_train(df, "k")

@@ -41,15 +41,28 @@ class Spec:
         return (*self.numbers, *self.categories)
 
 
-def split_train(df: DataFrame, *key: str) -> tuple[DataFrame, DataFrame]:
-    """Train and hold-out rows by a hash of the key: 80 to 20.
+def in_train(*key: str) -> Column:
+    """Whether a row belongs to the training part, by a hash of its key: 80 to 20.
 
     The same row lands on the same side whatever the partitioning, and rows
     that share a key never end up on both sides.
     """
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key or df.columns]
-    in_train = F.substring(F.md5(F.concat_ws("-", *parts)), 1, 2) < TRAIN_BELOW
-    return df.filter(in_train), df.filter(~in_train)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]
+    return F.substring(F.md5(F.concat_ws("-", *parts)), 1, 2) < TRAIN_BELOW
+
+
+def split_train(df: DataFrame, *key: str) -> tuple[DataFrame, DataFrame]:
+    """Training and held-out rows; without a key all columns are the key."""
+    flag = in_train(*(key or df.columns))
+    return df.filter(flag), df.filter(~flag)
+
+
+def store_split(df: DataFrame, path: str, *key: str) -> tuple[DataFrame, DataFrame]:
+    """The same split, stored: one folder per part, so no pass hashes again."""
+    flagged = df.withColumn("in_train", in_train(*(key or df.columns)))
+    flagged.write.partitionBy("in_train").parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    return tuple(stored.filter(F.col("in_train") == f).drop("in_train") for f in (True, False))
 
 
 def feature_info(df: DataFrame, spec: Spec) -> DataFrame:

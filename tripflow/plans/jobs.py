@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tripflow.operators import regression
-from tripflow.operators.align import aligned_union, lower_names, rename
+from tripflow.operators.align import aligned_union, lower_names, rename, union_all
 from tripflow.operators.quality import enforce, quality_report
 from tripflow.plans import marts
 from tripflow.plans.checks import mart_checks, service_checks
@@ -175,25 +175,32 @@ def build_marts_from_files(
 @dataclass(frozen=True)
 class TipModelRun:
     model: regression.TrainedModel
-    features: DataFrame
     train: DataFrame
     held_out: DataFrame
 
+    @property
+    def features(self) -> DataFrame:
+        return union_all(self.train, self.held_out)
 
-def tip_model(
-    trips: DataFrame, split_on: dict[str, T.DataType], spec: regression.Spec = TIP_SPEC
-) -> TipModelRun:
-    """Store the feature table, split it by the row key and train.
 
-    Fitting passes over the rows several times; the stored table saves
+def stored_tip_features(
+    trips: DataFrame, split_on: dict[str, T.DataType]
+) -> tuple[DataFrame, DataFrame]:
+    """Training and held-out features, stored.
+
+    Fitting and scoring pass over the rows several times; the stored table saves
     recomputing the features and survives a lost executor.
     """
-    spark = trips.sparkSession
-    path = fresh_dir(spark, "tip-features")
-    files.write_parquet(tip_features(trips, keep=split_on), path)
-    features = spark.read.parquet(path)
-    train, held_out = regression.split_train(features, *split_on)
-    return TipModelRun(regression.train(train, spec), features, train, held_out)
+    path = fresh_dir(trips.sparkSession, "tip-features")
+    return regression.store_split(tip_features(trips, keep=split_on), path, *split_on)
+
+
+def tip_model(
+    trips: DataFrame, split_on: dict[str, T.DataType], spec: regression.Spec = TIP_SPEC
+) -> TipModelRun:
+    """Store the feature table, split it by the row key and train."""
+    train, held_out = stored_tip_features(trips, split_on)
+    return TipModelRun(regression.train(train, spec), train, held_out)
 
 
 def consume(

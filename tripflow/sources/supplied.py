@@ -28,10 +28,7 @@ RAW_TRIP = {
     "fare_amount": "l_extendedprice",
     "extra": "l_discount * 10",
     "mta_tax": "0.5D",
-    "tip_amount": (
-        "cast(cast(l_extendedprice AS decimal(18,2)) * cast(l_discount AS decimal(4,2))"
-        " AS decimal(18,2))"
-    ),
+    "tip_amount": "floor(l_extendedprice) * l_discount",
     "tolls_amount": "l_tax * 100",
     "ehail_fee": "l_tax * 10",
     "improvement_surcharge": "0.3D",
@@ -110,6 +107,6 @@ def event_trips(spark: SparkSession, folder: str) -> DataFrame:
     return events.select(
         F.col("ts").alias("pickup_datetime"),
         F.expr("cast(user_id % 26 AS int)").alias("pulocationid"),
-        F.col("value").cast("decimal(18,2)").alias("total_amount"),
+        F.col("value").alias("total_amount"),
         code_description("event_type", EVENT_SERVICES).alias("service_type"),
     )

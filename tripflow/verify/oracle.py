@@ -24,8 +24,7 @@ RAW = """raw AS (
     l_extendedprice AS fare_amount,
     l_discount * 10 AS extra,
     CAST(0.5 AS DOUBLE) AS mta_tax,
-    CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))
-      AS DECIMAL(18,2)) AS tip_amount,
+    floor(l_extendedprice) * l_discount AS tip_amount,
     l_tax * 100 AS tolls_amount,
     CASE WHEN l_linestatus = 'F' THEN l_tax * 10 ELSE 0 END AS ehail_fee,
     CAST(0.3 AS DOUBLE) AS improvement_surcharge,
@@ -157,7 +156,7 @@ FEATURES = """features AS (
   SELECT CAST(passenger_count AS BIGINT) AS passenger_count, trip_distance,
     CAST(pulocationid AS VARCHAR) AS pulocationid, CAST(dolocationid AS VARCHAR) AS dolocationid,
     CAST(payment_type AS VARCHAR) AS payment_type, fare_amount, tolls_amount,
-    CAST(tip_amount AS DOUBLE) AS tip_amount, vendorid, pickup_datetime
+    tip_amount, vendorid, pickup_datetime
   FROM raw WHERE fare_amount <> 0)"""
 
 # Ordinary least squares with one feature has a closed form.
@@ -245,8 +244,7 @@ SELECT service_type, staged, kept, staged - kept AS dropped FROM a JOIN b USING
     "monthly_revenue_by_zone_id": MONTHLY_BY_ID,
     "monthly_report_job": MONTHLY_BY_ID,
     "aligned_union": f"""WITH {RAW}
-SELECT {", ".join(c for c in _COMMON if c != "tip_amount")},
-    CAST(tip_amount AS DOUBLE) AS tip_amount FROM raw""",
+SELECT {", ".join(_COMMON)} FROM raw""",
     "service_counts": f'WITH {RAW} SELECT service_type, count(*) AS "count" FROM raw GROUP BY ALL',
     "service_union_job": f"""WITH {RAW}
 SELECT service_type, payment_type, count(*) AS "count" FROM raw GROUP BY ALL""",

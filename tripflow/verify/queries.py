@@ -409,8 +409,7 @@ def tip_explained(spark, d):
 
 
 def tip_tuning(spark, d):
-    features = _stored(tip_features(supplied.all_trips(spark, d), ROW_KEY), "tip-features")
-    train, held_out = regression.split_train(features, *ROW_KEY)
+    train, held_out = jobs.stored_tip_features(supplied.all_trips(spark, d), ROW_KEY)
     return regression.tune(train, held_out, TIP_SPEC)[1]
 
 
