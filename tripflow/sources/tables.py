@@ -136,6 +136,7 @@ def create_dated_table(
     path: str | None = None,
     date: str = "partition_date",
     grain: str = "day",
+    **options: str,
 ) -> DatedTable:
     """Write a table partitioned by date and optionally sorted inside.
 
@@ -143,7 +144,8 @@ def create_dated_table(
     lets AQE split a date that is too big for one task, so a hot day does not
     become one straggler. Sorting inside each task gives the row groups narrow
     ranges of the cluster columns, which readers skip by. ``grain="month"``
-    suits tables whose days would be tiny files.
+    suits tables whose days would be tiny files. Further options go to the file
+    writer, e.g. page or row-group sizes.
     """
     if grain not in ("day", "month"):
         raise ValueError(f"unknown grain {grain!r}")
@@ -153,6 +155,7 @@ def create_dated_table(
         dated.hint("rebalance", date)
         .sortWithinPartitions(date, *cluster_by)
         .write.mode("overwrite")
+        .options(**options)
         .partitionBy(date)
     )
     if path:
