@@ -225,3 +225,21 @@ def test_command_line_runs_a_job(spark, tmp_path, monkeypatch):
          "--output", f"{tmp_path}/r"]
     )
     assert spark.read.parquet(f"{tmp_path}/r").count() == 2
+
+
+def test_command_line_trains_and_merges(spark, sf, tmp_path, monkeypatch):
+    import tripflow.__main__ as cli
+    from tripflow.operators import regression
+
+    monkeypatch.setattr(cli, "build_session", lambda *_: spark)
+    supplied.all_trips(spark, sf).write.parquet(f"{tmp_path}/t")
+    zone_frame(spark).write.parquet(f"{tmp_path}/z")
+    trips, zones = ["--trips", f"{tmp_path}/t"], ["--zones", f"{tmp_path}/z"]
+    cli.main(
+        ["tip-model", *trips, "--key", "vendorid", "pickup_datetime", "--output", f"{tmp_path}/m"]
+    )
+    assert regression.load(spark, f"{tmp_path}/m").spec.label == "tip_amount"
+    cli.main(["hourly-merge", *trips, *zones, "--output", f"{tmp_path}/h"])
+    assert spark.read.parquet(f"{tmp_path}/h/merged").count() > 0
+    cli.main(["zone-distances", *trips, *zones, "--output", f"{tmp_path}/d", "--files", "2"])
+    assert spark.read.parquet(f"{tmp_path}/d").columns[:2] == ["pickup_location", "pickup_zone"]

@@ -9,7 +9,16 @@ from pyspark.sql import types as T
 
 from tripflow.plans import jobs
 from tripflow.schemas import HIGH_VOLUME_SCHEMA, ZONE_SCHEMA
-from tripflow.session import fresh_dir, fresh_name, shared_root
+from tripflow.session import (
+    MAX_SHUFFLE_PARTITIONS,
+    SHUFFLE_BYTES,
+    build_session,
+    fresh_dir,
+    fresh_name,
+    shared_root,
+    shuffle_partitions,
+    size_shuffles,
+)
 from tripflow.sources import files, relational, tables
 
 
@@ -84,11 +93,11 @@ def test_source_registry(spark):
 
 def test_relational_writes_go_through_executors_in_batches():
     options = relational.write_options(
-        relational.postgres_url("db", 5432, "ny"), "trips", {"user": "u"}, connections=3
+        relational.postgres_url("db", 5432, "lake"), "trips", {"user": "u"}, connections=3
     )
     assert options == {
         "user": "u",
-        "url": "jdbc:postgresql://db:5432/ny",
+        "url": "jdbc:postgresql://db:5432/lake",
         "dbtable": "trips",
         "batchsize": "100000",
         "numPartitions": "3",
@@ -232,3 +241,25 @@ def test_work_folder_comes_from_the_session(spark):
     cluster.sparkContext.master = "yarn"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(cluster)
+
+
+def test_shuffle_partitions_follow_the_input_and_only_rise(spark, tmp_path):
+    assert shuffle_partitions(0, 8) == 8
+    assert shuffle_partitions(10 * SHUFFLE_BYTES + 1, 8) == 11
+    assert shuffle_partitions(100 * 2**40, 8) == MAX_SHUFFLE_PARTITIONS
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size_shuffles(spark, 1)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_stored_bytes_come_from_the_listing(spark, tmp_path):
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    (tmp_path / "deep" / "a.bin").write_bytes(b"12345")
+    (tmp_path / "deep" / "er" / "b.bin").write_bytes(b"123")
+    assert files.stored_bytes(spark, str(tmp_path / "deep")) == 8
+
+
+def test_object_store_settings_reach_the_session(spark):
+    session = build_session("again", hadoop={"fs.demo.impl": "x.Y"})
+    assert session.conf.get("spark.hadoop.fs.demo.impl") == "x.Y"
+    session.conf.unset("spark.hadoop.fs.demo.impl")

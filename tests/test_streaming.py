@@ -73,9 +73,9 @@ def test_console_sink_drains(spark, tmp_path):
 
 
 def test_topic_options():
-    assert messages.topic_options("h:1", "demo_1") == {
+    assert messages.topic_options("h:1", "trips") == {
         "kafka.bootstrap.servers": "h:1",
-        "subscribe": "demo_1",
+        "subscribe": "trips",
         "startingOffsets": "earliest",
     }
     assert messages.topic_options("h:1", "t", earliest=False)["startingOffsets"] == "latest"

@@ -5,9 +5,12 @@ from __future__ import annotations
 import argparse
 import os
 
+from tripflow.operators import regression
+from tripflow.operators.align import lower_names
 from tripflow.plans import jobs
-from tripflow.session import build_session
+from tripflow.session import build_session, size_shuffles
 from tripflow.sources import files, relational
+from tripflow.streaming import messages
 
 
 def parser() -> argparse.ArgumentParser:
@@ -38,6 +41,22 @@ def parser() -> argparse.ArgumentParser:
     dated.add_argument("--cluster_by", nargs="*", default=[])
     dated.add_argument("--path")
 
+    hourly = sub.add_parser("hourly-merge", help="hourly revenue of both services, merged")
+    hourly.add_argument("--trips", required=True, nargs="+", help="stored union of services")
+    hourly.add_argument("--zones", required=True)
+    hourly.add_argument("--output", required=True)
+
+    tips = sub.add_parser("tip-model", help="train, evaluate and save the tip model")
+    tips.add_argument("--trips", required=True, nargs="+")
+    tips.add_argument("--key", required=True, nargs="+", help="columns that identify a trip")
+    tips.add_argument("--output", required=True)
+
+    stream = sub.add_parser("consume", help="JSON topic to files; malformed messages apart")
+    for name in ("servers", "topic", "output", "checkpoint"):
+        stream.add_argument(f"--{name}", required=True)
+    stream.add_argument("--group")
+    stream.add_argument("--once", action="store_true", help="drain the topic and stop")
+
     ingest = sub.add_parser("ingest", help="files to a relational table")
     ingest.add_argument("--input", required=True, nargs="+")
     for name in ("user", "host", "port", "db", "table_name"):
@@ -49,6 +68,10 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"tripflow {args.job}", args.master)
+    named = ("input_green", "input_yellow", "trips", "input")
+    inputs = [path for name in named for path in getattr(args, name, None) or []]
+    if inputs:
+        size_shuffles(spark, files.stored_bytes(spark, *inputs))
     if args.job == "monthly-report":
         jobs.monthly_report(spark, args.input_green, args.input_yellow, args.output)
     elif args.job == "union-services":
@@ -62,7 +85,20 @@ def main(argv: list[str] | None = None) -> None:
         trips = files.read_parquet(spark, *args.trips)
         zones = files.read_parquet(spark, args.zones)
         jobs.zone_distances(trips, zones, args.output, args.files)
+    elif args.job == "hourly-merge":
+        trips = files.read_parquet(spark, *args.trips)
+        jobs.hourly_merge(trips, files.read_parquet(spark, args.zones), args.output)
+    elif args.job == "tip-model":
+        trips = lower_names(files.read_parquet(spark, *args.trips))
+        key = {c.lower(): trips.schema[c.lower()].dataType for c in args.key}
+        run = jobs.tip_model(trips, key)
+        run.model.save(args.output)
+        regression.evaluate(run.model, run.held_out).show(truncate=False)
+    elif args.job == "consume":
+        source = messages.read_topic(spark, args.servers, args.topic, args.group)
+        jobs.consume(source, args.output, args.checkpoint, once=args.once).awaitTermination()
     elif args.job == "load-dated":
+        size_shuffles(spark, files.stored_bytes(spark, args.source))
         jobs.load_dated(
             spark, args.source, args.table, args.timestamp, tuple(args.cluster_by), args.path
         )

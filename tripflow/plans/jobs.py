@@ -96,13 +96,13 @@ def monthly_report(
 
 
 def hourly_merge(
-    spark: SparkSession, trips: DataFrame, zones: DataFrame, output: str, mode: str = "overwrite"
+    trips: DataFrame, zones: DataFrame, output: str, mode: str = "overwrite"
 ) -> DataFrame:
     """Hourly revenue of each service, their merge, and the merge in known zones.
 
     Each step is stored, and the next one starts from the stored copy.
     """
-    sides = {}
+    spark, sides = trips.sparkSession, {}
     for service in (GREEN.service, YELLOW.service):
         path = f"{output}/hourly_{service.lower()}"
         files.write_parquet(marts.hourly_revenue(trips, service), path, mode)

@@ -53,6 +53,27 @@ def pin_runtime_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Input per shuffle partition, and the most partitions a shuffle starts with.
+# Past the limit partitions grow instead, and sorts and aggregates spill.
+SHUFFLE_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 32_768
+
+
+def shuffle_partitions(input_bytes: int, at_least: int) -> int:
+    wanted = -(-input_bytes // SHUFFLE_BYTES)
+    return max(at_least, min(wanted, MAX_SHUFFLE_PARTITIONS))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Start shuffles with enough partitions for the input; AQE merges small ones.
+
+    AQE cannot split the partitions of an aggregate or a window, so the
+    starting number has to fit the data. It is only ever raised.
+    """
+    key = "spark.sql.shuffle.partitions"
+    spark.conf.set(key, shuffle_partitions(input_bytes, int(spark.conf.get(key))))
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="tripflow-")

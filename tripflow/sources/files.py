@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.functions import cast_columns
@@ -83,6 +84,14 @@ def load_seed(
     return spark.table(table)
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of all files under the paths, from their listing alone."""
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    )
+    return listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def write_parquet(
     df: DataFrame,
     path: str,

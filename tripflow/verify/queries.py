@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from tripflow.plans.checks import service_checks
 from tripflow.plans.staging import stage, stage_green, stage_yellow
 from tripflow.plans.tip_model import TIP_INPUT_SCHEMA, TIP_SPEC, tip_features
 from tripflow.schemas import ZONE_SCHEMA
-from tripflow.session import fresh_dir, fresh_name, pin_runtime_settings
+from tripflow.session import fresh_dir, fresh_name, pin_runtime_settings, size_shuffles
 from tripflow.sources import files, supplied, tables
 from tripflow.streaming import messages
 
@@ -160,7 +161,6 @@ def hourly_green_yellow_merge(spark, d):
 def hourly_merge_job(spark, d):
     """The stored form of the hourly merge: every step written and read back."""
     return jobs.hourly_merge(
-        spark,
         supplied.event_trips(spark, d),
         supplied.zone_lookup(spark, d),
         fresh_dir(spark, "hourly"),
@@ -500,5 +500,13 @@ QUERIES: dict[str, Query] = {
 }
 
 
+@cache
+def _folder_bytes(application: str, folder: str) -> int:
+    return files.stored_bytes(SparkSession.active(), folder)
+
+
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return plain(QUERIES[name](pin_runtime_settings(spark), folder))
+    """One registered query, with the settings its results and its scale depend on."""
+    pin_runtime_settings(spark)
+    size_shuffles(spark, _folder_bytes(spark.sparkContext.applicationId, folder))
+    return plain(QUERIES[name](spark, folder))
