@@ -59,7 +59,13 @@ def main(folder: str, names: list[str]) -> int:
     import __spark_entry__ as entry
     from tripflow.session import build_session
 
-    spark = build_session("compare", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "8g",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    spark = build_session("compare", "local[8]", settings)
     spark.sparkContext.setLogLevel("ERROR")
     queries, oracle = entry.queries(), entry.oracle_sql()
     failures = 0
@@ -76,7 +82,8 @@ def main(folder: str, names: list[str]) -> int:
             problem, seconds, ours = repr(error)[:900], time.time() - start, []
         failures += bool(problem)
         kind = "sql " if name in oracle else "rows"
-        print(f"{'FAIL' if problem else 'ok  '} {kind} {name} {len(ours)} rows {seconds:.1f}s {problem}", flush=True)
+        state = "FAIL" if problem else "ok  "
+        print(f"{state} {kind} {name} {len(ours)} rows {seconds:.1f}s {problem}", flush=True)
     return failures
 
 

@@ -125,6 +125,26 @@ def test_fact_drops_unknown_and_unmatched_zones(spark):
     assert [(r.pickup_zone, r.dropoff_zone) for r in fact.collect()] == [("Corona", "Harlem")]
 
 
+def test_a_large_dimension_is_joined_by_shuffle_with_the_same_result(spark, sf, monkeypatch):
+    staged, zones = stage(supplied.all_trips(spark, sf)), supplied.zone_lookup(spark, sf)
+    small = marts.fact_trips(staged, zones)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(marts, "broadcast_if_small", lambda dim: dim)
+    try:
+        large = marts.fact_trips(staged, zones)
+        assert "SortMergeJoin" in plan(large)
+        assert rows(large) == rows(small)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_coverage_counts_what_the_fact_keeps(spark, sf):
+    staged, zones = stage(supplied.all_trips(spark, sf)), supplied.zone_lookup(spark, sf)
+    kept = dict(rows(marts.fact_trips(staged, zones).groupBy("service_type").count()))
+    for r in marts.zone_coverage(staged, zones).collect():
+        assert r.kept == kept[r.service_type] and r.dropped == r.staged - r.kept > 0
+
+
 def supplied_shape(spark, *trips):
     from tripflow.plans.staging import canonical
     from tripflow.schemas import GREEN

@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.operators import regression
 from tripflow.operators.regression import Spec
@@ -151,6 +152,23 @@ def test_json_rows_are_scored_and_malformed_ones_left_out(spark, sf):
     assert math.isclose(row.predicted_tip_amount, model.predict(direct).first()[-1])
 
 
+def test_json_rows_of_a_stream_are_scored(spark, model, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"x1":1.0,"x2":2.0,"c":"b"}\n{oops\n')
+    schema = T.StructType.fromDDL("x1 double, x2 double, c string")
+    scored = score_json(spark.readStream.text(str(tmp_path / "in")), model, schema)
+    query = (
+        scored.writeStream.format("parquet")
+        .option("path", f"{tmp_path}/out")
+        .option("checkpointLocation", f"{tmp_path}/cp")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    (row,) = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert math.isclose(row.predicted_y, 2 + 3 * 1 - 2 + 5, abs_tol=1e-6)
+
+
 def test_batches_are_scored_with_all_columns_kept(spark):
     df = spark.createDataFrame([(1, 2.0), (2, None)], "id int, trip_distance double")
     out = score_batches(df, lambda b: b["trip_distance"] * 3, "predicted_duration")

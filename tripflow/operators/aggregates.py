@@ -70,7 +70,9 @@ def revenue_by_month(
 
     The report's column names, spelling included, are what its readers select.
     """
-    totals = [total_money(trips, m).alias(f"revenue_monthly_{REVENUE_MEASURES[m]}") for m in measures]
+    totals = [
+        total_money(trips, m).alias(f"revenue_monthly_{REVENUE_MEASURES[m]}") for m in measures
+    ]
     counts = [F.count(count).alias("total_monthly_trips")] if count else []
     return trips.groupBy(
         F.col(zone).alias("revenue_zone"),
@@ -123,7 +125,9 @@ def hourly_service_columns(
         ]
     return (
         trips.filter(F.col(service).isin(services))
-        .groupBy(F.col(zone).alias("revenue_zone"), hour.alias("revenue_hour"), apart.alias("_apart"))
+        .groupBy(
+            F.col(zone).alias("revenue_zone"), hour.alias("revenue_hour"), apart.alias("_apart")
+        )
         .agg(*pairs)
         .drop("_apart")
     )

@@ -104,18 +104,20 @@ class Summary:
 def summarize(df: DataFrame, spec: Spec) -> Summary:
     """All that feature preparation has to know about the data, in one pass.
 
-    A NULL or empty category is a missing one. Each row gives one (input, category) pair per input; numbers have no
-    category. The pairs combine before the shuffle, and what reaches the driver
-    is one row per number and per distinct category, bounded by the check.
+    A NULL or empty category is a missing one. Each row gives one (input,
+    category) pair per input; numbers have no category. The pairs combine before
+    the shuffle, and what reaches the driver is one row per number and per
+    distinct category, bounded by the check.
     """
     no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
-    pairs = [
-        F.struct(F.lit(c).alias("input"), no_text.alias("category"), F.col(c).cast("double").alias("x"))
-        for c in spec.numbers
-    ] + [
-        F.struct(F.lit(c).alias("input"), F.col(c).cast("string").alias("category"), no_number.alias("x"))
-        for c in spec.categories
-    ]
+
+    def pair(name: str, category: Column, number: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("input"), category.alias("category"), number.alias("x")
+        )
+
+    pairs = [pair(c, no_text, F.col(c).cast("double")) for c in spec.numbers]
+    pairs += [pair(c, F.col(c).cast("string"), no_number) for c in spec.categories]
     bound = len(spec.numbers) + len(spec.categories) * (MAX_CATEGORIES + 1)
     found = (
         df.select(F.inline(F.array(*pairs)))

@@ -60,6 +60,17 @@ def fact_trips(staged: DataFrame, zones: DataFrame) -> DataFrame:
     )
 
 
+def zone_coverage(staged: DataFrame, zones: DataFrame) -> DataFrame:
+    """Trips per service, and how many the fact keeps or drops for their zones."""
+    known = broadcast_if_small(known_zones(zones).select("locationid").distinct())
+    for role, key in ROLES.items():
+        side = known.select(F.col("locationid").alias(f"_{role}"))
+        staged = staged.join(side, F.col(key) == F.col(f"_{role}"), "left")
+    kept = F.count_if(F.col("_pickup").isNotNull() & F.col("_dropoff").isNotNull())
+    counted = staged.groupBy("service_type").agg(F.count("*").alias("staged"), kept.alias("kept"))
+    return counted.withColumn("dropped", F.col("staged") - F.col("kept"))
+
+
 def monthly_zone_revenue(fact: DataFrame) -> DataFrame:
     """Monthly mart per pickup zone *name*; zones that share a name are one group."""
     return revenue_by_month(fact, "pickup_zone", count="tripid")

@@ -48,7 +48,8 @@ def build_session(
 
 def pin_runtime_settings(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to a session somebody else built."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.adaptive.enabled"):
+    for name in ("session.timeZone", "ansi.enabled", "adaptive.enabled"):
+        key = f"spark.sql.{name}"
         spark.conf.set(key, BASE_SETTINGS[key])
     return spark
 

@@ -16,7 +16,9 @@ from tripflow.functions.scalars import CORRUPT
 def encode_messages(df: DataFrame, key: str | None = None) -> DataFrame:
     """Each row as one JSON ``value``, with an optional message ``key``."""
     value = encode_json(*df.columns).alias("value")
-    return df.select(value) if key is None else df.select(F.col(key).cast("string").alias("key"), value)
+    if key is None:
+        return df.select(value)
+    return df.select(F.col(key).cast("string").alias("key"), value)
 
 
 def decode_messages(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:

@@ -299,7 +299,7 @@ SELECT CAST(passenger_count AS INTEGER) AS passenger_count, count(*) AS trips,
 FROM (SELECT * FROM raw WHERE pickup_datetime < TIMESTAMP '{DRIFT_FROM}'
       UNION ALL SELECT * FROM raw WHERE pickup_datetime >= TIMESTAMP '{DRIFT_FROM}')
 GROUP BY 1""",
-    "quality_checks": f"""WITH {RAW}, {STAGED}
+    "quality_report": f"""WITH {RAW}, {STAGED}
 {_violations("unique", "service_type+tripid", _repeated("service_type, tripid"))}
 UNION ALL {_violations("unique", "tripid", _repeated("tripid"))}
 UNION ALL {_violations("not_null", "tripid",
@@ -313,12 +313,12 @@ SELECT tripid, count(*) AS row_count FROM staged GROUP BY tripid HAVING count(*)
     "trips_without_zone": f"""WITH {RAW}
 SELECT pulocationid, count(*) AS row_count FROM raw
 WHERE pulocationid NOT IN (SELECT n_nationkey FROM nation) GROUP BY ALL""",
-    "profile_columns": f"WITH {RAW}, {STAGED}\n"
+    "column_profile": f"WITH {RAW}, {STAGED}\n"
     + "\nUNION ALL ".join(
         f"SELECT '{c}' AS column_name, count({c}) AS non_null, count(*) AS row_count FROM staged"
         for c in _STAGED_COLUMNS
     ),
-    "tip_feature_rows": f"""WITH {RAW}, {FEATURES}
+    "tip_features": f"""WITH {RAW}, {FEATURES}
 SELECT * EXCLUDE (vendorid, pickup_datetime) FROM features""",
     "tip_feature_info": f"WITH {RAW}, {FEATURES}\n"
     + "\nUNION ALL ".join(

@@ -11,16 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.functions import hours, surrogate_key
-from tripflow.operators import regression
+from tripflow.operators import quality, regression
 from tripflow.operators.aggregates import exact_sum, group_count, group_mean, total_money
 from tripflow.operators.dedup import keep_first
 from tripflow.operators.joins import without_parent
-from tripflow.operators.quality import column_profile, duplicate_keys, quality_report, unique
 from tripflow.operators.scoring import score_batches, score_json
-from tripflow.plans import jobs, marts
+from tripflow.plans import jobs, marts, tip_model
 from tripflow.plans.checks import service_checks
 from tripflow.plans.staging import stage, stage_green, stage_yellow
-from tripflow.plans.tip_model import TIP_INPUT_SCHEMA, TIP_SPEC, tip_features
+from tripflow.plans.tip_model import TIP_INPUT_SCHEMA, TIP_SPEC
 from tripflow.schemas import ZONE_SCHEMA
 from tripflow.session import fresh_dir, fresh_name, pin_runtime_settings, size_shuffles
 from tripflow.sources import files, supplied, tables
@@ -108,9 +107,7 @@ def fact_trips(spark, d):
 
 def fact_trip_coverage(spark, d):
     """Trips per service before and after the zone joins."""
-    staged = group_count(_staged(spark, d), "service_type").withColumnRenamed("count", "staged")
-    kept = group_count(_fact(spark, d), "service_type").withColumnRenamed("count", "kept")
-    return staged.join(kept, "service_type").withColumn("dropped", F.col("staged") - F.col("kept"))
+    return marts.zone_coverage(_staged(spark, d), supplied.zone_lookup(spark, d))
 
 
 def monthly_zone_revenue(spark, d):
@@ -261,7 +258,11 @@ def external_csv_view(spark, d):
 def typed_feature_table(spark, d):
     """A table created with declared column types."""
     trips = supplied.all_trips(spark, d).filter("fare_amount <> 0")
-    types = {"passenger_count": T.LongType(), "payment_type": T.StringType(), "fare_amount": T.DoubleType()}
+    types = {
+        "passenger_count": T.LongType(),
+        "payment_type": T.StringType(),
+        "fare_amount": T.DoubleType(),
+    }
     return tables.create_table(trips, fresh_name("features"), fresh_dir(spark, "features"), types)
 
 
@@ -322,15 +323,15 @@ def marts_job(spark, d):
 # Data quality
 
 
-def quality_checks(spark, d):
+def quality_report(spark, d):
     staged = _stored(_staged(spark, d), "staged", partition_by=["service_type"])
     zones = supplied.zone_lookup(spark, d)
-    return quality_report(staged, [*service_checks(zones), unique("tripid")])
+    return quality.quality_report(staged, [*service_checks(zones), quality.unique("tripid")])
 
 
 def shared_trip_keys(spark, d):
     """Keys that a green and a yellow trip share."""
-    return duplicate_keys(_staged(spark, d), "tripid")
+    return quality.duplicate_keys(_staged(spark, d), "tripid")
 
 
 def trips_without_zone(spark, d):
@@ -338,19 +339,19 @@ def trips_without_zone(spark, d):
     return without_parent(trips, "pulocationid", supplied.zone_lookup(spark, d), "locationid")
 
 
-def profile_columns(spark, d):
-    return column_profile(_staged(spark, d)).drop("data_type")
+def column_profile(spark, d):
+    return quality.column_profile(_staged(spark, d)).drop("data_type")
 
 
 # Tip model
 
 
-def tip_feature_rows(spark, d):
-    return tip_features(supplied.all_trips(spark, d))
+def tip_features(spark, d):
+    return tip_model.tip_features(supplied.all_trips(spark, d))
 
 
 def tip_feature_info(spark, d):
-    info = regression.feature_info(tip_features(supplied.all_trips(spark, d)), TIP_SPEC)
+    info = regression.feature_info(tip_model.tip_features(supplied.all_trips(spark, d)), TIP_SPEC)
     return info.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 
@@ -480,11 +481,11 @@ QUERIES: dict[str, Query] = {
         monthly_report_job,
         zone_distances_job,
         marts_job,
-        quality_checks,
+        quality_report,
         shared_trip_keys,
         trips_without_zone,
-        profile_columns,
-        tip_feature_rows,
+        column_profile,
+        tip_features,
         tip_feature_info,
         tip_model_eval,
         tip_prediction_by_zone,
@@ -501,12 +502,12 @@ QUERIES: dict[str, Query] = {
 
 
 @cache
-def _folder_bytes(application: str, folder: str) -> int:
-    return files.stored_bytes(SparkSession.active(), folder)
+def _folder_bytes(spark: SparkSession, folder: str) -> int:
+    return files.stored_bytes(spark, folder)
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     """One registered query, with the settings its results and its scale depend on."""
     pin_runtime_settings(spark)
-    size_shuffles(spark, _folder_bytes(spark.sparkContext.applicationId, folder))
+    size_shuffles(spark, _folder_bytes(spark, folder))
     return plain(QUERIES[name](spark, folder))
