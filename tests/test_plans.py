@@ -204,6 +204,8 @@ def test_mart_job_from_files_and_its_report(spark, tmp_path):
         spark, [f"{tmp_path}/g"], [f"{tmp_path}/y"], f"{tmp_path}/zones", f"{tmp_path}/out"
     )
     assert built.fact.count() == 2 and built.monthly.count() == 2
+    for table, column in ((built.zones, "zone"), (built.fact, "tripid"), (built.monthly, "revenue_zone")):
+        assert table.schema[column].metadata["comment"]
     found = {(r.check, r.column_name): (r.severity, r.violations) for r in built.report.collect()}
     assert found == {
         ("unique", "service_type+tripid"): ("warn", 0),

@@ -13,6 +13,7 @@ from tripflow.operators.align import aligned_union, lower_names, rename, union_a
 from tripflow.operators.quality import enforce, quality_report
 from tripflow.plans import marts
 from tripflow.plans.checks import mart_checks, service_checks
+from tripflow.plans.descriptions import MONTHLY_COLUMNS, TRIP_COLUMNS, ZONE_COLUMNS, described
 from tripflow.plans.staging import stage_services
 from tripflow.plans.tip_model import TIP_SPEC, tip_features
 from tripflow.schemas import GREEN, MESSAGE_SCHEMA, YELLOW, ZONE_SCHEMA, ServiceLayout
@@ -141,14 +142,17 @@ def build_marts(
     in a check raises after the tables are written; warnings are reported.
     """
     spark = lookup.sparkSession
-    files.write_parquet(marts.dim_zones(lookup), f"{output}/dim_zones", mode)
-    zones = spark.read.parquet(f"{output}/dim_zones")
-    files.write_parquet(
-        marts.fact_trips(staged, zones), f"{output}/fact_trips", mode, partition_by=["service_type"]
+
+    def store(df: DataFrame, name: str, comments: dict[str, str], **options) -> DataFrame:
+        path = f"{output}/{name}"
+        files.write_parquet(described(df, comments), path, mode, **options)
+        return spark.read.parquet(path)
+
+    zones = store(marts.dim_zones(lookup), "dim_zones", ZONE_COLUMNS)
+    fact = store(
+        marts.fact_trips(staged, zones), "fact_trips", TRIP_COLUMNS, partition_by=["service_type"]
     )
-    fact = spark.read.parquet(f"{output}/fact_trips")
-    files.write_parquet(marts.monthly_zone_revenue(fact), f"{output}/monthly_zone_revenue", mode)
-    monthly = spark.read.parquet(f"{output}/monthly_zone_revenue")
+    monthly = store(marts.monthly_zone_revenue(fact), "monthly_zone_revenue", MONTHLY_COLUMNS)
     report = quality_report(staged, service_checks(zones)).unionByName(
         quality_report(monthly, mart_checks())
     )

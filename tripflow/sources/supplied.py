@@ -46,6 +46,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The table as a stream of files.
+
+    A stream wants a folder or a glob; the star makes it work for a table that
+    is a single file, too.
+    """
+    schema = table(spark, folder, name).schema
+    return spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{name}.parquet*")
+
+
 def all_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Trips of both services in canonical names, raw values, one scan."""
     trips = table(spark, folder, "lineitem").selectExpr(

@@ -434,12 +434,8 @@ def json_roundtrip(spark, d):
 
 def stream_json_events(spark, d):
     """The events' JSON column as a stream: decoded, stored, read back."""
-    schema = supplied.table(spark, d, "events").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(d)
-        .select("event_id", F.col("props").alias("value"))
+    stream = supplied.table_stream(spark, d, "events").select(
+        "event_id", F.col("props").alias("value")
     )
     out = fresh_dir(spark, "stream")
     jobs.consume(stream, out, f"{out}-checkpoint", PROPS_SCHEMA).awaitTermination()
