@@ -40,7 +40,7 @@ def test_rename_and_lower_names(spark):
 values = st.one_of(st.none(), st.integers(0, 2))
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(values, values, values, values), max_size=12))
 def test_keep_first_equals_brute_force(spark, data):
     df = spark.createDataFrame(data, "k1 int, k2 int, a int, b int").repartition(3)

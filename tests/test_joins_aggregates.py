@@ -166,7 +166,7 @@ def test_exact_sum_does_not_overflow_a_long(spark):
     assert df.agg(exact_sum(df, "n")).first()[0] == 2**65
 
 
-@settings(max_examples=20, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.integers(-(10**12), 10**12), min_size=1, max_size=20))
 def test_exact_sum_equals_integer_arithmetic_for_cents(spark, cents):
     df = spark.createDataFrame([(c / 100,) for c in cents], "x double").repartition(4)

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from helpers import rows
@@ -175,3 +176,25 @@ def test_batches_are_scored_with_all_columns_kept(spark):
     assert out.columns == ["id", "trip_distance", "predicted_duration"]
     got = {r.id: r.predicted_duration for r in out.collect()}
     assert got[1] == 6.0 and (got[2] is None or pd.isna(got[2]))
+
+
+def test_full_model_equals_least_squares_by_hand(spark, sf):
+    """Predictions on every row against a dense solve of the same one-hot design."""
+    features = tip_features(supplied.all_trips(spark, sf))
+    train, _ = regression.split_train(features)
+    model = regression.train(train, TIP_SPEC)
+
+    def design(frame: pd.DataFrame, levels: dict) -> np.ndarray:
+        columns = [np.ones(len(frame))] + [frame[c].to_numpy(float) for c in TIP_SPEC.numbers]
+        for c, values in levels.items():
+            columns += [(frame[c] == v).to_numpy(float) for v in values]
+        return np.column_stack(columns)
+
+    known = train.toPandas()
+    levels = {c: sorted(known[c].unique()) for c in TIP_SPEC.categories}
+    solution, *_ = np.linalg.lstsq(
+        design(known, levels), known["tip_amount"].to_numpy(float), rcond=None
+    )
+    scored = model.predict(features).toPandas()
+    expected = design(scored, levels) @ solution
+    assert np.abs(scored["predicted_tip_amount"] - expected).max() < 1e-2
