@@ -324,9 +324,11 @@ def marts_job(spark, d):
 
 
 def quality_report(spark, d):
-    staged = _stored(_staged(spark, d), "staged", partition_by=["service_type"])
     zones = supplied.zone_lookup(spark, d)
-    return quality.quality_report(staged, [*service_checks(zones), quality.unique("tripid")])
+    checks = [*service_checks(zones), quality.unique("tripid")]
+    columns = sorted({column for check in checks for column in check.columns})
+    staged = _stored(_staged(spark, d).select(*columns), "staged")
+    return quality.quality_report(staged, checks)
 
 
 def shared_trip_keys(spark, d):
