@@ -4,8 +4,10 @@ import pytest
 from compare import difference, spark_frame, sql_frame
 
 import __spark_entry__ as entry
+from tripflow.verify.oracle import ORACLE
+from tripflow.verify.queries import QUERIES as REGISTERED
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {name: entry.queries()[name] for name in REGISTERED}
 
 
 def test_every_oracle_has_a_query():
