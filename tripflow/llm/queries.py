@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import read_table
 from tripflow.llm.exact_dedup import exact_dedup
+from tripflow.llm.packing import pack_documents
 from tripflow.llm.sharding import shard_rows
+from tripflow.llm.topk import top_k
+from tripflow.llm.warc import read_archives, resolved_records, write_archives
+from tripflow.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +38,33 @@ def op6_sharding(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_exact_dedup, op6_sharding)}
+def op7_top_k(spark: SparkSession, d: str) -> DataFrame:
+    """Ten best vectors for every hundredth vector."""
+    return top_k(read_table(spark, d, "embeddings"), k=10, every=100)
+
+
+def op9_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
+    """Every document, cut and packed in sequences of 4096 tokens.
+
+    Document count and attention cost of a sequence cannot exceed what 4096
+    tokens allow, so that only tokens bind: as few sequences as possible.
+    """
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(read_table(spark, d, "documents"), path).drop("row")
+
+
+def op10_warc(spark: SparkSession, d: str) -> DataFrame:
+    """Every page written to archives with revisits, read back and resolved."""
+    path = fresh_dir(spark, "warc")
+    write_archives(read_table(spark, d, "pages"), path)
+    records = resolved_records(read_archives(spark, path, with_payload=False))
+    return records.drop("uri", "digest_matches")
+
+
+QUERIES: dict[str, Query] = {
+    q.__name__: q
+    for q in (op1_exact_dedup, op6_sharding, op7_top_k, op9_best_fit_packing, op10_warc)
+}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""
@@ -47,4 +78,33 @@ SELECT doc_id,
   first_value(doc_id) OVER (PARTITION BY normal ORDER BY n_points DESC, doc_id) = doc_id AS kept,
   sha256(normal) AS text_sha256
 FROM texts""",
+    "op7_top_k": """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    AS INTEGER) AS rank, vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10""",
+    "op10_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes,
+    upper(sha1(coalesce(html, ''))) AS hex
+  FROM pages),
+b AS (
+  SELECT *, max(page_id) OVER (PARTITION BY body) AS response FROM p)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (CAST('0x' || substr(hex, (i // 4) * 5 + 1, 5) AS BIGINT) >> (5 * (3 - i % 4))) % 32 + 1, 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to
+FROM b""",
 }

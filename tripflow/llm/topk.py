@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import stored
+from tripflow.llm.common import global_index, stored
 
 SCALE = 1024
 CANDIDATE_BLOCK = 8192
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 8192
 
 _BLOCK = pa.schema(
     [
@@ -100,10 +100,10 @@ def _best(scores: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> n
 def _score(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for pair in batch.to_pylist():
-            c_ids, q_ids = (np.frombuffer(pair[x], np.int64) for x in ("ids", "q_ids"))
-            c_starts, q_starts = (np.frombuffer(pair[x], np.int64) for x in ("starts", "q_starts"))
-            c_terms, q_terms = (np.frombuffer(pair[x], np.int32) for x in ("terms", "q_terms"))
-            c_raw, q_raw = (np.frombuffer(pair[x], np.float64) for x in ("weights", "q_weights"))
+            c_ids, q_ids = (np.frombuffer(pair[x], np.int64) for x in ("c_ids", "q_ids"))
+            c_starts, q_starts = (np.frombuffer(pair[x], np.int64) for x in ("c_starts", "q_starts"))
+            c_terms, q_terms = (np.frombuffer(pair[x], np.int32) for x in ("c_terms", "q_terms"))
+            c_raw, q_raw = (np.frombuffer(pair[x], np.float64) for x in ("c_weights", "q_weights"))
             longest = int(np.diff(q_starts).max(initial=0))
             postings = _postings(c_terms, _whole(c_raw, q_raw, longest), c_starts)
             q_weights = _whole(q_raw, c_raw, longest)
@@ -131,7 +131,7 @@ def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int)
     x = F.col(vector_col)
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
     rows = vectors.filter(F.col(id_col).isNotNull() & x.isNotNull() & F.forall(x, finite))
-    scaled = F.transform(x, lambda v: F.rint(F.expr("0D") + _floor(v.cast("double") * scale)))
+    scaled = F.transform(x, lambda v: _floor(v.cast("double") * scale))
     return rows.select(F.col(id_col).cast("long").alias("id"), scaled.alias("weights"))
 
 
@@ -159,30 +159,38 @@ def top_k(
     per row, with ties between equal ids in no particular order. Scores past
     63 bits are added exactly and end at the limits of a long.
 
-    Query blocks meet candidate blocks on the number of the query block, each
-    pair of blocks one row: a grid of N/8192 by Q/1024 rows, never pairs of
-    vectors. Results of a pair are at most k per query.
+    Blocks of queries meet blocks of candidates on the numbers of both: a grid
+    of N/8192 by Q/8192 rows, never pairs of vectors. A row of the grid is some
+    megabytes and about 4 billion multiplications. It gives at most k results
+    per query.
     """
     whole = whole_vectors(vectors, id_col, vector_col, scale)
 
-    def pack(df: DataFrame, size: int) -> DataFrame:
+    def pack(df: DataFrame, size: int, prefix: str) -> DataFrame:
         def run(batches):
             from pyspark import TaskContext
 
             return _packed(batches, size, TaskContext.get().partitionId() << 33)
 
-        return df.mapInArrow(run, _BLOCK_SQL)
+        packed = stored(df.mapInArrow(run, _BLOCK_SQL), f"{prefix}blocks")
+        numbered = global_index(packed.select("block"), ["block"], f"{prefix}no")
+        named = packed.join(numbered, "block")
+        return named.select(f"{prefix}no", *(F.col(c).alias(f"{prefix}{c}") for c in _BLOCK.names))
 
     queries = whole.filter(F.col("id") % every == 0)
-    blocks = -(-queries.count() // query_block)
     # Few tasks, so that query blocks are full; a row's task does not matter.
-    asked = stored(pack(queries.repartition(max(1, blocks)), query_block), "queries")
-    asked = asked.select(*(F.col(c).alias(f"q_{c}") for c in _BLOCK.names))
-    numbers = asked.select("q_block")
-    candidates = stored(pack(whole, candidate_block), "candidates")
-    grid = candidates.select("block").join(numbers)
-    pairs = grid.join(candidates, "block").join(asked, "q_block")
-    scored = pairs.mapInArrow(
+    tasks = max(1, -(-queries.count() // query_block))
+    asked = pack(queries.repartition(tasks), query_block, "q_")
+    candidates = pack(whole, candidate_block, "c_")
+
+    def repeated(blocks: DataFrame, name: str, times: int) -> DataFrame:
+        numbers = F.sequence(F.lit(0), F.lit(times - 1)) if times else F.array().cast("array<int>")
+        return blocks.withColumn(name, F.explode(numbers))
+
+    grid = repeated(candidates, "q_no", asked.count()).join(
+        repeated(asked, "c_no", candidates.count()), ["c_no", "q_no"]
+    )
+    scored = grid.mapInArrow(
         lambda batches: _score(batches, k),
         "query_row string, query_id long, vec_id long, score long",
     )
