@@ -20,10 +20,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.llm.batches import large_text, slices
 from tripflow.llm.common import stored, with_row
 
 CACHE_WORDS = 400_000  # bounds a task's memory only; results do not depend on it
-SLICE_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -72,7 +72,7 @@ class WordTokens:
 
     def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text starts (one more at the end)."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        lists = pc.ascii_split_whitespace(large_text(texts))
         ends = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
         if len(self.known) > CACHE_WORDS:
@@ -90,23 +90,10 @@ class WordTokens:
         return self.pool[at], after[ends - ends[0]]
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with bounded text, at least one row each."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
-    start, held = 0, 0
-    for i, size in enumerate(sizes):
-        if i > start and held + size > SLICE_BYTES:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += size
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, most: int):
     tokens = WordTokens(path)
     for batch in batches:
-        for part in _slices(batch, 2):
+        for part in slices(batch, 2):
             ids, starts = tokens.documents(part.column(2))
             out = {"row": [], "doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
             rows, docs = part.column(0).to_pylist(), part.column(1).to_pylist()

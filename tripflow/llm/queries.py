@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.common import read_table
 from tripflow.llm.exact_dedup import exact_dedup
+from tripflow.llm.language import identify
+from tripflow.llm.mixing import mix
 from tripflow.llm.packing import pack_documents
 from tripflow.llm.sharding import shard_rows
 from tripflow.llm.topk import top_k
@@ -24,6 +26,12 @@ def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup(read_table(spark, d, "documents")).drop("row")
 
 
+def op3_language(spark: SparkSession, d: str) -> DataFrame:
+    """Predicted language of every document."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return identify(read_table(spark, d, "documents"), path)
+
+
 def op6_sharding(spark: SparkSession, d: str) -> DataFrame:
     """Every document in one of eight shards."""
     placed = shard_rows(read_table(spark, d, "documents"), shards=8)
@@ -43,6 +51,11 @@ def op7_top_k(spark: SparkSession, d: str) -> DataFrame:
     return top_k(read_table(spark, d, "embeddings"), k=10, every=100)
 
 
+def op8_mixing(spark: SparkSession, d: str) -> DataFrame:
+    """How many words of every document a mix of all sources takes."""
+    return mix(read_table(spark, d, "documents")).drop("row")
+
+
 def op9_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     """Every document, cut and packed in sequences of 4096 tokens.
 
@@ -63,7 +76,15 @@ def op10_warc(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
-    for q in (op1_exact_dedup, op6_sharding, op7_top_k, op9_best_fit_packing, op10_warc)
+    for q in (
+        op1_exact_dedup,
+        op3_language,
+        op6_sharding,
+        op7_top_k,
+        op8_mixing,
+        op9_best_fit_packing,
+        op10_warc,
+    )
 }
 
 ORACLE: dict[str, str] = {
