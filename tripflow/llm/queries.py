@@ -12,7 +12,9 @@ from tripflow.llm.common import read_table
 from tripflow.llm.exact_dedup import exact_dedup
 from tripflow.llm.language import identify
 from tripflow.llm.mixing import mix
+from tripflow.llm.near_dedup import near_duplicates
 from tripflow.llm.packing import pack_documents
+from tripflow.llm.quality import score_quality
 from tripflow.llm.sharding import shard_rows
 from tripflow.llm.topk import top_k
 from tripflow.llm.warc import read_archives, resolved_records, write_archives
@@ -32,6 +34,22 @@ def op3_language(spark: SparkSession, d: str) -> DataFrame:
     return identify(read_table(spark, d, "documents"), path)
 
 
+def op4_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Quality of every document; sources are hosts, their languages paths."""
+    scored = score_quality(
+        read_table(spark, d, "documents"),
+        read_table(spark, d, "labels"),
+        host=F.col("source"),
+        path=F.col("lang"),
+    )
+    return scored.drop("row")
+
+
+def op5_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Components of near-duplicates of all documents."""
+    return near_duplicates(read_table(spark, d, "documents")).drop("row")
+
+
 def op6_sharding(spark: SparkSession, d: str) -> DataFrame:
     """Every document in one of eight shards."""
     placed = shard_rows(read_table(spark, d, "documents"), shards=8)
@@ -79,6 +97,8 @@ QUERIES: dict[str, Query] = {
     for q in (
         op1_exact_dedup,
         op3_language,
+        op4_quality,
+        op5_near_dedup,
         op6_sharding,
         op7_top_k,
         op8_mixing,
@@ -99,6 +119,31 @@ SELECT doc_id,
   first_value(doc_id) OVER (PARTITION BY normal ORDER BY n_points DESC, doc_id) = doc_id AS kept,
   sha256(normal) AS text_sha256
 FROM texts""",
+    "op5_near_dedup": r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE
+      WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+      WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    END) AS s
+  FROM texts),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) + any_value(b.n) AS both, count(*) AS n
+  FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM common WHERE 100 * n >= 85 * (both - n)),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON r.other = l.x)
+SELECT doc_id, len(any_value(s)) AS n_shingles, min(other) AS component_id,
+  min(other) = doc_id AS kept
+FROM reached JOIN sets USING (doc_id) GROUP BY doc_id""",
     "op7_top_k": """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
