@@ -134,10 +134,10 @@ sets AS (
   FROM texts),
 flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
 common AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) + any_value(b.n) AS both, count(*) AS n
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) + any_value(b.n) AS total, count(*) AS n
   FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
   GROUP BY a.doc_id, b.doc_id),
-links AS (SELECT x, y FROM common WHERE 100 * n >= 85 * (both - n)),
+links AS (SELECT x, y FROM common WHERE 100 * n >= 85 * (total - n)),
 reached(doc_id, other) AS (
   SELECT doc_id, doc_id FROM sets
   UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON r.other = l.x)
