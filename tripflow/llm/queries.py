@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import read_table
 from tripflow.llm.exact_dedup import exact_dedup
 from tripflow.llm.language import identify
+from tripflow.llm.line_dedup import line_report
 from tripflow.llm.mixing import mix
 from tripflow.llm.near_dedup import near_duplicates
 from tripflow.llm.packing import pack_documents
@@ -28,6 +29,12 @@ def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup(read_table(spark, d, "documents")).drop("row")
 
 
+def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with the lines that an earlier line resembles."""
+    report = line_report(read_table(spark, d, "documents")).drop("row")
+    return report.withColumn("removed_lines", F.array_join("removed_lines", ","))
+
+
 def op3_language(spark: SparkSession, d: str) -> DataFrame:
     """Predicted language of every document."""
     path = public_tokenizers.path("piece_bpe_32k.model")
@@ -96,6 +103,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_exact_dedup,
+        op2_line_dedup,
         op3_language,
         op4_quality,
         op5_near_dedup,
@@ -119,6 +127,43 @@ SELECT doc_id,
   first_value(doc_id) OVER (PARTITION BY normal ORDER BY n_points DESC, doc_id) = doc_id AS kept,
   sha256(normal) AS text_sha256
 FROM texts""",
+    "op2_line_dedup": r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT doc_id, unnest(range(len(parts))) AS line_no, unnest(parts) AS line FROM split),
+sets AS (
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(
+      regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS words
+  FROM lines),
+classes AS (
+  SELECT words, len(words) AS n, min((doc_id, line_no)) AS first FROM sets
+  WHERE len(words) > 0 GROUP BY words),
+numbered AS (SELECT *, row_number() OVER (ORDER BY first) AS id FROM classes),
+occurrences AS (SELECT id, n, unnest(words) AS word FROM numbered),
+often AS (SELECT word, count(*) AS f FROM occurrences GROUP BY word),
+prefixes AS (
+  SELECT id, n, word FROM occurrences JOIN often USING (word)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY f, word) <= n - ceil(0.8 * n) + 1),
+pairs AS (
+  SELECT DISTINCT a.id AS x, b.id AS y FROM prefixes a
+  JOIN prefixes b ON a.word = b.word AND a.id < b.id AND 10 * a.n >= 8 * b.n AND 10 * b.n >= 8 * a.n),
+links AS (
+  SELECT x, y FROM pairs JOIN numbered a ON x = a.id JOIN numbered b ON y = b.id
+  WHERE 10 * len(list_intersect(a.words, b.words))
+    >= 8 * (a.n + b.n - len(list_intersect(a.words, b.words)))),
+counted AS (
+  SELECT id, count(*) AS links, bool_or(late) AS late FROM (
+    SELECT x AS id, false AS late FROM links UNION ALL SELECT y, true FROM links) GROUP BY id),
+judged AS (
+  SELECT s.doc_id, s.line_no, coalesce(c.links, 0) AS links,
+    coalesce(c.late, false) OR coalesce(n.first <> (s.doc_id, s.line_no), false) AS removed
+  FROM sets s LEFT JOIN numbered n ON s.words = n.words LEFT JOIN counted c ON c.id = n.id)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+  CAST(sum(links) AS BIGINT) AS n_links,
+  coalesce(string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) FILTER (removed), '')
+    AS removed_lines
+FROM judged GROUP BY doc_id""",
     "op5_near_dedup": r"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
