@@ -12,38 +12,68 @@ from pyspark.sql import types as T
 from tripflow.functions import truncate
 from tripflow.schemas import REVENUE_MEASURES
 
-# Binary fractions are summed in millionths.
-FRACTION_DIGITS = 6
 # Longs are summed in two parts, split at this bit, so no total can overflow.
 SPLIT = 20
+# Doubles are taken apart in pieces of this many bits.
+PIECE = 26
+
+
+def _sum_of_longs(units: Column) -> Column:
+    high = F.sum(F.shiftright(units, SPLIT)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit(2**SPLIT - 1))).cast("decimal(20,0)")
+    return high * F.lit(2**SPLIT).cast("decimal(7,0)") + low
+
+
+def _sum_of_doubles(value: Column) -> Column:
+    """Sum of doubles that does not depend on the order of rows.
+
+    Below 2^53 a double is a whole part and two pieces of 26 bits of fraction;
+    all are added as longs, which no 2^36 rows overflow. What a number below
+    one has beyond those bits, numbers of 2^53 and more, NaN and infinities
+    are added as doubles beside them, so the latter come out as in any sum.
+    """
+    value = value.cast("double")
+    size = float(2**PIECE)
+    plain = F.abs(value) < float(2**53)
+    # NaN compares as larger than any number, and so is not plain.
+    whole = F.when(plain, value).otherwise(F.when(value.isNotNull(), F.lit(0.0))).cast("long")
+    first_rest = F.when(plain, value - whole.cast("double")).otherwise(F.lit(0.0)) * size
+    first = first_rest.cast("long")
+    second_rest = (first_rest - first.cast("double")) * size
+    second = second_rest.cast("long")
+    beside = F.when(plain, (second_rest - second.cast("double")) / size / size).otherwise(value)
+    wholes = _sum_of_longs(whole).cast("double")
+    pieces = F.sum(first).cast("decimal(20,0)") * F.lit(2**PIECE).cast("decimal(8,0)")
+    pieces = (pieces + F.sum(second).cast("decimal(20,0)")).cast("double")
+    return wholes + pieces / F.lit(size * size) + F.sum(beside)
 
 
 def exact_sum(df: DataFrame, name: str) -> Column:
-    """Sum that is exact and does not depend on the order of rows.
+    """Sum that does not depend on the order of rows.
 
-    Doubles added in another order give another total, and decimal addition
-    costs many times a long's. So values are counted in whole units of their
-    smallest digit (doubles: millionths) and added as longs, in a high and a
-    low part. The result is a decimal, built once per group.
+    Integers and decimals are counted in units of their smallest digit and
+    added as longs, in a high and a low part, at a fraction of the cost of
+    adding decimals; the result is a decimal, built once per group. Doubles
+    give a double, see ``_sum_of_doubles``.
     """
     kind, value = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.IntegralType):
-        digits, units = 0, value.cast("long")
-    elif isinstance(kind, T.DecimalType) and kind.precision <= 18:
-        digits, units = kind.scale, (value * F.lit(10**kind.scale)).cast("long")
-    elif isinstance(kind, (T.DoubleType, T.FloatType)):
-        digits = FRACTION_DIGITS
-        units = F.rint(value * float(10**digits)).cast("long")
-    else:
-        return F.sum(value)
-    high = F.sum(F.shiftright(units, SPLIT)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit(2**SPLIT - 1))).cast("decimal(20,0)")
-    total = high * F.lit(2**SPLIT).cast("decimal(7,0)") + low
-    return total * F.lit(Decimal(1).scaleb(-digits)) if digits else total
+        return _sum_of_longs(value.cast("long"))
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        total = _sum_of_longs((value * F.lit(10**kind.scale)).cast("long"))
+        return total * F.lit(Decimal(1).scaleb(-kind.scale)) if kind.scale else total
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return _sum_of_doubles(value)
+    return F.sum(value)
 
 
 def total_money(df: DataFrame, name: str) -> Column:
-    """Exact sum in cents; only the total is rounded, never an addend."""
+    """Sum in cents; only the total is rounded, never an addend.
+
+    A decimal for exact amounts, a double for doubles, which may be NaN.
+    """
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.round(exact_sum(df, name), 2)
     return exact_sum(df, name).cast("decimal(28,2)")
 
 
