@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions import decode_json
-from tripflow.functions.scalars import CORRUPT
 from tripflow.operators.regression import TrainedModel
 
 
@@ -34,15 +35,37 @@ def score_batches(
     return df.mapInPandas(run, schema)
 
 
+def _decoded(text: str, schema: T.StructType) -> Column:
+    """JSON object as a struct of ``schema``, NULL if it is malformed.
+
+    Names match without regard to case. Malformed is what is no JSON object,
+    lacks a declared input, or holds a value that does not fit its type.
+    """
+    fields = F.map_entries(F.from_json(text, "map<string,string>"))
+
+    def sent(name: str) -> Column:
+        return F.get(F.filter(fields, lambda e: F.lower(e["key"]) == name.lower()), 0)
+
+    values = {f.name: sent(f.name)["value"].try_cast(f.dataType) for f in schema.fields}
+    fits = [
+        sent(name).isNotNull() & (sent(name)["value"].isNull() | value.isNotNull())
+        for name, value in values.items()
+    ]
+    row = F.struct(*(value.alias(name) for name, value in values.items()))
+    return F.when(reduce(and_, fits), row)
+
+
 def score_json(
     df: DataFrame, model: TrainedModel, schema: T.StructType, text: str = "value"
 ) -> DataFrame:
     """Decode JSON feature rows and predict; works on streams too.
 
-    Malformed rows are not scored; ``decode_json`` finds them for a quarantine.
+    Malformed rows are not scored, see ``_decoded``; ``malformed_json`` has them.
     """
-    decoded = df.withColumn("_row", decode_json(text, schema))
-    good = decoded.filter(f"_row.{CORRUPT} IS NULL").select(
-        *df.columns, *(f"_row.{name}" for name in schema.names)
-    )
-    return model.predict(good)
+    good = df.withColumn("_row", _decoded(text, schema)).filter("_row IS NOT NULL")
+    return model.predict(good.select(*df.columns, *(f"_row.{name}" for name in schema.names)))
+
+
+def malformed_json(df: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
+    """The rows that ``score_json`` leaves out, for a quarantine."""
+    return df.filter(_decoded(text, schema).isNull())
