@@ -53,6 +53,13 @@ def test_drifting_months_share_one_scan_per_schema(spark, tmp_path):
     assert df.schema["passengers"].dataType == T.IntegerType()
     assert sorted(rows(df), key=repr) == [(1, "a"), (1, "a"), (2, None), (2, None)]
     assert plan(df).count("Location: InMemoryFileIndex") == 2
+    one.write.parquet(f"{tmp_path}/mixed")
+    other.write.mode("append").parquet(f"{tmp_path}/mixed")
+    wider = files.read_drifting_parquet(
+        spark, [f"{tmp_path}/mixed"], {**types, "fee": T.DecimalType(18, 2)}
+    )
+    assert wider.schema["fee"].dataType == T.DecimalType(18, 2)
+    assert sorted(rows(wider), key=repr) == [(1, "a", None), (2, None, None)]
     with pytest.raises(ValueError):
         files.read_drifting_parquet(spark, [], types)
 
@@ -243,7 +250,20 @@ def test_work_folder_comes_from_the_session(spark):
         shared_root(cluster)
 
 
-def test_shuffle_partitions_follow_the_input_and_only_rise(spark, tmp_path):
+def test_shuffle_setting_returns_after_a_large_input(spark, sf):
+    from tripflow.verify.queries import run
+
+    key = "spark.sql.shuffle.partitions"
+    own = spark.conf.get(key)
+    size_shuffles(spark, 1000 * SHUFFLE_BYTES)
+    assert spark.conf.get(key) == "1000"
+    size_shuffles(spark, 2000 * SHUFFLE_BYTES, at_most=1500)
+    assert spark.conf.get(key) == "1500"
+    run("dim_zones", spark, sf)
+    assert spark.conf.get(key) == own
+
+
+def test_shuffle_partitions_follow_the_input(spark, tmp_path):
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(10 * SHUFFLE_BYTES + 1, 8) == 11
     assert shuffle_partitions(100 * 2**40, 8) == MAX_SHUFFLE_PARTITIONS

@@ -54,25 +54,41 @@ def pin_runtime_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Input per shuffle partition, and the most partitions a shuffle starts with.
-# Past the limit partitions grow instead, and sorts and aggregates spill.
+# Input per shuffle partition.
 SHUFFLE_BYTES = 128 * 1024 * 1024
+# The driver keeps a size per map task and partition, so their number has a limit;
+# past it partitions grow (3 GB each at 100 TB) and sorts spill, but nothing is lost.
+# A cluster whose driver holds more passes a larger ``at_most``.
 MAX_SHUFFLE_PARTITIONS = 32_768
 
+_SHUFFLE = "spark.sql.shuffle.partitions"
+_OWN, _SIZED = "tripflow.shuffle.own", "tripflow.shuffle.sized"
 
-def shuffle_partitions(input_bytes: int, at_least: int) -> int:
+
+def shuffle_partitions(
+    input_bytes: int, at_least: int, at_most: int = MAX_SHUFFLE_PARTITIONS
+) -> int:
+    """Partitions of 128 MB for an input, ``at_most`` of them."""
     wanted = -(-input_bytes // SHUFFLE_BYTES)
-    return max(at_least, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    return max(at_least, min(wanted, at_most))
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Start shuffles with enough partitions for the input; AQE merges small ones.
+def size_shuffles(
+    spark: SparkSession, input_bytes: int, at_most: int = MAX_SHUFFLE_PARTITIONS
+) -> None:
+    """Start shuffles of the next query with enough partitions; AQE merges small ones.
 
     AQE cannot split the partitions of an aggregate or a window, so the
-    starting number has to fit the data. It is only ever raised.
+    starting number has to fit the data. It is never below the session's own
+    setting, and goes back to that for a small input: the setting found is
+    remembered, unless it is the one made here the time before. A query is
+    planned when it runs, so the setting must still hold then.
     """
-    key = "spark.sql.shuffle.partitions"
-    spark.conf.set(key, shuffle_partitions(input_bytes, int(spark.conf.get(key))))
+    now = spark.conf.get(_SHUFFLE)
+    if now != spark.conf.get(_SIZED, None):
+        spark.conf.set(_OWN, now)
+    spark.conf.set(_SHUFFLE, shuffle_partitions(input_bytes, int(spark.conf.get(_OWN)), at_most))
+    spark.conf.set(_SIZED, spark.conf.get(_SHUFFLE))
 
 
 @cache

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,39 +36,71 @@ def month_paths(
     ]
 
 
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Path and schema of each Parquet file, of which only the footer is read.
+
+    The schema is NULL on a file system that Arrow does not know.
+    """
+    for batch in batches:
+        schemas = []
+        for path in batch.column(0).to_pylist():
+            try:
+                system, place = FileSystem.from_uri(path)
+                with system.open_input_file(place) as file:
+                    fields = pq.read_schema(file)
+            except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                schemas.append(None)
+            else:
+                schemas.append(";".join(sorted(f"{f.name.lower()} {f.type}" for f in fields)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(schemas, pa.string())], names=["path", "schema"]
+        )
+
+
+def schema_groups(spark: SparkSession, paths: Iterable[str]) -> list[list[str]]:
+    """Files under the paths, grouped by the schema in their footers.
+
+    One job looks at all files: Spark lists them, and tasks read the footers
+    of those they are dealt. What reaches the driver are names and schemas, as
+    with any listing. Files that only Spark can open are asked for one by one.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    files = listed.option("recursiveFileLookup", True).load(list(paths)).select("path")
+    found = files.mapInArrow(_footers, "path string, schema string")
+    groups: dict[str, list[str]] = {}
+    for row in found.orderBy("path").collect():
+        schema = row.schema or spark.read.parquet(row.path).schema.simpleString().lower()
+        groups.setdefault(schema, []).append(row.path)
+    return list(groups.values())
+
+
 def read_drifting_parquet(
     spark: SparkSession,
     paths: Iterable[str],
     types: dict[str, T.DataType],
     strict: bool = True,
 ) -> DataFrame:
-    """Files whose column types differ from month to month, as one frame.
+    """Files whose column types differ from one to the next, as one frame.
 
-    Parquet cannot be read as bigint and double at once. Only the footers
-    are compared here; paths that agree share one scan, so the plan grows with
-    the number of distinct schemas (a few), not with the number of files.
-    Columns a file lacks become NULL.
+    Parquet cannot be read as bigint and double at once. Files are compared by
+    their footers, also inside a folder or glob; those that agree share one
+    scan, so the plan grows with the number of distinct schemas (a few), not
+    with the number of files. Columns a file lacks are NULL, and so are those
+    that no file has.
     """
-    groups: dict[tuple, list[str]] = {}
-    for path in paths:
-        fields = spark.read.parquet(path).schema.fields
-        key = tuple(sorted((f.name.lower(), f.dataType.simpleString()) for f in fields))
-        groups.setdefault(key, []).append(path)
+    paths = list(paths)
+    groups = schema_groups(spark, paths) if paths else []
     if not groups:
-        raise ValueError("no paths to read")
+        raise ValueError("no files to read")
 
     def typed(group: list[str]) -> DataFrame:
         frame = spark.read.parquet(*group)
         present = {c.lower() for c in frame.columns}
-        return cast_columns(
-            frame, {n: t for n, t in types.items() if n.lower() in present}, strict
-        )
+        here = {n: t for n, t in types.items() if n.lower() in present}
+        absent = {n: F.lit(None).cast(t) for n, t in types.items() if n not in here}
+        return cast_columns(frame, here, strict).withColumns(absent).select(*types)
 
-    merged = reduce(
-        lambda left, right: left.unionByName(right, allowMissingColumns=True),
-        map(typed, groups.values()),
-    )
-    return merged.select(*(n for n in types if n in merged.columns))
+    return reduce(DataFrame.union, map(typed, groups))
 
 
 def read_csv(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
