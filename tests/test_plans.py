@@ -211,7 +211,8 @@ def test_mart_job_from_files_and_its_report(spark, tmp_path):
         ("unique", "service_type+tripid"): ("warn", 0),
         ("not_null", "tripid"): ("warn", 0),
         ("relationships", "pickup_locationid"): ("warn", 1),
-        ("relationships", "dropoff_locationid"): ("warn", 0),
+        ("relationships", "dropoff_locationid (service_type = Green)"): ("error", 0),
+        ("relationships", "dropoff_locationid (service_type = Yellow)"): ("warn", 0),
         ("accepted_values", "payment_type"): ("warn", 1),
         ("not_null", "revenue_monthly_total_amount"): ("error", 0),
     }
@@ -225,6 +226,18 @@ def test_mart_job_fails_on_an_error_check(spark, tmp_path):
         jobs.build_marts(staged, zone_frame(spark), str(tmp_path))
 
 
+def test_mart_job_fails_on_a_green_dropoff_without_zone(spark, tmp_path):
+    """The same orphan in a yellow trip is a warning."""
+    orphan = green(1.0, 0, dropoff=77)
+    yellow = stage(supplied_shape(spark, orphan, green(1.0, 1))).withColumn("service_type", F.lit("Yellow"))
+    built = jobs.build_marts(yellow, zone_frame(spark), f"{tmp_path}/yellow")
+    assert built.report.filter("violations > 0 AND severity = 'warn'").count() == 1
+    with pytest.raises(QualityError, match="Green"):
+        jobs.build_marts(
+            yellow.withColumn("service_type", F.lit("Green")), zone_frame(spark), f"{tmp_path}/green"
+        )
+
+
 def test_monthly_report_job_writes_its_result(spark, tmp_path):
     green_frame(spark, green(1.0, 0), green(1.0, 0)).write.parquet(f"{tmp_path}/g")
     yellow_frame(spark, green(1.0, 0)).write.parquet(f"{tmp_path}/y")

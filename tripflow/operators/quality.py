@@ -23,6 +23,8 @@ class Check:
     values: tuple = ()
     parent: DataFrame | None = None
     parent_column: str = ""
+    # Column and value: the check looks at these rows only.
+    only: tuple[str, str] | None = None
 
 
 def unique(*columns: str, severity: str = ERROR) -> Check:
@@ -38,9 +40,15 @@ def accepted_values(column: str, values: Sequence, severity: str = ERROR) -> Che
 
 
 def relationships(
-    column: str, parent: DataFrame, parent_column: str, severity: str = ERROR
+    column: str,
+    parent: DataFrame,
+    parent_column: str,
+    severity: str = ERROR,
+    only: tuple[str, str] | None = None,
 ) -> Check:
-    return Check("relationships", (column,), severity, parent=parent, parent_column=parent_column)
+    return Check(
+        "relationships", (column,), severity, parent=parent, parent_column=parent_column, only=only
+    )
 
 
 def duplicate_keys(df: DataFrame, *columns: str) -> DataFrame:
@@ -61,9 +69,12 @@ def _row_violation(check: Check) -> Column:
 
 
 def _label(check: Check) -> list[Column]:
+    name = "+".join(check.columns)
+    if check.only:
+        name += f" ({check.only[0]} = {check.only[1]})"
     return [
         F.lit(check.kind).alias("check"),
-        F.lit("+".join(check.columns)).alias("column_name"),
+        F.lit(name).alias("column_name"),
         F.lit(check.severity).alias("severity"),
     ]
 
@@ -96,7 +107,8 @@ def quality_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         if check.kind == "unique":
             found = duplicate_keys(df, *check.columns).agg(F.count("*").alias("violations"))
         elif check.kind == "relationships":
-            orphans = without_parent(df, check.columns[0], check.parent, check.parent_column)
+            rows = df.filter(F.col(check.only[0]) == check.only[1]) if check.only else df
+            orphans = without_parent(rows, check.columns[0], check.parent, check.parent_column)
             found = orphans.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations"))
         else:
             continue

@@ -101,7 +101,7 @@ def hourly_merge(
 ) -> DataFrame:
     """Hourly revenue of each service, their merge, and the merge in known zones.
 
-    Each step is stored, and the next one starts from the stored copy.
+    Each step is stored, the last one too, and the next starts from the stored copy.
     """
     spark, sides = trips.sparkSession, {}
     for service in (GREEN.service, YELLOW.service):
@@ -110,7 +110,9 @@ def hourly_merge(
         sides[service] = spark.read.parquet(path)
     merged = marts.merge_hourly(sides[GREEN.service], sides[YELLOW.service])
     files.write_parquet(merged, f"{output}/merged", mode)
-    return marts.in_known_zones(spark.read.parquet(f"{output}/merged"), zones)
+    known = marts.in_known_zones(spark.read.parquet(f"{output}/merged"), zones)
+    files.write_parquet(known, f"{output}/in_known_zones", mode)
+    return spark.read.parquet(f"{output}/in_known_zones")
 
 
 def zone_distances(
@@ -144,9 +146,9 @@ def build_marts(
     spark = lookup.sparkSession
 
     def store(df: DataFrame, name: str, comments: dict[str, str], **options) -> DataFrame:
-        path = f"{output}/{name}"
-        files.write_parquet(described(df, comments), path, mode, **options)
-        return spark.read.parquet(path)
+        path, df = f"{output}/{name}", described(df, comments)
+        files.write_parquet(df, path, mode, **options)
+        return spark.read.schema(df.schema).parquet(path)
 
     zones = store(marts.dim_zones(lookup), "dim_zones", ZONE_COLUMNS)
     fact = store(
@@ -156,7 +158,9 @@ def build_marts(
     report = quality_report(staged, service_checks(zones)).unionByName(
         quality_report(monthly, mart_checks())
     )
-    return Marts(zones, fact, monthly, enforce(report))
+    # A row per check, stored once: to judge it and to show it are two reads.
+    files.write_parquet(report, f"{output}/quality_report", mode, files=1)
+    return Marts(zones, fact, monthly, enforce(spark.read.parquet(f"{output}/quality_report")))
 
 
 def build_marts_from_files(

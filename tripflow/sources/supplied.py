@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.functions import code_description
 from tripflow.schemas import GREEN, YELLOW, ServiceLayout
 
 # Raw column -> Spark expression over lineitem.
@@ -38,8 +37,8 @@ RAW_TRIP = {
 }
 SERVICE = "CASE WHEN l_linestatus = 'F' THEN 'Green' ELSE 'Yellow' END"
 
-# Event types that play the two services of the hourly reports.
-EVENT_SERVICES = {"click": GREEN.service, "view": YELLOW.service}
+# Event types that play green trips in the hourly reports; all others are yellow.
+GREEN_EVENTS = ("click", "signup")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -107,16 +106,19 @@ def zone_lookup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def event_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as trips with real clock times, for the hourly reports.
+def complete_zone_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the location number no nation has, as an unknown place."""
+    zones = zone_lookup(spark, folder)
+    none = spark.createDataFrame([(25, "Unknown", "NV", "N/A")], "a int, b string, c string, d string")
+    return zones.union(none.toDF(*zones.columns))
 
-    Only the two event types that play a service are trips; naming them lets
-    the scan filter by type.
-    """
-    events = table(spark, folder, "events").filter(F.col("event_type").isin(list(EVENT_SERVICES)))
-    return events.select(
+
+def event_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as trips with real clock times, for the hourly reports."""
+    green = F.col("event_type").isin(list(GREEN_EVENTS))
+    return table(spark, folder, "events").select(
         F.col("ts").alias("pickup_datetime"),
         F.expr("cast(user_id % 26 AS int)").alias("pulocationid"),
         F.col("value").alias("total_amount"),
-        code_description("event_type", EVENT_SERVICES).alias("service_type"),
+        F.when(green, GREEN.service).otherwise(YELLOW.service).alias("service_type"),
     )

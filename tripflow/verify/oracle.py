@@ -1,9 +1,53 @@
-"""The same results in SQL, written independently of the operators."""
+"""The same results in SQL, written independently: nothing is imported from the operators."""
 
 from __future__ import annotations
 
-from tripflow.schemas import PAYMENT_DESCRIPTIONS, REVENUE_MEASURES, TRIP_TYPES
-from tripflow.verify.queries import DRIFT_FROM, MONTH, NINETEEN_MONTHS, PREVIEW_ROWS, SINCE, VENDOR
+# What the queries are asked for.
+DRIFT_FROM = "1998-06-01 00:00:00"
+MONTH = ("1998-06-01", "1998-06-30")
+NINETEEN_MONTHS = ("1998-06-01", "1999-12-31")
+PREVIEW_ROWS = 100
+SINCE = "2024-01-05 00:00:00"
+VENDOR = 1
+
+# Payment codes and their texts.
+PAYMENT_DESCRIPTIONS = {
+    1: "Credit card",
+    2: "Cash",
+    3: "No charge",
+    4: "Dispute",
+    5: "Unknown",
+    6: "Voided trip",
+}
+
+# Summed columns and the ends of their names in the report.
+REVENUE_MEASURES = {
+    "fare_amount": "fare",
+    "extra": "extra",
+    "mta_tax": "mta_tax",
+    "tip_amount": "tip_amount",
+    "tolls_amount": "tolls_amount",
+    "ehail_fee": "ehail_fee",
+    "improvement_surcharge": "improvement_surcharge",
+    "total_amount": "total_amount",
+    "congestion_surcharge": "congestion_surcharge",
+}
+
+# Columns of a staged trip and their types.
+TRIP_TYPES = {
+    "vendorid": "INTEGER",
+    "ratecodeid": "INTEGER",
+    "pickup_locationid": "INTEGER",
+    "dropoff_locationid": "INTEGER",
+    "pickup_datetime": "TIMESTAMP",
+    "dropoff_datetime": "TIMESTAMP",
+    "store_and_fwd_flag": "VARCHAR",
+    "passenger_count": "INTEGER",
+    "trip_distance": "DECIMAL(18,6)",
+    "trip_type": "INTEGER",
+    **dict.fromkeys(REVENUE_MEASURES, "DECIMAL(18,2)"),
+    "payment_type": "INTEGER",
+}
 
 MONEY = list(REVENUE_MEASURES)
 SHARED_MONEY = [m for m in MONEY if m != "ehail_fee"]
@@ -42,25 +86,20 @@ ZONES = """zones AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 _RAW_NAMES = {"pickup_locationid": "pulocationid", "dropoff_locationid": "dolocationid"}
-_SQL_TYPES = {
-    "int": "INTEGER",
-    "string": "VARCHAR",
-    "timestamp_ntz": "TIMESTAMP",
-    "decimal(18,2)": "DECIMAL(18,2)",
-    "decimal(18,6)": "DECIMAL(18,6)",
-}
 
 
 def _typed(name: str) -> str:
-    target = _SQL_TYPES[TRIP_TYPES[name].simpleString()]
-    return f"CAST({_RAW_NAMES.get(name, name)} AS {target}) AS {name}"
+    return f"CAST({_RAW_NAMES.get(name, name)} AS {TRIP_TYPES[name]}) AS {name}"
 
 
-_ORDER = ", ".join(
-    f"{_RAW_NAMES.get(n, n)} ASC NULLS LAST"
-    for n in TRIP_TYPES
-    if n not in ("vendorid", "pickup_datetime")
-)
+# Fixed value: the order that decides which of several trips with one key stays.
+_ORDER_BY = [
+    "ratecodeid", "pulocationid", "dolocationid", "dropoff_datetime", "store_and_fwd_flag",
+    "passenger_count", "trip_distance", "trip_type", "fare_amount", "extra", "mta_tax",
+    "tip_amount", "tolls_amount", "ehail_fee", "improvement_surcharge", "total_amount",
+    "payment_type", "congestion_surcharge",
+]
+_ORDER = ", ".join(f"{n} ASC NULLS LAST" for n in _ORDER_BY)
 _KEY = "md5(concat(CAST(vendorid AS VARCHAR), '-', CAST(pickup_datetime AS VARCHAR)))"
 _DESCRIPTION = (
     "CASE CAST(payment_type AS INTEGER) "
@@ -104,6 +143,16 @@ def _revenue(measures: list[str]) -> str:
     )
 
 
+# Raw amounts are doubles: added as they are, and the total rounded to cents.
+def _raw_revenue(measures: list[str]) -> str:
+    return ", ".join(
+        f"round(fsum({m}), 2) AS revenue_monthly_{REVENUE_MEASURES[m]}" for m in measures
+    )
+
+
+_RAW_MEANS = """fsum(passenger_count) / count(passenger_count) AS avg_montly_passenger_count,
+    fsum(trip_distance) / count(trip_distance) AS avg_montly_trip_distance"""
+
 _MEANS = """CAST(sum(CAST(passenger_count AS INTEGER)) AS DOUBLE) / count(passenger_count)
       AS avg_montly_passenger_count,
     CAST(sum(CAST(trip_distance AS DECIMAL(18,6))) AS DOUBLE) / count(trip_distance)
@@ -118,13 +167,14 @@ FROM fact GROUP BY ALL"""
 MONTHLY_BY_ID = f"""WITH {RAW}
 SELECT pulocationid AS revenue_zone,
     CAST(date_trunc('month', pickup_datetime) AS TIMESTAMP) AS revenue_month, service_type,
-    {_revenue(SHARED_MONEY)}, {_MEANS}
+    {_raw_revenue(SHARED_MONEY)}, {_RAW_MEANS}
 FROM raw GROUP BY ALL"""
 
 EVENT_TRIPS = """trips AS (
-  SELECT CASE event_type WHEN 'click' THEN 'Green' WHEN 'view' THEN 'Yellow' END AS service_type,
+  SELECT CASE WHEN event_type IN ('click', 'signup') THEN 'Green' ELSE 'Yellow' END
+      AS service_type,
     CAST(user_id % 26 AS INTEGER) AS zone, date_trunc('hour', ts) AS hour, ts,
-    CAST(value AS DECIMAL(18,2)) AS amount
+    value AS amount
   FROM events)"""
 
 
@@ -132,7 +182,7 @@ def _hourly_side(service: str) -> str:
     name = service.lower()
     return f"""{name} AS (
   SELECT zone AS revenue_zone, CAST(hour AS TIMESTAMP) AS revenue_hour,
-    CAST(sum(amount) AS DOUBLE) AS revenue_hourly_total_amount_{name},
+    round(fsum(amount), 2) AS revenue_hourly_total_amount_{name},
     count(*) AS number_records_{name}
   FROM trips WHERE service_type = '{service}' GROUP BY ALL)"""
 
@@ -200,11 +250,10 @@ def _dates(bounds) -> str:
     return f"CAST(l_shipdate AS DATE) BETWEEN DATE '{low}' AND DATE '{high}'"
 
 
-def _violations(check: str, column: str, count: str) -> str:
+def _violations(check: str, column: str, count: str, severity: str = "warn") -> str:
     return (
         f"SELECT '{check}' AS \"check\", '{column}' AS column_name, "
-        f"'{'error' if column == 'tripid' and check == 'unique' else 'warn'}' AS severity, "
-        f"{count} AS violations"
+        f"'{severity}' AS severity, {count} AS violations"
     )
 
 
@@ -214,9 +263,10 @@ def _repeated(columns: str) -> str:
     )
 
 
-def _orphans(column: str) -> str:
+def _orphans(column: str, service: str = "") -> str:
+    only = f"service_type = '{service}' AND " if service else ""
     return (
-        f"(SELECT count(*) FROM staged WHERE {column} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT count(*) FROM staged WHERE {only}{column} IS NOT NULL AND NOT EXISTS "
         f"(SELECT 1 FROM nation WHERE n_nationkey = {column}))"
     )
 
@@ -249,11 +299,10 @@ SELECT {", ".join(_COMMON)} FROM raw""",
     "service_union_job": f"""WITH {RAW}
 SELECT service_type, payment_type, count(*) AS "count" FROM raw GROUP BY ALL""",
     "avg_distance_by_service": f"""WITH {RAW}
-SELECT service_type, CAST(sum(CAST(trip_distance AS DECIMAL(18,6))) AS DOUBLE)
-    / count(trip_distance) AS avg_trip_distance
+SELECT service_type, fsum(trip_distance) / count(trip_distance) AS avg_trip_distance
 FROM raw GROUP BY ALL""",
     "hourly_revenue_green": f"""WITH {EVENT_TRIPS}
-SELECT CAST(hour AS TIMESTAMP) AS hour, zone, CAST(sum(amount) AS DOUBLE) AS amount,
+SELECT CAST(hour AS TIMESTAMP) AS hour, zone, round(fsum(amount), 2) AS amount,
     count(*) AS number_records
 FROM trips WHERE service_type = 'Green' AND ts >= TIMESTAMP '{SINCE}' GROUP BY ALL""",
     "hourly_outer_merge": HOURLY_MERGE,
@@ -267,7 +316,7 @@ FROM raw JOIN nation p ON pulocationid = p.n_nationkey
     JOIN nation q ON dolocationid = q.n_nationkey""",
     "zone_distances_job": f"""WITH {RAW}
 SELECT p.n_name AS pickup_zone, q.n_name AS dropoff_zone, count(*) AS trips,
-    CAST(sum(CAST(trip_distance AS DECIMAL(18,6))) AS DOUBLE) AS distance
+    fsum(trip_distance) AS distance
 FROM raw JOIN nation p ON pulocationid = p.n_nationkey
     JOIN nation q ON dolocationid = q.n_nationkey GROUP BY ALL""",
     "long_paid_trips": f"""WITH {RAW}
@@ -295,17 +344,21 @@ SELECT CAST(passenger_count AS BIGINT) AS passenger_count,
 FROM raw WHERE fare_amount <> 0""",
     "drifting_months": f"""WITH {RAW}
 SELECT CAST(passenger_count AS INTEGER) AS passenger_count, count(*) AS trips,
-    CAST(sum(CAST(fare_amount AS DECIMAL(18,2))) AS DOUBLE) AS fare_amount
+    CAST(sum(CAST(fare_amount AS DECIMAL(18,2))) AS DOUBLE) AS fare_amount,
+    CAST(0 AS BIGINT) AS airport_fees
 FROM (SELECT * FROM raw WHERE pickup_datetime < TIMESTAMP '{DRIFT_FROM}'
       UNION ALL SELECT * FROM raw WHERE pickup_datetime >= TIMESTAMP '{DRIFT_FROM}')
 GROUP BY 1""",
     "quality_report": f"""WITH {RAW}, {STAGED}
 {_violations("unique", "service_type+tripid", _repeated("service_type, tripid"))}
-UNION ALL {_violations("unique", "tripid", _repeated("tripid"))}
+UNION ALL {_violations("unique", "tripid", _repeated("tripid"), "error")}
 UNION ALL {_violations("not_null", "tripid",
     "(SELECT count(*) FROM staged WHERE tripid IS NULL)")}
 UNION ALL {_violations("relationships", "pickup_locationid", _orphans("pickup_locationid"))}
-UNION ALL {_violations("relationships", "dropoff_locationid", _orphans("dropoff_locationid"))}
+UNION ALL {_violations("relationships", "dropoff_locationid (service_type = Green)",
+    _orphans("dropoff_locationid", "Green"), "error")}
+UNION ALL {_violations("relationships", "dropoff_locationid (service_type = Yellow)",
+    _orphans("dropoff_locationid", "Yellow"))}
 UNION ALL {_violations("accepted_values", "payment_type",
     "(SELECT count(*) FROM staged WHERE payment_type NOT BETWEEN 1 AND 6)")}""",
     "shared_trip_keys": f"""WITH {RAW}, {STAGED}
