@@ -10,9 +10,11 @@ apart, which costs about one open sequence per group of some thousands.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,9 @@ from pyspark.sql import functions as F
 from tripflow.llm.batches import large_text, slices
 from tripflow.llm.common import stored, with_row
 
-CACHE_WORDS = 400_000  # bounds a task's memory only; results do not depend on it
+# These bound a worker's memory only; results do not depend on them.
+CACHE_WORDS = 500_000
+ENCODE_WORDS = 2000
 
 
 @dataclass(frozen=True)
@@ -40,11 +44,13 @@ class Capacities:
 class WordTokens:
     """Token ids by word. No pre-token of the vocabulary crosses white space.
 
-    Words are tokenised once per task and looked up afterwards. ``pool`` holds
+    Words are tokenised once per worker and looked up afterwards. ``pool`` holds
     the ids of all words in a row.
     """
 
     def __init__(self, path: str):
+        # Tasks run side by side already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,21 +60,43 @@ class WordTokens:
         self.known: dict[str, int] = {}
         self.pool = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 16, np.int64)
+        self.met = np.zeros(1 << 16, np.int64)  # in how many slices a word occurred
         self.used = 0
 
+    def _keep_common(self) -> None:
+        """Forget words that occurred once, and of the others the rarer half if they are many."""
+        met = self.met[: len(self.known)]
+        keep = np.flatnonzero(met > 1)
+        if len(keep) > CACHE_WORDS // 2:
+            keep = np.sort(keep[np.argsort(-met[keep], kind="stable")[: CACHE_WORDS // 2]])
+        words = list(self.known)
+        old = self.pool, self.starts, met
+        self._clear()
+        self._store([words[i] for i in keep], [old[0][old[1][i] : old[1][i + 1]] for i in keep])
+        self.met[: len(keep)] = old[2][keep] // 2
+
+    def _store(self, words: list[str], ids: list[np.ndarray]) -> None:
+        first = len(self.known)
+        while first + len(words) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
+        flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
+        ends = self.used + np.cumsum([len(x) for x in ids], dtype=np.int64)
+        self.starts[first + 1 : first + 1 + len(words)] = ends
+        self.used += len(flat)
+
     def _add(self, words: list[str]) -> None:
-        for word, found in zip(
-            words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True
-        ):
-            ids, at = found.ids, len(self.known)
-            self.known[word] = at
-            if at + 2 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-            self.pool[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.starts[at + 1] = self.used
+        """Tokenise words as one text, a space between two, and deal the ids out by offset."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        heads = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+        at = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
+        owner = np.searchsorted(heads, at, side="right") - 1
+        each = np.bincount(owner, minlength=len(words))
+        self._store(words, np.split(np.array(found.ids, np.uint32), np.cumsum(each)[:-1]))
 
     def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text starts (one more at the end)."""
@@ -76,12 +104,13 @@ class WordTokens:
         ends = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
         if len(self.known) > CACHE_WORDS:
-            self._clear()
+            self._keep_common()
         words = coded.dictionary.to_pylist()
         missing = [w for w in words if w not in self.known]
-        if missing:
-            self._add(missing)
+        for i in range(0, len(missing), ENCODE_WORDS):
+            self._add(missing[i : i + ENCODE_WORDS])
         index = np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        self.met[index] += 1
         each = index[coded.indices.to_numpy()] if len(words) else np.empty(0, np.int64)
         first = self.starts[each]
         lengths = self.starts[each + 1] - first
@@ -90,8 +119,14 @@ class WordTokens:
         return self.pool[at], after[ends - ends[0]]
 
 
+@cache
+def _word_tokens(path: str) -> WordTokens:
+    """One per worker, which Spark reuses for many tasks."""
+    return WordTokens(path)
+
+
 def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, most: int):
-    tokens = WordTokens(path)
+    tokens = _word_tokens(path)
     for batch in batches:
         for part in slices(batch, 2):
             ids, starts = tokens.documents(part.column(2))
