@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +37,8 @@ def model(data):
 
 
 def test_known_coefficients_are_found(model, data):
-    weights = model.pipeline.stages[-1].coefficients
-    assert math.isclose(weights[0], 3, abs_tol=1e-6) and math.isclose(weights[1], -1, abs_tol=1e-6)
+    found = model.coefficients
+    assert math.isclose(found["x1"], 3, abs_tol=1e-6) and math.isclose(found["x2"], -1, abs_tol=1e-6)
     scores = regression.evaluate(model, data).first()
     assert scores.rows == 300 and scores.mean_absolute_error < 1e-6 and scores.r2_score > 0.999999
 
@@ -110,15 +110,46 @@ def test_summary_matches_plain_aggregates(spark):
         [(1.0, "a"), (3.0, "a"), (None, "b"), (2.0, None), (2.0, "")], "x1 double, c string"
     )
     summary = regression.summarize(df, Spec("y", ("x1",), ("c",)))
-    assert summary.rows == 5 and summary.means == {"x1": 2.0}
-    assert summary.by_frequency("c") == [("a", 2), ("b", 1)]
+    assert summary.rows == 5 and summary.means == {"x1": 2.0} and summary.sizes == {"c": 3}
+    found = {r.category: (r.n, r["index"]) for r in summary.categories.collect()}
+    assert found == {"": (2, 0), "a": (2, 1), "b": (1, 2)}
 
 
-def test_an_id_is_refused_as_a_category(spark, monkeypatch):
-    monkeypatch.setattr(regression, "MAX_CATEGORIES", 10)
-    df = spark.range(50).selectExpr("cast(id AS double) AS x1", "cast(id AS string) AS c")
-    with pytest.raises(ValueError, match="categories"):
-        regression.summarize(df, Spec("y", ("x1",), ("c",)))
+def test_twenty_thousand_categories(spark, tmp_path):
+    """y = 2 x1 + effect of c, three rows for each of 20,000 categories."""
+    rows = spark.range(60_000).selectExpr(
+        "cast(pmod(xxhash64(id), 1000) AS double) / 100 AS x1", "cast(id % 20000 AS string) AS c",
+        "id",
+    )
+    effect = "cast(c AS double) % 17"
+    rows.selectExpr("*", f"2 * x1 + {effect} AS y").write.parquet(f"{tmp_path}/wide")
+    df = spark.read.parquet(f"{tmp_path}/wide")
+    spec = Spec("y", ("x1",), ("c",))
+    model = regression.train(df, spec)
+    assert math.isclose(model.coefficients["x1"], 2, abs_tol=1e-4)
+    scores = regression.evaluate(model, df).first()
+    assert scores.rows == 60_000 and scores.r2_score > 0.9999
+    explained = model.explain(df.limit(50)).collect()
+    for r in explained:
+        total = r.baseline_prediction + sum(a.attribution for a in r.top_feature_attributions)
+        assert math.isclose(total, r.predicted_y, abs_tol=1e-6)
+    best, trials = regression.tune(df, df, spec, l1_range=(0, 0.01), trials=2)
+    assert trials.count() == 2 and best.predict(df).count() == 60_000
+
+
+def test_a_single_category_and_an_unseen_one(spark):
+    df = spark.createDataFrame([(1.0, "a", 2.0), (2.0, "a", 4.0), (3.0, "a", 6.0)], "x double, c string, y double")
+    model = regression.train(df, Spec("y", ("x",), ("c",)))
+    new = spark.createDataFrame([(4.0, "b")], "x double, c string")
+    assert math.isclose(model.predict(new).first()[-1], 8, abs_tol=1e-6)
+
+
+def test_feature_info_of_no_rows_and_its_plan(spark, sf):
+    df = spark.createDataFrame([], "n double, c string")
+    info = {r.input: r for r in regression.feature_info(df, Spec("y", ("n",), ("c",))).collect()}
+    assert (info["c"].category_count, info["c"].null_count, info["n"].null_count) == (0, 0, 0)
+    features = tip_features(supplied.all_trips(spark, sf))
+    assert "Expand" not in plan(regression.feature_info(features, TIP_SPEC))
 
 
 def test_feature_info(spark):
@@ -202,4 +233,4 @@ def test_full_model_equals_least_squares_by_hand(spark, sf):
     )
     scored = model.predict(features).toPandas()
     expected = design(scored, levels) @ solution
-    assert np.abs(scored["predicted_tip_amount"] - expected).max() < 1e-2
+    assert np.abs(scored["predicted_tip_amount"] - expected).max() < 1e-6

@@ -1,4 +1,11 @@
-"""Linear regression over a table: fit, describe, evaluate, predict, explain, tune."""
+"""Linear regression over a table: fit, describe, evaluate, predict, explain, tune.
+
+Numbers enter as they are, missing ones as the training mean. A category gets
+a weight of its own; a missing or empty one is a category too. Categories may
+be many: they are counted and numbered in a stored table, rows meet it by a
+join, and so do the weights when rows are scored. What the driver holds is one
+coefficient for each, as the solver does.
+"""
 
 from __future__ import annotations
 
@@ -9,20 +16,14 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 from operator import add
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (
-    OneHotEncoder,
-    SQLTransformer,
-    StringIndexerModel,
-    VectorAssembler,
-)
-from pyspark.ml.regression import LinearRegression
+import pandas as pd
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# One-hot widths and the indexer's label list live on the driver and in every
-# task; a column with more categories than this is an id, not a category.
-MAX_CATEGORIES = 10_000
+from tripflow.session import fresh_dir
 
 # The first byte of a key's MD5, below this bound for 205 of 256 values (80 %).
 TRAIN_BELOW = "cd"
@@ -66,139 +67,193 @@ def store_split(df: DataFrame, path: str, *key: str) -> tuple[DataFrame, DataFra
 
 
 def feature_info(df: DataFrame, spec: Spec) -> DataFrame:
-    """Range, mean, spread, categories and NULLs of every input, in one pass."""
+    """Range, mean, spread, categories and NULLs of every input.
+
+    Numbers are one plain aggregate. Categories are counted from one grouping
+    by input and category, which combines before the shuffle.
+    """
     measures = ("min", "max", "mean", "stddev", "category_count", "null_count")
-    none = F.lit(None).cast("double")
     aggregates, rows = [], []
-    for i, name in enumerate(spec.inputs):
-        numeric = name in spec.numbers
-        value = F.col(name).cast("double") if numeric else None
+    for i, name in enumerate(spec.numbers):
+        value = F.col(name).cast("double")
         found = {
-            "min": F.min(value) if numeric else none,
-            "max": F.max(value) if numeric else none,
-            "mean": F.avg(value) if numeric else none,
-            "stddev": F.stddev_samp(value) if numeric else none,
-            "category_count": F.lit(None).cast("long") if numeric else F.count_distinct(name),
+            "min": F.min(value),
+            "max": F.max(value),
+            "mean": F.avg(value),
+            "stddev": F.stddev_samp(value),
+            "category_count": F.lit(None).cast("long"),
             "null_count": F.count_if(F.col(name).isNull()),
         }
         aggregates += [found[m].alias(f"{m}{i}") for m in measures]
         rows.append(
             F.struct(F.lit(name).alias("input"), *(F.col(f"{m}{i}").alias(m) for m in measures))
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    info = df.agg(*aggregates).select(F.inline(F.array(*rows))) if rows else None
+    if spec.categories:
+        none = F.lit(None).cast("double")
+        counts = _pairs(df, spec, lambda c: F.col(c).cast("string")).groupBy("input", "category").count()
+        seen = counts.groupBy("input").agg(
+            F.count("category").alias("category_count"),
+            F.coalesce(F.sum(F.when(F.col("category").isNull(), F.col("count"))), F.lit(0)).alias("null_count"),
+        )
+        # An input of an empty table is listed, too.
+        names = F.array(*(F.lit(c) for c in spec.categories))
+        names = df.sparkSession.range(1).select(F.explode(names).alias("input"))
+        listed = names.join(seen, "input", "left").select(
+            "input",
+            *(none.alias(m) for m in measures[:4]),
+            *(F.coalesce(m, F.lit(0)).alias(m) for m in measures[4:]),
+        )
+        info = listed if info is None else info.unionByName(listed)
+    return info
+
+
+def _pairs(df: DataFrame, spec: Spec, value) -> DataFrame:
+    """One row per input and row: the input's name and the row's category."""
+    pairs = [F.struct(F.lit(c).alias("input"), value(c).alias("category")) for c in spec.categories]
+    return df.select(F.inline(F.array(*pairs)))
+
+
+def _category(name: str) -> Column:
+    """A missing category is the empty one."""
+    return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
 @dataclass(frozen=True)
 class Summary:
-    """Mean of each number, and how often each category value occurs."""
+    """What preparation has to know about the data.
+
+    ``categories`` is a stored table of input, category, n and index: the
+    place of the category by falling frequency, then by value.
+    """
 
     rows: int
     means: dict[str, float]
-    frequencies: dict[str, dict[str, int]]
-
-    def by_frequency(self, name: str) -> list[tuple[str, int]]:
-        """Category values and counts, most frequent first, then by value."""
-        return sorted(self.frequencies[name].items(), key=lambda item: (-item[1], item[0]))
+    sizes: dict[str, int]
+    categories: DataFrame | None
 
 
 def summarize(df: DataFrame, spec: Spec) -> Summary:
-    """All that feature preparation has to know about the data, in one pass.
+    """Means of the numbers in one pass, and counts of the categories in another."""
+    found = df.agg(
+        F.count("*").alias("rows"),
+        *(F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(spec.numbers)),
+    ).first()
+    means = {c: found[f"m{i}"] for i, c in enumerate(spec.numbers)}
+    empty = [c for c in spec.numbers if means[c] is None]
+    if empty:
+        raise ValueError(f"no values to learn from in: {empty}")
+    if not spec.categories:
+        return Summary(found.rows, means, {}, None)
+    counts = _pairs(df, spec, _category).groupBy("input", "category").agg(F.count("*").alias("n"))
+    by_frequency = W.partitionBy("input").orderBy(F.desc("n"), "category")
+    numbered = counts.withColumn("index", F.row_number().over(by_frequency) - 1)
+    path = fresh_dir(df.sparkSession, "categories")
+    numbered.write.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    sizes = {r.input: r.n for r in stored.groupBy("input").agg(F.count("*").alias("n")).collect()}
+    return Summary(found.rows, means, sizes, stored)
 
-    A NULL or empty category is a missing one. Each row gives one (input,
-    category) pair per input; numbers have no category. The pairs combine before
-    the shuffle, and what reaches the driver is one row per number and per
-    distinct category, bounded by the check.
-    """
-    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
 
-    def pair(name: str, category: Column, number: Column) -> Column:
-        return F.struct(
-            F.lit(name).alias("input"), category.alias("category"), number.alias("x")
+def _joined(df: DataFrame, spec: Spec, table: DataFrame | None, value: str, prefix: str) -> DataFrame:
+    """Add a column of the category table for each category; NULL where it is unseen.
+
+    Spark broadcasts the table if it is small, and else shuffles both sides
+    and splits the partitions of frequent categories.
+    """
+    for name in spec.categories:
+        side = table.filter(F.col("input") == name).select(
+            F.col("category").alias(f"_key_{name}"), F.col(value).alias(f"{prefix}{name}")
         )
+        df = df.join(side, _category(name) == F.col(f"_key_{name}"), "left").drop(f"_key_{name}")
+    return df
 
-    pairs = [pair(c, no_text, F.col(c).cast("double")) for c in spec.numbers]
-    pairs += [pair(c, F.col(c).cast("string"), no_number) for c in spec.categories]
-    bound = len(spec.numbers) + len(spec.categories) * (MAX_CATEGORIES + 1)
-    found = (
-        df.select(F.inline(F.array(*pairs)))
-        .groupBy("input", "category")
-        .agg(F.count("*").alias("n"), F.avg("x").alias("mean"))
-        .limit(bound + 1)
-        .collect()
-    )
-    means, frequencies, rows = {}, {c: {} for c in spec.categories}, 0
-    for r in found:
-        if r.input in spec.numbers:
-            means[r.input], rows = r.mean, r.n
-        elif r.category:
-            frequencies[r.input][r.category] = r.n
-    wide = [c for c, counts in frequencies.items() if len(counts) > MAX_CATEGORIES]
-    if wide or len(found) > bound:
-        raise ValueError(f"too many categories to one-hot encode: {wide or spec.categories}")
-    empty = [c for c in spec.numbers if means.get(c) is None]
-    if empty:
-        raise ValueError(f"no values to learn from in: {empty}")
-    return Summary(rows, means, frequencies)
 
+def _filled(name: str, means: dict[str, float]) -> Column:
+    return F.coalesce(F.col(name).cast("double"), F.lit(means[name]))
 
-def _prepare(df: DataFrame, spec: Spec, summary: Summary) -> PipelineModel:
-    """Casts, mean imputation, category indexes and the feature vector.
 
-    Everything comes from the summary, so no stage has to pass over the data.
+def _prepared(df: DataFrame, spec: Spec, summary: Summary) -> DataFrame:
+    """Label and feature vector of each row, stored: every fit reads these alone.
+
+    The rarest category has no place in the vector. With one for each, they
+    would always add up to one, and the normal equations had no single solution.
     """
-    filled = ", ".join(
-        f"coalesce(CAST({c} AS double), {summary.means[c]!r}D) AS _num_{c}" for c in spec.numbers
-    )
-    stages = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")]
-    if spec.categories:
-        stages += [
-            StringIndexerModel.from_labels(
-                [value for value, _ in summary.by_frequency(name)],
-                inputCol=name,
-                outputCol=f"_idx_{name}",
-                handleInvalid="keep",
-            )
-            for name in spec.categories
-        ]
-        stages.append(
-            OneHotEncoder(
-                inputCols=[f"_idx_{c}" for c in spec.categories],
-                outputCols=[f"_hot_{c}" for c in spec.categories],
-            )
+    rows = _joined(df, spec, summary.categories, "index", "_idx_")
+    numbers = [_filled(c, summary.means).alias(f"_num_{c}") for c in spec.numbers]
+    indexes = [
+        F.col(f"_idx_{c}").cast("double").alias(
+            f"_idx_{c}",
+            metadata={"ml_attr": {"type": "nominal", "num_vals": max(summary.sizes[c], 2), "name": c}},
         )
-    inputs = [f"_num_{c}" for c in spec.numbers] + [f"_hot_{c}" for c in spec.categories]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="_features"))
-    return Pipeline(stages=stages).fit(df)
+        for c in spec.categories
+    ]
+    rows = rows.select(F.col(spec.label).cast("double").alias(spec.label), *numbers, *indexes)
+    inputs = [f"_num_{c}" for c in spec.numbers]
+    if spec.categories:
+        hot = [f"_hot_{c}" for c in spec.categories]
+        encoder = OneHotEncoder(inputCols=[f"_idx_{c}" for c in spec.categories], outputCols=hot)
+        rows, inputs = encoder.fit(rows).transform(rows), inputs + hot
+    vectors = VectorAssembler(inputCols=inputs, outputCol="_features").transform(rows)
+    path = fresh_dir(df.sparkSession, "prepared")
+    vectors.select(spec.label, "_features").write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _estimator(spec: Spec, l1: float = 0.0, l2: float = 0.0) -> LinearRegression:
+    """Up to 4,096 features the solver reduces rows to the normal equations in
+    one pass; beyond, it iterates over the prepared rows instead.
+    """
     total = l1 + l2
     return LinearRegression(
         featuresCol="_features",
         labelCol=spec.label,
-        predictionCol=f"predicted_{spec.label}",
         regParam=total,
         elasticNetParam=l1 / total if total else 0.0,
+        tol=1e-10,
+        maxIter=500,
     )
 
 
 @dataclass(frozen=True)
 class TrainedModel:
-    """A fitted pipeline; its last stage is the regression."""
+    """Coefficients of the numbers, and a stored table of category weights.
+
+    A weight is relative to the training mean of its input, so a category that
+    was never seen counts as the average one.
+    """
 
     spec: Spec
-    pipeline: PipelineModel
-    # Mean contribution of each input over the training rows, and the mean prediction.
-    means: dict[str, float] = field(default_factory=dict)
-    baseline: float = 0.0
+    intercept: float
+    coefficients: dict[str, float]
+    means: dict[str, float]
+    weights: DataFrame | None = field(default=None, compare=False)
 
     @property
     def predicted(self) -> str:
         return f"predicted_{self.spec.label}"
 
+    @property
+    def baseline(self) -> float:
+        """Mean prediction over the training rows."""
+        return self.intercept + sum(self.coefficients[c] * self.means[c] for c in self.spec.numbers)
+
+    def _weighted(self, df: DataFrame) -> DataFrame:
+        return _joined(df, self.spec, self.weights, "weight", "_weight_")
+
+    def _parts(self) -> dict[str, Column]:
+        """What each input adds to a prediction, over rows with their weights."""
+        parts = {
+            c: _filled(c, self.means) * F.lit(self.coefficients[c]) for c in self.spec.numbers
+        }
+        return parts | {c: F.coalesce(f"_weight_{c}", F.lit(0.0)) for c in self.spec.categories}
+
+    def prediction(self) -> Column:
+        return reduce(add, self._parts().values(), F.lit(self.intercept))
+
     def predict(self, df: DataFrame) -> DataFrame:
         """Add the prediction; all input columns stay."""
-        return self.pipeline.transform(df).select(*df.columns, self.predicted)
+        return self._weighted(df).select(*df.columns, self.prediction().alias(self.predicted))
 
     def explain(self, df: DataFrame, top: int = 3) -> DataFrame:
         """Add the prediction, the baseline and the strongest attributions.
@@ -206,16 +261,15 @@ class TrainedModel:
         An attribution is what an input adds to this row's prediction compared
         with the training mean, so baseline plus all of them is the prediction.
         """
-        prepared = self.pipeline.transform(df)
-        parts = _contributions(self.spec, self.pipeline, self.pipeline.stages[-1])
+        usual = {c: self.coefficients[c] * self.means[c] for c in self.spec.numbers}
         ranked = F.array_sort(
             F.array(
                 *(
                     F.struct(
                         F.lit(name).alias("feature"),
-                        (part - F.lit(self.means[name])).alias("attribution"),
+                        (part - F.lit(usual.get(name, 0.0))).alias("attribution"),
                     )
-                    for name, part in parts.items()
+                    for name, part in self._parts().items()
                 )
             ),
             lambda a, b: F.when(F.abs(a.attribution) > F.abs(b.attribution), -1)
@@ -224,88 +278,78 @@ class TrainedModel:
             .when(a.feature > b.feature, 1)
             .otherwise(0),
         )
-        return prepared.select(
+        return self._weighted(df).select(
             *df.columns,
-            self.predicted,
+            self.prediction().alias(self.predicted),
             F.lit(self.baseline).alias("baseline_prediction"),
             F.slice(ranked, 1, top).alias("top_feature_attributions"),
         )
 
     def save(self, path: str) -> None:
-        """Write the pipeline and its training means under ``path``."""
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        """Write coefficients and category weights under ``path``."""
         spark = SparkSession.active()
-        row = (self.baseline, self.means, self.spec.label, self.spec.numbers, self.spec.categories)
+        spec = self.spec
+        row = (self.intercept, self.coefficients, self.means, spec.label, spec.numbers, spec.categories)
         spark.createDataFrame(
             [row],
-            "baseline double, means map<string,double>, label string,"
-            " numbers array<string>, categories array<string>",
-        ).write.mode("overwrite").parquet(f"{path}/summary")
+            "intercept double, coefficients map<string,double>, means map<string,double>,"
+            " label string, numbers array<string>, categories array<string>",
+        ).write.mode("overwrite").parquet(f"{path}/model")
+        if self.weights is not None:
+            self.weights.write.mode("overwrite").parquet(f"{path}/weights")
 
 
 def load(spark: SparkSession, path: str) -> TrainedModel:
-    row = spark.read.parquet(f"{path}/summary").first()
+    row = spark.read.parquet(f"{path}/model").first()
     spec = Spec(row.label, tuple(row.numbers), tuple(row.categories))
-    return TrainedModel(spec, PipelineModel.load(f"{path}/pipeline"), row.means, row.baseline)
-
-
-def _weights(spec: Spec, pipeline: PipelineModel, regression) -> dict[str, list[float]]:
-    """Coefficients per source column: one for a number, one per category label."""
-    weights = [float(w) for w in regression.coefficients]
-    indexers = [s for s in pipeline.stages if isinstance(s, StringIndexerModel)]
-    widths = [1] * len(spec.numbers) + [len(v) for s in indexers for v in s.labelsArray]
-    blocks, start = {}, 0
-    for name, width in zip(spec.inputs, widths, strict=True):
-        blocks[name] = weights[start : start + width]
-        start += width
-    return blocks
-
-
-def _contributions(spec: Spec, pipeline: PipelineModel, regression) -> dict[str, Column]:
-    """What each source column adds to a prediction, over prepared rows.
-
-    A category's weight is looked up by its index in a constant array, so the
-    feature vector is never unpacked. The index past the end is the bucket of
-    unseen categories, which weighs nothing.
-    """
-    parts = {}
-    for name, block in _weights(spec, pipeline, regression).items():
-        if name in spec.numbers:
-            parts[name] = F.col(f"_num_{name}") * F.lit(block[0])
-        else:
-            index = F.col(f"_idx_{name}").cast("int")
-            parts[name] = F.coalesce(F.get(F.array(*map(F.lit, block)), index), F.lit(0.0))
-    return parts
+    weights = spark.read.parquet(f"{path}/weights") if spec.categories else None
+    return TrainedModel(spec, row.intercept, row.coefficients, row.means, weights)
 
 
-def _prediction(spec: Spec, pipeline: PipelineModel, regression) -> Column:
-    parts = _contributions(spec, pipeline, regression)
-    return reduce(add, parts.values(), F.lit(float(regression.intercept)))
-
-
-def _finish(spec: Spec, summary: Summary, preparation: PipelineModel, regression) -> TrainedModel:
-    pipeline = PipelineModel(stages=[*preparation.stages, regression])
-    blocks = _weights(spec, pipeline, regression)
-    means = {c: blocks[c][0] * summary.means[c] for c in spec.numbers}
-    for name in spec.categories:
-        counts = summary.by_frequency(name)
-        total = sum(w * n for w, (_, n) in zip(blocks[name], counts, strict=True))
-        means[name] = total / summary.rows
-    baseline = float(regression.intercept) + sum(means.values())
-    return TrainedModel(spec, pipeline, means, baseline)
+def _finish(spec: Spec, summary: Summary, fitted: LinearRegressionModel) -> TrainedModel:
+    """The fitted vector as named coefficients and a table of centred weights."""
+    vector = fitted.coefficients.toArray()
+    coefficients = {c: float(vector[i]) for i, c in enumerate(spec.numbers)}
+    intercept, weights = float(fitted.intercept), None
+    if spec.categories:
+        start, blocks = len(spec.numbers), []
+        for name in spec.categories:
+            width = max(summary.sizes[name], 2) - 1
+            block = pd.DataFrame({"weight": vector[start : start + width]})
+            blocks.append(block.assign(input=name, index=range(width)))
+            start += width
+        spark = summary.categories.sparkSession
+        found = spark.createDataFrame(
+            pd.concat(blocks)[["input", "index", "weight"]], "input string, index int, weight double"
+        )
+        raw = summary.categories.join(found, ["input", "index"], "left").withColumn(
+            "weight", F.coalesce("weight", F.lit(0.0))
+        )
+        path = fresh_dir(spark, "weights")
+        raw.write.parquet(path)
+        raw = spark.read.parquet(path)
+        usual = {
+            r.input: r.mean
+            for r in raw.groupBy("input").agg(
+                (F.sum(F.col("weight") * F.col("n")) / summary.rows).alias("mean")
+            ).collect()
+        }
+        intercept += sum(usual.values())
+        shift = reduce(
+            lambda chain, item: chain.when(F.col("input") == item[0], item[1]),
+            list(usual.items())[1:],
+            F.when(F.col("input") == next(iter(usual)), usual[next(iter(usual))]),
+        )
+        weights = raw.select("input", "category", (F.col("weight") - shift).alias("weight"))
+    return TrainedModel(spec, intercept, coefficients, summary.means, weights)
 
 
 def train(df: DataFrame, spec: Spec, l1: float = 0.0, l2: float = 0.0) -> TrainedModel:
-    """Fit on the rows that have a label: one pass to summarize, one to solve.
-
-    The default solver has each task reduce its rows to the normal equations,
-    whose size depends on the features and not on the rows.
-    """
+    """Fit on the rows that have a label: summarize, prepare and store, solve."""
     labelled = df.filter(F.col(spec.label).isNotNull())
     summary = summarize(labelled, spec)
-    preparation = _prepare(labelled, spec, summary)
-    regression = _estimator(spec, l1, l2).fit(preparation.transform(labelled))
-    return _finish(spec, summary, preparation, regression)
+    fitted = _estimator(spec, l1, l2).fit(_prepared(labelled, spec, summary))
+    return _finish(spec, summary, fitted)
 
 
 def _metrics(label: Column, predicted: Column, suffix: str = "") -> list[Column]:
@@ -338,27 +382,37 @@ def tune(
 ) -> tuple[TrainedModel, DataFrame]:
     """Random search over the penalties; the lowest validation error wins.
 
-    Features are prepared once for all trials, and all trials are scored in
-    a single pass over the validation rows.
+    Features are prepared and stored once for all trials, and all trials are
+    scored in a single pass over the validation rows: each trial's weights are
+    a column of one table.
     """
     draw = random.Random(seed)
     penalties = [(draw.uniform(*l1_range), draw.choice(l2_candidates)) for _ in range(trials)]
     labelled = train_rows.filter(F.col(spec.label).isNotNull())
     summary = summarize(labelled, spec)
-    preparation = _prepare(labelled, spec, summary)
-    prepared = preparation.transform(labelled)
+    prepared = _prepared(labelled, spec, summary)
     with ThreadPool(parallel) as pool:
         fitted = pool.map(lambda p: _estimator(spec, *p).fit(prepared), penalties, chunksize=1)
+    models = [_finish(spec, summary, regression) for regression in fitted]
 
-    held_out = preparation.transform(validation_rows.filter(F.col(spec.label).isNotNull()))
-    measures = [
-        column
-        for i, regression in enumerate(fitted)
-        for column in _metrics(
-            F.col(spec.label), _prediction(spec, preparation, regression), suffix=f"_{i}"
-        )
-    ]
-    scores = held_out.agg(*measures).first()
+    rows = validation_rows.filter(F.col(spec.label).isNotNull())
+    if spec.categories:
+        tables = [
+            model.weights.withColumnRenamed("weight", f"w{i}") for i, model in enumerate(models)
+        ]
+        table = reduce(lambda a, b: a.join(b, ["input", "category"]), tables)
+        together = F.struct(*(f"w{i}" for i in range(trials))).alias("weights")
+        table = table.select("input", "category", together)
+        rows = _joined(rows, spec, table, "weights", "_all_")
+    measures = []
+    for i, model in enumerate(models):
+        value = F.lit(model.intercept)
+        for c in spec.numbers:
+            value += _filled(c, model.means) * F.lit(model.coefficients[c])
+        for c in spec.categories:
+            value += F.coalesce(F.col(f"_all_{c}.w{i}"), F.lit(0.0))
+        measures += _metrics(F.col(spec.label), value, suffix=f"_{i}")
+    scores = rows.agg(*measures).first()
     report = [
         (i, l1, l2, scores[f"mean_squared_error_{i}"] ** 0.5, scores[f"r2_score_{i}"])
         for i, (l1, l2) in enumerate(penalties)
@@ -368,4 +422,4 @@ def tune(
         [(*row, row[0] == best) for row in report],
         "trial int, l1_reg double, l2_reg double, rmse double, r2_score double, is_best boolean",
     )
-    return _finish(spec, summary, preparation, fitted[best]), table
+    return models[best], table

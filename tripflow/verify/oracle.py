@@ -217,6 +217,38 @@ line AS (
   FROM split WHERE in_train),
 scored AS (SELECT *, slope * fare_amount + intercept AS predicted FROM split, line)"""
 
+# With one number and one category the slope is that of deviations within the
+# category, and a prediction is the category's mean and slope times deviation.
+FITTED_WITHIN = f"""split AS (SELECT *, substr({_KEY}, 1, 2) < 'cd' AS in_train FROM features),
+means AS (
+  SELECT payment_type, count(*) AS n, avg(fare_amount) AS x, avg(tip_amount) AS y
+  FROM split WHERE in_train GROUP BY payment_type),
+line AS (
+  SELECT sum((fare_amount - x) * (tip_amount - y)) / sum((fare_amount - x) * (fare_amount - x))
+    AS slope
+  FROM split JOIN means USING (payment_type) WHERE in_train),
+whole AS (
+  SELECT slope, sum(n * x) / sum(n) AS mean_x, sum(n * y) / sum(n) AS mean_y
+  FROM means, line GROUP BY slope),
+scored AS (
+  SELECT s.*, y + slope * (fare_amount - x) AS predicted, mean_y AS baseline,
+    slope * (fare_amount - mean_x) AS by_fare,
+    (y - slope * x) - (mean_y - slope * mean_x) AS by_payment
+  FROM split s JOIN means USING (payment_type), whole)"""
+
+_SCORED = """passenger_count, trip_distance, pulocationid, dolocationid, payment_type, fare_amount,
+  tolls_amount, tip_amount, vendorid, pickup_datetime, round(predicted, 4) AS predicted_tip_amount"""
+
+# The penalties that the seeded search draws.
+_PENALTIES = [
+    (12.788535969157675, 0.0),
+    (14.831009995196657, 0.1),
+    (4.4642147629764555, 0.0),
+    (13.533989748458225, 0.0),
+    (11.809850248980794, 0.0),
+]
+_PENALTY_ROWS = ", ".join(f"({i}, CAST({l1} AS DOUBLE), CAST({l2} AS DOUBLE))" for i, (l1, l2) in enumerate(_PENALTIES))
+
 _BY_ZONE = f"""WITH {RAW}, {FEATURES}, {FITTED}
 SELECT pulocationid, count(*) AS trips, round(avg(predicted), 4) AS predicted_tip_amount
 FROM scored GROUP BY pulocationid"""
@@ -390,6 +422,37 @@ FROM e""",
 SELECT pulocationid, round(avg(slope * mean_fare + intercept), 4) AS baseline_prediction,
     round(avg(slope * (fare_amount - mean_fare)), 4) AS attribution
 FROM scored GROUP BY pulocationid""",
+    "tip_predictions": f"""WITH {RAW}, {FEATURES}, {FITTED_WITHIN}
+SELECT {_SCORED} FROM scored""",
+    "tip_explained": f"""WITH {RAW}, {FEATURES}, {FITTED_WITHIN}
+SELECT {_SCORED}, round(baseline, 4) AS baseline_prediction,
+  CASE WHEN abs(by_fare) >= abs(by_payment) THEN 'fare_amount' ELSE 'payment_type' END AS feature_0,
+  round(CASE WHEN abs(by_fare) >= abs(by_payment) THEN by_fare ELSE by_payment END, 4)
+    AS attribution_0,
+  CASE WHEN abs(by_fare) >= abs(by_payment) THEN 'payment_type' ELSE 'fare_amount' END AS feature_1,
+  round(CASE WHEN abs(by_fare) >= abs(by_payment) THEN by_payment ELSE by_fare END, 4)
+    AS attribution_1
+FROM scored""",
+    "tip_tuning": f"""WITH {RAW}, {FEATURES},
+split AS (SELECT *, substr({_KEY}, 1, 2) < 'cd' AS in_train FROM features),
+moments AS (
+  SELECT avg(fare_amount) AS x, avg(tip_amount) AS y, covar_pop(fare_amount, tip_amount) AS xy,
+    stddev_pop(fare_amount) AS px, stddev_pop(tip_amount) AS py
+  FROM split WHERE in_train),
+penalties(trial, l1, l2) AS (VALUES {_PENALTY_ROWS}),
+lines AS (
+  SELECT trial, l1, l2, greatest(xy / px - l1, 0) / (1 + l2 / py) / px AS slope, x, y
+  FROM penalties, moments),
+errors AS (
+  SELECT trial, l1, l2, tip_amount AS t,
+    tip_amount - (y + slope * (fare_amount - x)) AS e
+  FROM split, lines WHERE NOT in_train),
+report AS (
+  SELECT trial, l1, l2, sqrt(avg(e * e)) AS rmse, 1 - avg(e * e) / var_pop(t) AS r2
+  FROM errors GROUP BY trial, l1, l2)
+SELECT trial, round(l1, 4) AS l1_reg, round(l2, 4) AS l2_reg, round(rmse, 4) AS rmse,
+  round(r2, 4) AS r2_score, rmse = min(rmse) OVER () AS is_best
+FROM report""",
     "batch_scored_trips": f"""WITH {RAW}
 SELECT vendorid, pickup_datetime, pulocationid, dolocationid, trip_distance,
     trip_distance * 3 AS predicted_duration FROM raw""",

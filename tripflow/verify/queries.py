@@ -36,6 +36,7 @@ DRIFT_FROM = "1998-06-01 00:00:00"
 
 ROW_KEY = {"vendorid": T.LongType(), "pickup_datetime": T.TimestampNTZType()}
 FARE_SPEC = regression.Spec("tip_amount", ("fare_amount",))
+PAYMENT_SPEC = regression.Spec("tip_amount", ("fare_amount",), ("payment_type",))
 PROPS_SCHEMA = T.StructType([T.StructField("k", T.LongType())])
 
 
@@ -404,20 +405,33 @@ def json_scored_by_zone(spark, d):
 
 
 def tip_predictions(spark, d):
-    run = jobs.tip_model(supplied.all_trips(spark, d), ROW_KEY)
-    return run.model.predict(run.features)
+    """One number and one category: SQL has a closed form of this model, too."""
+    run = jobs.tip_model(supplied.all_trips(spark, d), ROW_KEY, PAYMENT_SPEC)
+    scored = run.model.predict(run.features)
+    return scored.withColumn("predicted_tip_amount", F.round("predicted_tip_amount", 4))
 
 
 def tip_explained(spark, d):
-    run = jobs.tip_model(supplied.all_trips(spark, d), ROW_KEY)
-    return run.model.explain(run.features).withColumn(
-        "top_feature_attributions", F.to_json("top_feature_attributions")
+    """The same with ranked attributions: the stronger of both inputs first."""
+    run = jobs.tip_model(supplied.all_trips(spark, d), ROW_KEY, PAYMENT_SPEC)
+    explained = run.model.explain(run.features)
+    top = F.col("top_feature_attributions")
+    ranked = explained.withColumns(
+        {
+            **{c: F.round(c, 4) for c in ("predicted_tip_amount", "baseline_prediction")},
+            **{f"feature_{i}": top[i]["feature"] for i in (0, 1)},
+            **{f"attribution_{i}": F.round(top[i]["attribution"], 4) for i in (0, 1)},
+        }
     )
+    return ranked.drop("top_feature_attributions")
 
 
 def tip_tuning(spark, d):
     train, held_out = jobs.stored_tip_features(supplied.all_trips(spark, d), ROW_KEY)
-    return regression.tune(train, held_out, TIP_SPEC)[1]
+    trials = regression.tune(train, held_out, FARE_SPEC)[1]
+    return trials.withColumns(
+        {c: F.round(c, 4) for c in ("l1_reg", "l2_reg", "rmse", "r2_score")}
+    )
 
 
 def batch_scored_trips(spark, d):
