@@ -27,6 +27,11 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--output", required=True)
     union.add_argument("--files", type=int, help="fixed number of output files")
     marts.add_argument("--zones", required=True, help="zone lookup CSV")
+    marts.add_argument("--tables_prefix", help="also register tables, e.g. marts.")
+
+    produce = sub.add_parser("produce", help="rows as JSON messages in text files")
+    produce.add_argument("--input", required=True, nargs="+")
+    produce.add_argument("--output", required=True)
 
     distances = sub.add_parser("zone-distances", help="trip distances with zone names")
     distances.add_argument("--trips", required=True, nargs="+")
@@ -55,6 +60,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("servers", "topic", "output", "checkpoint"):
         stream.add_argument(f"--{name}", required=True)
     stream.add_argument("--group")
+    stream.add_argument("--messages_at_once", type=int, help="bound of a micro-batch")
     stream.add_argument("--once", action="store_true", help="drain the topic and stop")
 
     ingest = sub.add_parser("ingest", help="files to a relational table")
@@ -78,7 +84,12 @@ def main(argv: list[str] | None = None) -> None:
         jobs.union_services(spark, args.input_green, args.input_yellow, args.output, args.files)
     elif args.job == "build-marts":
         built = jobs.build_marts_from_files(
-            spark, args.input_green, args.input_yellow, args.zones, args.output
+            spark,
+            args.input_green,
+            args.input_yellow,
+            args.zones,
+            args.output,
+            tables_prefix=args.tables_prefix,
         )
         built.report.show(truncate=False)
     elif args.job == "zone-distances":
@@ -93,10 +104,15 @@ def main(argv: list[str] | None = None) -> None:
         key = {c.lower(): trips.schema[c.lower()].dataType for c in args.key}
         run = jobs.tip_model(trips, key)
         run.model.save(args.output)
+        jobs.explained_tips(run, args.output)
         regression.evaluate(run.model, run.held_out).show(truncate=False)
     elif args.job == "consume":
-        source = messages.read_topic(spark, args.servers, args.topic, args.group)
+        source = messages.read_topic(
+            spark, args.servers, args.topic, args.group, args.messages_at_once
+        )
         jobs.consume(source, args.output, args.checkpoint, once=args.once).awaitTermination()
+    elif args.job == "produce":
+        jobs.produce(files.read_parquet(spark, *args.input), args.output)
     elif args.job == "load-dated":
         size_shuffles(spark, files.stored_bytes(spark, args.source))
         jobs.load_dated(

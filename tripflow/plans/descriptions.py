@@ -28,11 +28,19 @@ TRIP_COLUMNS = {
     "trip_type": "How the ride was hailed; always 1 for Yellow",
     "fare_amount": "Fare by time and distance",
     "tip_amount": "Card tip; cash is not recorded",
+    "tolls_amount": "Tolls paid during the trip",
+    "improvement_surcharge": "Fixed charge for each trip since 2015",
     "total_amount": "All charges, without cash tips",
     "payment_type": "Payment code, 1 to 6",
     "payment_type_description": "Text of the payment code; empty for other codes",
 }
 
+TABLES = {
+    "dim_zones": "Places trips start and end in, one row per zone number",
+    "fact_trips": "Trips of both services between known zones, one row per trip",
+    "monthly_zone_revenue": "Revenue and trips by pickup zone name, month and service",
+}
+
 MONTHLY_COLUMNS = {
     "revenue_zone": "Pickup zone name",
     "revenue_month": "First instant of the month",

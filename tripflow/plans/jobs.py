@@ -13,7 +13,13 @@ from tripflow.operators.align import aligned_union, lower_names, rename, union_a
 from tripflow.operators.quality import enforce, quality_report
 from tripflow.plans import marts
 from tripflow.plans.checks import mart_checks, service_checks
-from tripflow.plans.descriptions import MONTHLY_COLUMNS, TRIP_COLUMNS, ZONE_COLUMNS, described
+from tripflow.plans.descriptions import (
+    MONTHLY_COLUMNS,
+    TABLES,
+    TRIP_COLUMNS,
+    ZONE_COLUMNS,
+    described,
+)
 from tripflow.plans.staging import stage_services
 from tripflow.plans.tip_model import TIP_SPEC, tip_features
 from tripflow.schemas import GREEN, MESSAGE_SCHEMA, YELLOW, ZONE_SCHEMA, ServiceLayout
@@ -136,23 +142,37 @@ class Marts:
 
 
 def build_marts(
-    staged: DataFrame, lookup: DataFrame, output: str, mode: str = "overwrite"
+    staged: DataFrame,
+    lookup: DataFrame,
+    output: str,
+    mode: str = "overwrite",
+    tables_prefix: str | None = None,
 ) -> Marts:
     """Staged trips to stored zones, fact and monthly mart, then the checks.
 
     The fact is stored because both the mart and its readers use it. An error
     in a check raises after the tables are written; warnings are reported.
+    With a prefix the three are also tables of the catalog under that prefix,
+    with the texts that describe them and their columns.
     """
     spark = lookup.sparkSession
 
-    def store(df: DataFrame, name: str, comments: dict[str, str], **options) -> DataFrame:
+    def store(
+        df: DataFrame, name: str, comments: dict[str, str], partition_by: tuple[str, ...] = ()
+    ) -> DataFrame:
         path, df = f"{output}/{name}", described(df, comments)
-        files.write_parquet(df, path, mode, **options)
+        if tables_prefix is None:
+            files.write_parquet(df, path, mode, partition_by=partition_by)
+        else:
+            table = f"{tables_prefix}{name}"
+            writer = df.write.mode(mode).partitionBy(*partition_by).option("path", path)
+            writer.saveAsTable(table)
+            tables.comment_on(spark, table, TABLES[name])
         return spark.read.schema(df.schema).parquet(path)
 
     zones = store(marts.dim_zones(lookup), "dim_zones", ZONE_COLUMNS)
     fact = store(
-        marts.fact_trips(staged, zones), "fact_trips", TRIP_COLUMNS, partition_by=["service_type"]
+        marts.fact_trips(staged, zones), "fact_trips", TRIP_COLUMNS, ("service_type",)
     )
     monthly = store(marts.monthly_zone_revenue(fact), "monthly_zone_revenue", MONTHLY_COLUMNS)
     report = quality_report(staged, service_checks(zones)).unionByName(
@@ -170,14 +190,22 @@ def build_marts_from_files(
     zone_csv: str,
     output: str,
     mode: str = "overwrite",
+    tables_prefix: str | None = None,
 ) -> Marts:
-    """The same from raw files. Staging is stored once; checks and fact read it."""
+    """The same from raw files, named as the sources of the staging models.
+
+    Staging is stored once; checks and fact read it.
+    """
+    sources = files.SourceRegistry()
+    sources.register("staging", "green", lambda: files.read_parquet(spark, *input_green))
+    sources.register("staging", "yellow", lambda: files.read_parquet(spark, *input_yellow))
     staged = stage_services(
-        files.read_parquet(spark, *input_green), files.read_parquet(spark, *input_yellow)
+        sources.source("staging", "green"), sources.source("staging", "yellow")
     )
     files.write_parquet(staged, f"{output}/staged", mode, partition_by=["service_type"])
     lookup = files.read_csv(spark, zone_csv, schema=ZONE_SCHEMA)
-    return build_marts(spark.read.parquet(f"{output}/staged"), lookup, output, mode)
+    staged = spark.read.parquet(f"{output}/staged")
+    return build_marts(staged, lookup, output, mode, tables_prefix)
 
 
 @dataclass(frozen=True)
@@ -211,6 +239,23 @@ def tip_model(
     return TipModelRun(regression.train(train, spec), train, held_out)
 
 
+def explained_tips(run: TipModelRun, output: str, mode: str = "overwrite") -> None:
+    """What a user reads beside the model: feature info, predictions, reasons, trials."""
+    reports = {
+        "feature_info": regression.feature_info(run.train, run.model.spec),
+        "predictions": run.model.predict(run.held_out),
+        "explained": run.model.explain(run.held_out),
+        "trials": regression.tune(run.train, run.held_out, run.model.spec)[1],
+    }
+    for name, report in reports.items():
+        files.write_parquet(report, f"{output}/{name}", mode)
+
+
+def produce(rows: DataFrame, output: str, mode: str = "append") -> None:
+    """Each row as one JSON message in text files, which ``read_text_files`` streams."""
+    messages.encode_messages(rows).write.mode(mode).text(output)
+
+
 def consume(
     source: DataFrame,
     output: str,

@@ -76,6 +76,13 @@ def comment_on(spark: SparkSession, table: str, text: str) -> None:
     spark.sql(f"COMMENT ON TABLE {table} IS '{quoted}'")
 
 
+def descriptions(spark: SparkSession, table: str) -> DataFrame:
+    """Texts of a table and its columns: column_name (empty for the table), comment."""
+    rows = [("", spark.catalog.getTable(table).description)]
+    rows += [(c.name, c.description) for c in spark.catalog.listColumns(table)]
+    return spark.createDataFrame(rows, "column_name string, comment string")
+
+
 def in_date_range(ts: str, start: dt.date, end: dt.date) -> Column:
     """Both ends included.
 

@@ -55,11 +55,22 @@ def topic_options(servers: str, topic: str, earliest: bool = True, **extra: str)
 
 
 def read_topic(
-    spark: SparkSession, servers: str, topic: str, group: str | None = None, **extra: str
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    group: str | None = None,
+    messages_at_once: int | None = None,
+    **extra: str,
 ) -> DataFrame:
-    """Messages of a topic from its start. Needs the Kafka connector on the class path."""
+    """Messages of a topic from its start. Needs the Kafka connector on the class path.
+
+    ``messages_at_once`` bounds a micro-batch, the first one over a long
+    history too; the rest waits for the next one.
+    """
     if group:
         extra["kafka.group.id"] = group
+    if messages_at_once is not None:
+        extra["maxOffsetsPerTrigger"] = str(messages_at_once)
     options = topic_options(servers, topic, **extra)
     return spark.readStream.format("kafka").options(**options).load()
 
@@ -75,9 +86,17 @@ def write_topic(messages: DataFrame, servers: str, topic: str, checkpoint: str)
     )
 
 
-def read_text_files(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of JSON lines as a stream of ``value``."""
-    return spark.readStream.text(path)
+def read_text_files(
+    spark: SparkSession, path: str, files_at_once: int | None = None
+) -> DataFrame:
+    """A folder of JSON lines as a stream of ``value``.
+
+    ``files_at_once`` bounds a micro-batch; the rest waits for the next one.
+    """
+    reader = spark.readStream
+    if files_at_once is not None:
+        reader = reader.option("maxFilesPerTrigger", files_at_once)
+    return reader.text(path)
 
 
 def store_messages(

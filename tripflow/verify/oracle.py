@@ -461,4 +461,49 @@ SELECT vendorid, pickup_datetime, pulocationid, dolocationid, trip_distance,
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
     CAST(NULL AS VARCHAR) AS malformed
 FROM events""",
+    "stream_resumed": """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+    CAST(NULL AS VARCHAR) AS malformed
+FROM events""",
+    "stream_by_batch": """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+    CAST(NULL AS VARCHAR) AS malformed
+FROM events""",
+    "produced_messages": "SELECT event_id, user_id, value FROM events",
+    "registered_months": """
+SELECT l_suppkey AS "VendorID", CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS "count"
+FROM lineitem
+WHERE l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '1998-01-01'
+    AND l_shipdate < TIMESTAMP '1998-07-01'
+GROUP BY 1, 2""",
+    "seed_round_trip": """
+SELECT CAST(n_nationkey AS INTEGER) AS locationid,
+    CASE WHEN r_name = 'MIDDLE EAST' THEN 'Unknown' ELSE r_name END AS borough,
+    n_name AS zone,
+    CASE WHEN r_name = 'AMERICA' THEN 'Yellow Zone' ELSE 'Boro Zone' END AS service_zone
+FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "output_file_count": "SELECT CAST(4 AS BIGINT) AS files, count(*) AS trips FROM lineitem",
+    "sampled_staging": f"""WITH {RAW}, {STAGED}
+SELECT tripid, service_type FROM staged ORDER BY tripid, service_type LIMIT {PREVIEW_ROWS}""",
+    "mart_descriptions": f"""WITH {RAW.replace("FROM lineitem)", "FROM lineitem WHERE l_partkey % 7 = 3)")},
+{STAGED}, {ZONES}, {FACT},
+monthly AS (
+  SELECT DISTINCT pickup_zone, date_trunc('month', pickup_datetime), service_type FROM fact),
+texts(table_name, column_name, comment) AS (VALUES
+  ('dim_zones', '', 'Places trips start and end in, one row per zone number'),
+  ('dim_zones', 'locationid', 'Zone number that trips refer to'),
+  ('dim_zones', 'borough', 'Borough of the zone; Unknown for numbers without a place'),
+  ('dim_zones', 'zone', 'Zone name; several zones may share one'),
+  ('dim_zones', 'service_zone', 'Area of service the zone belongs to'),
+  ('monthly_zone_revenue', '', 'Revenue and trips by pickup zone name, month and service'),
+  ('monthly_zone_revenue', 'revenue_zone', 'Pickup zone name'),
+  ('monthly_zone_revenue', 'revenue_month', 'First instant of the month'),
+  ('monthly_zone_revenue', 'service_type', 'Green or Yellow'),
+  ('monthly_zone_revenue', 'revenue_monthly_total_amount',
+    'Sum of all charges of the group''s trips'),
+  ('monthly_zone_revenue', 'total_monthly_trips', 'Trips of the group'))
+SELECT column_name, comment, table_name, CASE table_name
+    WHEN 'dim_zones' THEN (SELECT count(*) + 1 FROM nation)
+    ELSE (SELECT count(*) FROM monthly) END AS row_count
+FROM texts""",
 }

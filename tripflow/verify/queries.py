@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tripflow.functions import hours, surrogate_key
 from tripflow.operators import quality, regression
 from tripflow.operators.aggregates import exact_sum, group_count, group_mean, total_money
+from tripflow.operators.align import union_all
 from tripflow.operators.dedup import keep_first
 from tripflow.operators.joins import without_parent
 from tripflow.operators.scoring import score_batches, score_json
@@ -462,6 +463,99 @@ def stream_json_events(spark, d):
     return messages.read_stored(spark, out)
 
 
+def stream_resumed(spark, d):
+    """A stream that drains, gets more files, and drains again from its checkpoint."""
+    events = supplied.table(spark, d, "events").select("event_id", "props")
+    source, out = fresh_dir(spark, "resumed-in"), fresh_dir(spark, "resumed")
+    for part in (0, 1):
+        files.write_parquet(events.filter(F.col("event_id") % 2 == part), source, "append")
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+        rows = stream.parquet(source).select("event_id", F.col("props").alias("value"))
+        jobs.consume(rows, out, f"{out}-checkpoint", PROPS_SCHEMA).awaitTermination()
+    return messages.read_stored(spark, out)
+
+
+def stream_by_batch(spark, d):
+    """The same through an action per batch, which overwrites its own batch if repeated."""
+    stream = supplied.table_stream(spark, d, "events").select(
+        "event_id", F.col("props").alias("value")
+    )
+    out = fresh_dir(spark, "by-batch")
+
+    def store(batch: DataFrame, number: int) -> None:
+        files.write_parquet(batch, f"{out}/batch={number}", "overwrite")
+
+    jobs.consume(stream, out, f"{out}-checkpoint", PROPS_SCHEMA, store).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
+def produced_messages(spark, d):
+    """Rows sent as JSON messages to files, streamed from there and stored."""
+    events = supplied.table(spark, d, "events").select("event_id", "user_id", "value")
+    sent, out = fresh_dir(spark, "sent"), fresh_dir(spark, "received")
+    jobs.produce(events, sent)
+    stream = messages.read_text_files(spark, sent, files_at_once=2)
+    jobs.consume(stream, out, f"{out}-checkpoint", events.schema).awaitTermination()
+    return messages.read_stored(spark, out).drop("malformed")
+
+
+# Sources by name, seeds, file counts, descriptions
+
+
+def registered_months(spark, d):
+    """Monthly files of a service, reached by path, schema and a registered name."""
+    trips = supplied.raw_green(spark, d).select("VendorID", "lpep_pickup_datetime")
+    base = fresh_dir(spark, "months")
+    year, months = 1998, range(1, 7)
+    paths = files.month_paths(base, "green", [year], months)
+    pickup = F.col("lpep_pickup_datetime")
+    for month, path in zip(months, paths, strict=True):
+        mine = trips.filter((F.year(pickup) == year) & (F.month(pickup) == month))
+        files.write_parquet(mine, path)
+    sources = files.SourceRegistry()
+    sources.register(
+        "staging", "green", lambda: files.read_parquet(spark, *paths, schema=trips.schema)
+    )
+    rows = sources.source("staging", "green")
+    return group_count(rows.withColumn("month", F.month(pickup)), "VendorID", "month")
+
+
+def seed_round_trip(spark, d):
+    """Zones as headed CSV, loaded as a seed table."""
+    path = fresh_dir(spark, "seed")
+    supplied.zone_lookup(spark, d).write.option("header", True).csv(path)
+    return files.load_seed(spark, path, fresh_name("seed"))
+
+
+def output_file_count(spark, d):
+    """Trips written to a fixed number of files, counted in what was written."""
+    path = fresh_dir(spark, "four-files")
+    files.write_parquet(supplied.table(spark, d, "lineitem").select("l_orderkey"), path, files=4)
+    stored = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).count()
+    return stored.agg(F.count("*").alias("files"), F.sum("count").alias("trips"))
+
+
+def sampled_staging(spark, d):
+    """The row cap of a trial run, in key order."""
+    return stage(supplied.all_trips(spark, d), sample_rows=PREVIEW_ROWS).select(
+        "tripid", "service_type"
+    )
+
+
+def mart_descriptions(spark, d):
+    """Texts of the mart tables and their columns, as the catalog has them."""
+    trips = supplied.all_trips(spark, d).filter("payment_type = 3")
+    zones, prefix = supplied.complete_zone_lookup(spark, d), fresh_name("marts")
+    jobs.build_marts(stage(trips), zones, fresh_dir(spark, "marts"), tables_prefix=f"{prefix}_")
+    found = []
+    for name in ("dim_zones", "monthly_zone_revenue"):
+        table = f"{prefix}_{name}"
+        described = tables.descriptions(spark, table).filter("comment IS NOT NULL")
+        rows = F.lit(spark.table(table).count())
+        found.append(described.withColumns({"table_name": F.lit(name), "row_count": rows}))
+    return union_all(*found)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -513,19 +607,27 @@ QUERIES: dict[str, Query] = {
         batch_scored_trips,
         json_roundtrip,
         stream_json_events,
+        stream_resumed,
+        stream_by_batch,
+        produced_messages,
+        registered_months,
+        seed_round_trip,
+        output_file_count,
+        sampled_staging,
+        mart_descriptions,
     )
 }
 
 
 # What a query reads that grows with the data, where that is not the trips.
 READS = {
-    **dict.fromkeys(("dim_zones", "external_csv_view"), ("nation", "region")),
+    **dict.fromkeys(("dim_zones", "external_csv_view", "seed_round_trip"), ("nation", "region")),
     **dict.fromkeys(
         (
             "hourly_revenue_green", "hourly_outer_merge", "hourly_service_columns",
             "hourly_green_yellow_merge", "hourly_merge_job", "trip_date_and_hours",
             "partition_row_counts", "external_to_dated_job", "json_roundtrip",
-            "stream_json_events",
+            "stream_json_events", "stream_resumed", "stream_by_batch", "produced_messages",
         ),
         ("events",),
     ),
