@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripflow.session import fresh_dir
+from tripflow.session import fresh_dir, scratch_dir
 
 # The first byte of a key's MD5, below this bound for 205 of 256 values (80 %).
 TRAIN_BELOW = "cd"
@@ -173,7 +173,7 @@ def _filled(name: str, means: dict[str, float]) -> Column:
     return F.coalesce(F.col(name).cast("double"), F.lit(means[name]))
 
 
-def _prepared(df: DataFrame, spec: Spec, summary: Summary) -> DataFrame:
+def _prepared(df: DataFrame, spec: Spec, summary: Summary, path: str) -> DataFrame:
     """Label and feature vector of each row, stored: every fit reads these alone.
 
     The rarest category has no place in the vector. With one for each, they
@@ -195,7 +195,6 @@ def _prepared(df: DataFrame, spec: Spec, summary: Summary) -> DataFrame:
         encoder = OneHotEncoder(inputCols=[f"_idx_{c}" for c in spec.categories], outputCols=hot)
         rows, inputs = encoder.fit(rows).transform(rows), inputs + hot
     vectors = VectorAssembler(inputCols=inputs, outputCol="_features").transform(rows)
-    path = fresh_dir(df.sparkSession, "prepared")
     vectors.select(spec.label, "_features").write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -348,7 +347,8 @@ def train(df: DataFrame, spec: Spec, l1: float = 0.0, l2: float = 0.0) -> Traine
     """Fit on the rows that have a label: summarize, prepare and store, solve."""
     labelled = df.filter(F.col(spec.label).isNotNull())
     summary = summarize(labelled, spec)
-    fitted = _estimator(spec, l1, l2).fit(_prepared(labelled, spec, summary))
+    with scratch_dir(df.sparkSession, "prepared") as path:
+        fitted = _estimator(spec, l1, l2).fit(_prepared(labelled, spec, summary, path))
     return _finish(spec, summary, fitted)
 
 
@@ -390,8 +390,8 @@ def tune(
     penalties = [(draw.uniform(*l1_range), draw.choice(l2_candidates)) for _ in range(trials)]
     labelled = train_rows.filter(F.col(spec.label).isNotNull())
     summary = summarize(labelled, spec)
-    prepared = _prepared(labelled, spec, summary)
-    with ThreadPool(parallel) as pool:
+    with scratch_dir(train_rows.sparkSession, "prepared") as path, ThreadPool(parallel) as pool:
+        prepared = _prepared(labelled, spec, summary, path)
         fitted = pool.map(lambda p: _estimator(spec, *p).fit(prepared), penalties, chunksize=1)
     models = [_finish(spec, summary, regression) for regression in fitted]
 

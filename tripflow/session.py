@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -114,6 +116,17 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tripflow/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_dir(spark: SparkSession, label: str) -> Iterator[str]:
+    """A path in the shared folder for a table that is needed only inside the block."""
+    path = fresh_dir(spark, label)
+    try:
+        yield path
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def fresh_name(label: str) -> str:
     """A catalog name that no other run uses."""
     return f"{label}_{uuid.uuid4().hex}"
