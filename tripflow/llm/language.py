@@ -32,7 +32,7 @@ PART = 40
 FLOOR = 1e-7
 SMOOTHING = 0.05
 UNKNOWN = "und"
-CACHE_WORDS = 300_000  # bounds a task's memory only
+CACHE_WORDS = 200_000  # bounds a task's memory only
 _BASE = 0x100000001B3
 
 
@@ -100,7 +100,7 @@ class Pieces:
         return ends
 
 
-def by_length(words: list[str], most: int = 20_000) -> Iterator[np.ndarray]:
+def by_length(words: list[str], most: int = 5_000) -> Iterator[np.ndarray]:
     """Indexes of words of one length, some thousands at a time."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     order = np.argsort(lengths, kind="stable")
@@ -203,17 +203,22 @@ def fit(
     """Fit on a sample of labelled documents that are not held out.
 
     ``fit_documents`` is the expected number per language; documents are
-    picked by a hash of text and id, so copies of a text are drawn one by one. What reaches the driver is one number for
-    each piece and language, however large the corpus.
+    picked by a hash of text and id, so copies of a text are drawn one by one.
+    What reaches the driver is one number for each piece and language, however
+    large the corpus.
     """
     labelled = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"))
+    # One number per language, as many as the model has columns. A join on the
+    # language instead would put all texts of one in a task.
+    sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
     known = Pieces(pieces)
-    share = F.lit(float(fit_documents)) / F.col("documents")
+    share = F.lit(0.0)
+    for lang, documents in sizes.items():
+        share = F.when(F.col("lang") == lang, float(fit_documents) / documents).otherwise(share)
     drawn = F.pmod(F.xxhash64("text", "id"), F.lit(1 << 30)) < share * (1 << 30)
-    sample = labelled.join(sizes, "lang").filter(drawn).select("lang", "text")
+    sample = labelled.filter(drawn).select("lang", "text")
     counts = sample.mapInArrow(_word_counts, "lang string, word string, n long")
     counts = counts.filter("word <> ''").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = stored(counts, "language-words")
