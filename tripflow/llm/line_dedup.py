@@ -27,7 +27,8 @@ _LOW = 63 - BUCKET_BITS
 
 def _words(line: Column) -> Column:
     """Hashes of the words of a line."""
-    words = F.filter(F.split(line, f"{WHITE}+"), lambda w: w != "")
+    trimmed = F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
+    words = F.when(trimmed != "", F.split(trimmed, f"{WHITE}+")).otherwise(F.array())
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -43,16 +44,15 @@ def _ranks(docs: DataFrame) -> Column:
     ranks = [0] * (1 << BUCKET_BITS)
     for rank, bucket in enumerate(sorted(counts, key=lambda b: (counts[b], b))):
         ranks[bucket] = rank
-    return F.from_json(F.lit(str(ranks)), "array<int>")
+    # Already where they belong in a key, see ``_keys``.
+    return F.from_json(F.lit(str([rank << _LOW for rank in ranks])), "array<long>")
 
 
 def _keys(line: Column, ranks: Column) -> Column:
     """The set of a line as whole numbers: rank of the bucket, then 47 bits of the hash."""
     low = F.lit((1 << _LOW) - 1)
-    key = lambda h: F.shiftleft(F.get(ranks, _bucket(h)).cast("long"), _LOW).bitwiseOR(
-        h.bitwiseAND(low)
-    )
-    return F.array_sort(F.array_distinct(F.transform(_words(line), key)))
+    key = lambda h: F.get(ranks, _bucket(h)).bitwiseOR(h.bitwiseAND(low))
+    return F.sort_array(F.array_distinct(F.transform(_words(line), key)))
 
 
 def _ceil_share(n: str, percent: int) -> str:
