@@ -250,7 +250,9 @@ def _confirmed(docs: DataFrame, clusters: DataFrame, counts: DataFrame, n: int,
     small = totals.filter("blocks = 1").agg(F.sum("shingles")).first()[0] or 0
     shared = max(1, -(-small // BLOCK_SHINGLES))
 
-    texts = docs.join(clusters, F.col("row") == F.col("node")).select("node", "cluster", "text")
+    # Both sides grow with the corpus, so the plan is the same at every size.
+    wanted = clusters.hint("merge")
+    texts = docs.join(wanted, F.col("row") == F.col("node")).select("node", "cluster", "text")
     sets = texts.mapInArrow(
         lambda batches: _with_sets(batches, n), "node long, cluster long, shingles binary"
     )
