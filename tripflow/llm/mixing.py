@@ -266,8 +266,12 @@ class Mix:
             ).alias(row)
         )
         joined = with_row(self.docs, f"{row}id").join(plan, F.col(f"{row}id") == F.col(f"{row}.row"))
-        words = F.regexp_extract_all(F.col(self.text_col), F.lit(WORD), F.lit(0))
         cut = F.col(f"{row}.ranges")
+        # Exploded from an array of one, so that a text is split once and not for each range.
+        split = F.regexp_extract_all(F.col(self.text_col), F.lit(WORD), F.lit(0))
+        split = F.array(F.when(cut.isNotNull(), split))
+        joined = joined.withColumn(f"{row}words", F.explode(split))
+        words = F.col(f"{row}words")
         kept = F.array_join(
             F.flatten(
                 F.transform(
