@@ -29,10 +29,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def with_row(df: DataFrame, name: str = "row") -> DataFrame:
     """Add an id per row, also where the table's own id is null or repeated.
 
-    The id is a row's partition and place. It is the same each time as long as
-    ``df`` reads a stored table, as every caller here does.
+    The id is the number of a row's file, files in the order of their paths, and
+    the row's place in that file. It is the same in every scan, however Spark
+    cuts files into tasks. ``df`` must read one stored table, filtered or
+    projected at most; any other is an error.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    file, place, number = f"{name}_file", f"{name}_place", f"{name}_number"
+    found = df.metadataColumn("_metadata")
+    # One row per file: no more than the listing of the table.
+    files = df.select(found["file_path"].alias(file)).distinct()
+    numbers = F.row_number().over(W.orderBy(file)).cast("long") - 1
+    files = stored(files.withColumn(number, numbers), "files")
+    placed = df.withColumns({file: found["file_path"], place: found["row_index"]})
+    row = F.shiftleft(number, _PLACE_BITS) + F.col(place)
+    return placed.join(F.broadcast(files), file).withColumn(name, row).drop(file, place, number)
 
 
 def _by_range(df: DataFrame, order: list[str], label: str) -> DataFrame:
