@@ -19,7 +19,7 @@ from tripflow.llm.common import read_table, stored
 from tripflow.llm.exact_dedup import keep_first_texts
 from tripflow.llm.language import keep_identified
 from tripflow.llm.mixing import Mix
-from tripflow.llm.near_dedup import keep_one_of_each
+from tripflow.llm.near_dedup import BAND_ROWS_80, keep_one_of_each
 from tripflow.llm.packing import pack_documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -36,8 +36,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return keep_one_of_each(docs)
+    """One document of each group of near-duplicates, of similarity 0.8 or more, stays."""
+    return keep_one_of_each(docs, percent=80, band_rows=BAND_ROWS_80)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A document is the set of its 5-word shingles. Each of 60 hash functions gives
 two values of a signature, the smallest and the largest hash of the set; five
 values make a band, and documents that share a band are candidates. Two sets
-at the threshold of 0.85 are missed with a probability below one in a million.
+at the threshold of 0.85 are missed with a probability below one in a million;
+a lower threshold needs shorter bands (``BAND_ROWS_80``) for the same.
 
 Exact copies are collapsed first. Candidates are linked in stars, one centre
 per band value, never in all pairs, and the components of these links are the
@@ -34,6 +35,7 @@ from tripflow.llm.components import connected_components
 WORDS = 5
 PERCENT = 85
 HASHES, BAND_ROWS = 60, 5
+BAND_ROWS_80 = 4  # 30 bands: two sets at 0.8 are missed once in seven million
 SEED = 11
 BLOCK_SHINGLES, BLOCK_DOCUMENTS = 2_000_000, 4096
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -359,9 +361,17 @@ def near_duplicates(
     )
 
 
-def keep_one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def keep_one_of_each(
+    docs: DataFrame,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    percent: int = PERCENT,
+    band_rows: int = BAND_ROWS,
+) -> DataFrame:
     """``docs`` with one row of every group of near-duplicates; columns unchanged."""
     row = "_row" + "_" * max((len(c) for c in docs.columns), default=0)
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col)
+    found = near_duplicates(
+        docs, percent=percent, band_rows=band_rows, id_col=id_col, text_col=text_col
+    )
     dropped = found.filter("NOT kept").select(F.col("row").alias(row))
     return with_row(docs, row).join(dropped, row, "left_anti").select(*docs.columns)
