@@ -507,3 +507,8 @@ SELECT column_name, comment, table_name, CASE table_name
     ELSE (SELECT count(*) FROM monthly) END AS row_count
 FROM texts""",
 }
+
+# The same over all trips.
+ORACLE["mart_descriptions_all"] = ORACLE["mart_descriptions"].replace(
+    " WHERE l_partkey % 7 = 3", ""
+)

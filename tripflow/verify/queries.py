@@ -543,8 +543,16 @@ def sampled_staging(spark, d):
 
 
 def mart_descriptions(spark, d):
-    """Texts of the mart tables and their columns, as the catalog has them."""
-    trips = supplied.all_trips(spark, d).filter("payment_type = 3")
+    """Texts of the mart tables and their columns, over trips of one payment type."""
+    return _mart_descriptions(spark, d, supplied.all_trips(spark, d).filter("payment_type = 3"))
+
+
+def mart_descriptions_all(spark, d):
+    """Texts of the mart tables and their columns, as the catalog has them, over all trips."""
+    return _mart_descriptions(spark, d, supplied.all_trips(spark, d))
+
+
+def _mart_descriptions(spark, d, trips):
     zones, prefix = supplied.complete_zone_lookup(spark, d), fresh_name("marts")
     jobs.build_marts(stage(trips), zones, fresh_dir(spark, "marts"), tables_prefix=f"{prefix}_")
     found = []
@@ -615,6 +623,7 @@ QUERIES: dict[str, Query] = {
         output_file_count,
         sampled_staging,
         mart_descriptions,
+        mart_descriptions_all,
     )
 }
 
