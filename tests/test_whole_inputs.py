@@ -11,3 +11,9 @@ def test_descriptions_of_marts_over_all_trips(spark, sf):
     groups = run("monthly_zone_revenue", spark, sf).count()
     part = {r.row_count for r in run("mart_descriptions", spark, sf).collect()}
     assert found == {26, groups} and max(part) < groups
+
+
+def test_files_of_all_months(spark, sf):
+    found = run("registered_months_all", spark, sf).collect()
+    assert sum(r["count"] for r in found) == supplied.raw_green(spark, sf).count()
+    assert len({(r.year, r.month) for r in found}) > 6

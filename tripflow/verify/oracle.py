@@ -485,6 +485,12 @@ FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "output_file_count": "SELECT CAST(4 AS BIGINT) AS files, count(*) AS trips FROM lineitem",
     "sampled_staging": f"""WITH {RAW}, {STAGED}
 SELECT tripid, service_type FROM staged ORDER BY tripid, service_type LIMIT {PREVIEW_ROWS}""",
+    "registered_months_all": """
+SELECT l_suppkey AS "VendorID", CAST(year(l_shipdate) AS INTEGER) AS year,
+  CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS "count"
+FROM lineitem
+WHERE l_linestatus = 'F' AND l_shipdate IS NOT NULL
+GROUP BY 1, 2, 3""",
     "mart_descriptions": f"""WITH {RAW.replace("FROM lineitem)", "FROM lineitem WHERE l_partkey % 7 = 3)")},
 {STAGED}, {ZONES}, {FACT},
 monthly AS (

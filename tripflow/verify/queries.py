@@ -520,6 +520,36 @@ def registered_months(spark, d):
     return group_count(rows.withColumn("month", F.month(pickup)), "VendorID", "month")
 
 
+def registered_months_all(spark, d):
+    """Files of every month a service has, written at once, reached the same way.
+
+    A trip without a pickup time belongs to no month.
+    """
+    trips = supplied.raw_green(spark, d).select("VendorID", "lpep_pickup_datetime")
+    pickup = F.col("lpep_pickup_datetime")
+    # Spark names the folder of a month "file=" and its value: the service of the paths.
+    service, base = "file=green", fresh_dir(spark, "all-months")
+    name = F.concat(F.date_format(pickup, "'green_tripdata_'yyyy-MM"), F.lit(".parquet"))
+    dated = trips.filter(pickup.isNotNull()).withColumn("file", name)
+    files.write_parquet(dated.hint("rebalance", "file"), base, partition_by=["file"])
+    present = dated.select(F.year(pickup).alias("year"), F.month(pickup).alias("month")).distinct()
+    paths = [
+        path
+        for year, month in sorted(map(tuple, present.collect()))
+        for path in files.month_paths(base, service, [year], [month])
+    ]
+    sources = files.SourceRegistry()
+    sources.register(
+        "staging",
+        "green",
+        # A service without trips has no file.
+        lambda: files.read_parquet(spark, *paths, schema=trips.schema) if paths else trips.limit(0),
+    )
+    rows = sources.source("staging", "green")
+    rows = rows.withColumns({"year": F.year(pickup), "month": F.month(pickup)})
+    return group_count(rows, "VendorID", "year", "month")
+
+
 def seed_round_trip(spark, d):
     """Zones as headed CSV, loaded as a seed table."""
     path = fresh_dir(spark, "seed")
@@ -619,6 +649,7 @@ QUERIES: dict[str, Query] = {
         stream_by_batch,
         produced_messages,
         registered_months,
+        registered_months_all,
         seed_round_trip,
         output_file_count,
         sampled_staging,
