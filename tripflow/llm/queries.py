@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.llm.align_tokens import align_tokenizers
 from tripflow.llm.common import read_table
+from tripflow.llm.decontaminate import find_overlaps, hit_words
 from tripflow.llm.exact_dedup import exact_dedup
 from tripflow.llm.language import identify
 from tripflow.llm.line_dedup import line_report
@@ -19,6 +21,7 @@ from tripflow.llm.quality import score_quality
 from tripflow.llm.sharding import shard_rows
 from tripflow.llm.topk import top_k
 from tripflow.llm.warc import read_archives, resolved_records, write_archives
+from tripflow.llm.whitening import whitened_components
 from tripflow.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +102,35 @@ def op10_warc(spark: SparkSession, d: str) -> DataFrame:
     return records.drop("uri", "digest_matches")
 
 
+def op11_whitening(spark: SparkSession, d: str) -> DataFrame:
+    """The eight leading whitened components of every vector.
+
+    A deviation beyond a long is null; ``deviation_exact`` holds it.
+    """
+    rows = whitened_components(read_table(spark, d, "embeddings"), components=8)
+    return rows.withColumn("deviation", F.expr("try_cast(deviation_exact AS BIGINT)"))
+
+
+def op12_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    """Words of every document that lie in a passage of the benchmark."""
+    found = find_overlaps(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+    n_hit = hit_words("spans")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op13_align_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Groups and links of two tokenizers in every document."""
+    paths = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_tokenizers(read_table(spark, d, "documents"), *paths)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -112,6 +144,9 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_best_fit_packing,
         op10_warc,
+        op11_whitening,
+        op12_decontaminate,
+        op13_align_tokens,
     )
 }
 
@@ -218,4 +253,36 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> response THEN response END AS refers_to
 FROM b""",
+    "op12_decontaminate": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+heads AS (
+  SELECT item_id, w, least(len(w), 10) AS m, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i
+  FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS g FROM heads),
+places AS (
+  SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+  FROM d, (SELECT DISTINCT m FROM windows)),
+hits AS (
+  SELECT doc_id, i, m, item_id
+  FROM (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS g FROM places)
+  JOIN windows USING (m, g)),
+words AS (
+  SELECT doc_id, count(*) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS word FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS named
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(named, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
