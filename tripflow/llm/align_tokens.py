@@ -72,6 +72,7 @@ class ByteTokenizer:
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for entry, i in vocabulary.items():
             self.bytes[i] = bytes(byte[c] for c in entry)
+        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
         self.cuts = True
 
     def encode(self, text: str) -> list[int]:
@@ -92,6 +93,7 @@ class PieceTokenizer:
                 self.bytes.append(bytes([int(piece[1:-1], 16)]))
             else:
                 self.bytes.append(piece.replace(_MARK, " ").encode())
+        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
         pieces = map(self.model.id_to_piece, range(self.model.get_piece_size()))
         self.cuts = not any(_MARK in piece.lstrip(_MARK) for piece in pieces)
 
@@ -120,6 +122,13 @@ def coalesce(
     return group[: len(starts_a)], group[len(starts_a) :], int(opens.sum())
 
 
+@cache
+def _signed_numbers(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts of numbers below ``most`` after no sign, ``;``, ``|`` and ``,``, and their lengths."""
+    texts = [sign + str(i) for sign in ("", ";", "|", ",") for i in range(most)]
+    return np.array(texts, dtype=object), np.array([len(x) for x in texts], np.int32)
+
+
 def _spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """``first[i], first[i] + 1, ...`` for each i, ``counts[i]`` of them."""
     ends = np.cumsum(counts)
@@ -135,7 +144,6 @@ def _encoded(parts: list[bytes], texts: list[str], tokenizer) -> tuple[np.ndarra
     ids: list[int] = []
     counts = np.zeros(len(parts), np.int64)
     right = np.ones(len(parts), bool)
-    sizes = np.array([len(b) for b in tokenizer.bytes], np.int64)
 
     def one_by_one(numbers):
         for i in numbers:
@@ -147,7 +155,7 @@ def _encoded(parts: list[bytes], texts: list[str], tokenizer) -> tuple[np.ndarra
     def together(numbers):
         found = tokenizer.encode("".join([texts[i] for i in numbers]))
         whole = b"".join([parts[i] for i in numbers])
-        token_ends = np.cumsum(sizes[found])
+        token_ends = np.cumsum(tokenizer.sizes[found])
         part_ends = np.cumsum([len(parts[i]) for i in numbers])
         at = np.searchsorted(token_ends, part_ends)
         if b"".join([tokenizer.bytes[t] for t in found]) != whole or (token_ends[at] != part_ends).any():
@@ -165,7 +173,7 @@ def _encoded(parts: list[bytes], texts: list[str], tokenizer) -> tuple[np.ndarra
             held, room = [], CALL_CHARACTERS
     if held:
         together(held)
-    return np.array(ids, np.int64), counts, right
+    return np.array(ids, np.int32), counts, right
 
 
 class Parts:
@@ -173,17 +181,17 @@ class Parts:
 
     def __init__(self, texts: list[str], a: ByteTokenizer, b: PieceTokenizer):
         encoded = [t.encode() for t in texts]
+        self.most = max(len(a.bytes), len(b.bytes))
         ids_a, self.n_a, right_a = _encoded(encoded, texts, a)
         ids_b, self.n_b, right_b = _encoded(encoded, texts, b)
         self.right = right_a & right_b
-        part_a = np.repeat(np.arange(len(texts)), self.n_a)
-        part_b = np.repeat(np.arange(len(texts)), self.n_b)
+        number = np.arange(len(texts), dtype=np.int32)
+        part_a, part_b = np.repeat(number, self.n_a), np.repeat(number, self.n_b)
         # Parts that do not come back are left out, whatever their lengths.
         keep_a, keep_b = self.right[part_a], self.right[part_b]
         ids_a, part_a, ids_b, part_b = ids_a[keep_a], part_a[keep_a], ids_b[keep_b], part_b[keep_b]
         self.n_a, self.n_b = np.where(self.right, [self.n_a, self.n_b], 0)
-        size_a = np.array([len(x) for x in a.bytes])[ids_a]
-        size_b = np.array([len(x) for x in b.bytes])[ids_b]
+        size_a, size_b = a.sizes[ids_a], b.sizes[ids_b]
         ends_a, ends_b = np.cumsum(size_a), np.cumsum(size_b)
         group_a, group_b, n = coalesce(ends_a - size_a, ends_a, ends_b - size_b, ends_b)
 
@@ -205,7 +213,7 @@ class Parts:
 
     def _write(self, ids_a, group_a, ids_b, group_b, owner, n):
         """``a1,a2|b1;a3|b2`` of every part, written once and cut."""
-        side = np.repeat([0, 1], [len(ids_a), len(ids_b)])
+        side = np.repeat(np.array([0, 1], np.int8), [len(ids_a), len(ids_b)])
         group = np.concatenate([group_a, group_b])
         order = np.lexsort((side, group))  # stable: tokens stay in their order
         ids, side, group = np.concatenate([ids_a, ids_b])[order], side[order], group[order]
@@ -214,11 +222,10 @@ class Parts:
         part = owner[group] if len(group) else group
         new_part = np.diff(part, prepend=-1) != 0
         kind = np.where(new_part, 0, np.where(new_group, 1, np.where(new_side, 2, 3)))
-        most = int(ids.max(initial=0)) + 1
-        numbers = [str(i) for i in range(most)]
-        words = np.array([sign + x for sign in ("", ";", "|", ",") for x in numbers], dtype=object)
-        lengths = np.array([len(x) for x in words], np.int64)[kind * most + ids]
-        written = "".join(words[kind * most + ids].tolist())
+        words, lengths = _signed_numbers(self.most)
+        at = kind * self.most + ids
+        lengths = lengths[at]
+        written = "".join(words[at].tolist())
         ends = np.cumsum(np.bincount(part, weights=lengths, minlength=n).astype(np.int64))
         self.groups = [written[i:j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
@@ -260,7 +267,7 @@ def _block(ids: pa.Array, texts: list[str | None], block: int, a, b) -> pa.Recor
         hashlib.sha256(";".join(written[i:j]).encode()).hexdigest() if j > i else ""
         for i, j in zip((ends - counts).tolist(), ends.tolist(), strict=True)
     ]
-    packed, pair = np.unique((parts.link_a << 32) | parts.link_b, return_inverse=True)
+    packed, pair = np.unique((parts.link_a.astype(np.int64) << 32) | parts.link_b, return_inverse=True)
     # A part that a text repeats brings its links once, with the number of its repeats.
     mine, repeats = np.unique(text * len(parts.right) + codes, return_counts=True)
     owner, code = mine // max(len(parts.right), 1), mine % max(len(parts.right), 1)
