@@ -9,10 +9,13 @@ from tripflow.verify.queries import QUERIES as REGISTERED
 
 QUERIES = {name: entry.queries()[name] for name in REGISTERED}
 
+# Solved by iteration; test_regression holds them against dense solutions.
+WITHOUT_SQL = {"tip_full_predictions", "tip_full_explained", "tip_full_tuning"}
+
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
 
 
 @pytest.mark.parametrize("name", QUERIES)

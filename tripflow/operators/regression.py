@@ -11,22 +11,26 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 from operator import add
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tripflow.operators.gram import Moments, collect_moments, solve
+from tripflow.operators.numbering import ROWS_PER_TASK, number_within
 from tripflow.session import fresh_dir, scratch_dir
 
 # The first byte of a key's MD5, below this bound for 205 of 256 values (80 %).
 TRAIN_BELOW = "cd"
+# Up to so many features the solver works on the matrix of their moments.
+MOST_FEATURES = 4096
 
 
 @dataclass(frozen=True)
@@ -123,20 +127,26 @@ def _category(name: str) -> Column:
 class Summary:
     """What preparation has to know about the data.
 
-    ``categories`` is a stored table of input, category, n and index: the
-    place of the category by falling frequency, then by value.
+    ``categories`` has input, category, n and index, the place of the category
+    by falling frequency, then by value; it reads a stored table.
     """
 
     rows: int
     means: dict[str, float]
     sizes: dict[str, int]
     categories: DataFrame | None
+    label_mean: float | None = None
 
 
-def summarize(df: DataFrame, spec: Spec) -> Summary:
-    """Means of the numbers in one pass, and counts of the categories in another."""
+def summarize(df: DataFrame, spec: Spec, rows_per_task: int = ROWS_PER_TASK) -> Summary:
+    """Means of the numbers in one pass, and counts of the categories in another.
+
+    Categories are numbered in as many tasks as their number needs.
+    """
+    label = F.col(spec.label).cast("double") if spec.label in df.columns else F.lit(None)
     found = df.agg(
         F.count("*").alias("rows"),
+        F.avg(label).alias("label"),
         *(F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(spec.numbers)),
     ).first()
     means = {c: found[f"m{i}"] for i, c in enumerate(spec.numbers)}
@@ -144,15 +154,19 @@ def summarize(df: DataFrame, spec: Spec) -> Summary:
     if empty:
         raise ValueError(f"no values to learn from in: {empty}")
     if not spec.categories:
-        return Summary(found.rows, means, {}, None)
+        return Summary(found.rows, means, {}, None, found.label)
+    spark, path = df.sparkSession, fresh_dir(df.sparkSession, "categories")
     counts = _pairs(df, spec, _category).groupBy("input", "category").agg(F.count("*").alias("n"))
-    by_frequency = W.partitionBy("input").orderBy(F.desc("n"), "category")
-    numbered = counts.withColumn("index", F.row_number().over(by_frequency) - 1)
-    path = fresh_dir(df.sparkSession, "categories")
-    numbered.write.parquet(path)
-    stored = df.sparkSession.read.parquet(path)
+    with scratch_dir(spark, "category-counts") as counted, scratch_dir(spark, "ranges") as ranges:
+        counts.write.parquet(counted)
+        by_frequency = [F.desc("n"), F.col("category")]
+        numbered = number_within(
+            spark.read.parquet(counted), "input", by_frequency, "index", ranges, rows_per_task
+        )
+        numbered.withColumn("index", F.col("index").cast("int")).write.parquet(path)
+    stored = spark.read.parquet(path)
     sizes = {r.input: r.n for r in stored.groupBy("input").agg(F.count("*").alias("n")).collect()}
-    return Summary(found.rows, means, sizes, stored)
+    return Summary(found.rows, means, sizes, stored, found.label)
 
 
 def _joined(df: DataFrame, spec: Spec, table: DataFrame | None, value: str, prefix: str) -> DataFrame:
@@ -305,42 +319,73 @@ def load(spark: SparkSession, path: str) -> TrainedModel:
     return TrainedModel(spec, row.intercept, row.coefficients, row.means, weights)
 
 
-def _finish(spec: Spec, summary: Summary, fitted: LinearRegressionModel) -> TrainedModel:
-    """The fitted vector as named coefficients and a table of centred weights."""
-    vector = fitted.coefficients.toArray()
-    coefficients = {c: float(vector[i]) for i, c in enumerate(spec.numbers)}
-    intercept, weights = float(fitted.intercept), None
+def _width(summary: Summary, name: str) -> int:
+    """Places of a category in the feature vector."""
+    return max(summary.sizes[name], 2) - 1
+
+
+def _moments(df: DataFrame, spec: Spec, summary: Summary) -> Moments:
+    """Moments of the feature vector, from one pass over the rows."""
+    places: dict[str, dict[str, int]] = {c: {} for c in spec.categories}
+    if spec.categories:
+        for r in summary.categories.collect():
+            places[r.input][r.category] = r["index"]
+    shifted = collect_moments(
+        df,
+        F.col(spec.label).cast("double") - F.lit(summary.label_mean),
+        {c: _filled(c, summary.means) - F.lit(summary.means[c]) for c in spec.numbers},
+        {c: _category(c) for c in spec.categories},
+        places,
+        {c: _width(summary, c) for c in spec.categories},
+    )
+    means = shifted.means.copy()
+    means[: len(spec.numbers)] += [summary.means[c] for c in spec.numbers]
+    return replace(shifted, means=means, label_mean=shifted.label_mean + summary.label_mean)
+
+
+def _finish(
+    spec: Spec, summary: Summary, solutions: Sequence[tuple[np.ndarray, float]]
+) -> list[TrainedModel]:
+    """Fitted vectors and intercepts as models with named coefficients and centred weights.
+
+    The weights of all models are columns of one stored table.
+    """
+    names = [f"weight{k}" for k in range(len(solutions))]
+    usual: dict[str, list[float]] = {}
     if spec.categories:
         start, blocks = len(spec.numbers), []
         for name in spec.categories:
-            width = max(summary.sizes[name], 2) - 1
-            block = pd.DataFrame({"weight": vector[start : start + width]})
+            width = _width(summary, name)
+            block = pd.DataFrame(
+                {n: v[start : start + width] for n, (v, _) in zip(names, solutions, strict=True)}
+            )
             blocks.append(block.assign(input=name, index=range(width)))
             start += width
         spark = summary.categories.sparkSession
+        types = ", ".join(f"{n} double" for n in names)
         found = spark.createDataFrame(
-            pd.concat(blocks)[["input", "index", "weight"]], "input string, index int, weight double"
-        )
-        raw = summary.categories.join(found, ["input", "index"], "left").withColumn(
-            "weight", F.coalesce("weight", F.lit(0.0))
+            pd.concat(blocks)[["input", "index", *names]], f"input string, index int, {types}"
         )
+        raw = summary.categories.join(found, ["input", "index"], "left").fillna(0.0, names)
         path = fresh_dir(spark, "weights")
         raw.write.parquet(path)
         raw = spark.read.parquet(path)
-        usual = {
-            r.input: r.mean
-            for r in raw.groupBy("input").agg(
-                (F.sum(F.col("weight") * F.col("n")) / summary.rows).alias("mean")
-            ).collect()
-        }
-        intercept += sum(usual.values())
-        shift = reduce(
-            lambda chain, item: chain.when(F.col("input") == item[0], item[1]),
-            list(usual.items())[1:],
-            F.when(F.col("input") == next(iter(usual)), usual[next(iter(usual))]),
-        )
-        weights = raw.select("input", "category", (F.col("weight") - shift).alias("weight"))
-    return TrainedModel(spec, intercept, coefficients, summary.means, weights)
+        shares = [(F.sum(F.col(n) * F.col("n")) / summary.rows).alias(n) for n in names]
+        usual = {r.input: [r[n] for n in names] for r in raw.groupBy("input").agg(*shares).collect()}
+
+    models = []
+    for k, (vector, intercept) in enumerate(solutions):
+        coefficients = {c: float(vector[i]) for i, c in enumerate(spec.numbers)}
+        weights = None
+        if spec.categories:
+            intercept += sum(u[k] for u in usual.values())
+            (name, first), *others = usual.items()
+            shift = F.when(F.col("input") == name, first[k])
+            for name, means in others:
+                shift = shift.when(F.col("input") == name, means[k])
+            weights = raw.select("input", "category", (F.col(names[k]) - shift).alias("weight"))
+        models.append(TrainedModel(spec, float(intercept), coefficients, summary.means, weights))
+    return models
 
 
 def train(df: DataFrame, spec: Spec, l1: float = 0.0, l2: float = 0.0) -> TrainedModel:
@@ -349,7 +394,7 @@ def train(df: DataFrame, spec: Spec, l1: float = 0.0, l2: float = 0.0) -> Traine
     summary = summarize(labelled, spec)
     with scratch_dir(df.sparkSession, "prepared") as path:
         fitted = _estimator(spec, l1, l2).fit(_prepared(labelled, spec, summary, path))
-    return _finish(spec, summary, fitted)
+    return _finish(spec, summary, [(fitted.coefficients.toArray(), fitted.intercept)])[0]
 
 
 def _metrics(label: Column, predicted: Column, suffix: str = "") -> list[Column]:
@@ -379,21 +424,29 @@ def tune(
     trials: int = 5,
     parallel: int = 2,
     seed: int = 42,
+    most_features: int = MOST_FEATURES,
 ) -> tuple[TrainedModel, DataFrame]:
     """Random search over the penalties; the lowest validation error wins.
 
-    Features are prepared and stored once for all trials, and all trials are
-    scored in a single pass over the validation rows: each trial's weights are
-    a column of one table.
+    Up to ``most_features`` features all trials are solved from moments that
+    one pass over the rows gives. Beyond, where the matrix of moments would be
+    too large for the driver, features are prepared and stored once and every
+    trial iterates over them. All trials are scored in a single pass over the
+    validation rows: each trial's weights are a column of one table.
     """
     draw = random.Random(seed)
     penalties = [(draw.uniform(*l1_range), draw.choice(l2_candidates)) for _ in range(trials)]
     labelled = train_rows.filter(F.col(spec.label).isNotNull())
     summary = summarize(labelled, spec)
-    with scratch_dir(train_rows.sparkSession, "prepared") as path, ThreadPool(parallel) as pool:
-        prepared = _prepared(labelled, spec, summary, path)
-        fitted = pool.map(lambda p: _estimator(spec, *p).fit(prepared), penalties, chunksize=1)
-    models = [_finish(spec, summary, regression) for regression in fitted]
+    if len(spec.numbers) + sum(_width(summary, c) for c in spec.categories) <= most_features:
+        moments = _moments(labelled, spec, summary)
+        solutions = [solve(moments, l1, l2) for l1, l2 in penalties]
+    else:
+        with scratch_dir(train_rows.sparkSession, "prepared") as path, ThreadPool(parallel) as pool:
+            prepared = _prepared(labelled, spec, summary, path)
+            fitted = pool.map(lambda p: _estimator(spec, *p).fit(prepared), penalties, chunksize=1)
+        solutions = [(f.coefficients.toArray(), f.intercept) for f in fitted]
+    models = _finish(spec, summary, solutions)
 
     rows = validation_rows.filter(F.col(spec.label).isNotNull())
     if spec.categories:

@@ -470,12 +470,6 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
     CAST(NULL AS VARCHAR) AS malformed
 FROM events""",
     "produced_messages": "SELECT event_id, user_id, value FROM events",
-    "registered_months": """
-SELECT l_suppkey AS "VendorID", CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS "count"
-FROM lineitem
-WHERE l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '1998-01-01'
-    AND l_shipdate < TIMESTAMP '1998-07-01'
-GROUP BY 1, 2""",
     "seed_round_trip": """
 SELECT CAST(n_nationkey AS INTEGER) AS locationid,
     CASE WHEN r_name = 'MIDDLE EAST' THEN 'Unknown' ELSE r_name END AS borough,
@@ -485,14 +479,13 @@ FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "output_file_count": "SELECT CAST(4 AS BIGINT) AS files, count(*) AS trips FROM lineitem",
     "sampled_staging": f"""WITH {RAW}, {STAGED}
 SELECT tripid, service_type FROM staged ORDER BY tripid, service_type LIMIT {PREVIEW_ROWS}""",
-    "registered_months_all": """
+    "registered_months": """
 SELECT l_suppkey AS "VendorID", CAST(year(l_shipdate) AS INTEGER) AS year,
   CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS "count"
 FROM lineitem
 WHERE l_linestatus = 'F' AND l_shipdate IS NOT NULL
 GROUP BY 1, 2, 3""",
-    "mart_descriptions": f"""WITH {RAW.replace("FROM lineitem)", "FROM lineitem WHERE l_partkey % 7 = 3)")},
-{STAGED}, {ZONES}, {FACT},
+    "mart_descriptions": f"""WITH {RAW}, {STAGED}, {ZONES}, {FACT},
 monthly AS (
   SELECT DISTINCT pickup_zone, date_trunc('month', pickup_datetime), service_type FROM fact),
 texts(table_name, column_name, comment) AS (VALUES
@@ -513,8 +506,3 @@ SELECT column_name, comment, table_name, CASE table_name
     ELSE (SELECT count(*) FROM monthly) END AS row_count
 FROM texts""",
 }
-
-# The same over all trips.
-ORACLE["mart_descriptions_all"] = ORACLE["mart_descriptions"].replace(
-    " WHERE l_partkey % 7 = 3", ""
-)

@@ -435,6 +435,24 @@ def tip_tuning(spark, d):
     )
 
 
+def tip_full_predictions(spark, d):
+    """The model as users run it: all numbers, zones and payment types as categories."""
+    run = jobs.tip_model(supplied.all_trips(spark, d), ROW_KEY)
+    return run.model.predict(run.features)
+
+
+def tip_full_explained(spark, d):
+    """Its three strongest reasons for every prediction, of seven inputs."""
+    run = jobs.tip_model(supplied.all_trips(spark, d), ROW_KEY)
+    return run.model.explain(run.features)
+
+
+def tip_full_tuning(spark, d):
+    """Five penalties for all inputs."""
+    train, held_out = jobs.stored_tip_features(supplied.all_trips(spark, d), ROW_KEY)
+    return regression.tune(train, held_out, TIP_SPEC)[1]
+
+
 def batch_scored_trips(spark, d):
     trips = supplied.all_trips(spark, d).select(
         "vendorid", "pickup_datetime", "pulocationid", "dolocationid", "trip_distance"
@@ -503,24 +521,6 @@ def produced_messages(spark, d):
 
 
 def registered_months(spark, d):
-    """Monthly files of a service, reached by path, schema and a registered name."""
-    trips = supplied.raw_green(spark, d).select("VendorID", "lpep_pickup_datetime")
-    base = fresh_dir(spark, "months")
-    year, months = 1998, range(1, 7)
-    paths = files.month_paths(base, "green", [year], months)
-    pickup = F.col("lpep_pickup_datetime")
-    for month, path in zip(months, paths, strict=True):
-        mine = trips.filter((F.year(pickup) == year) & (F.month(pickup) == month))
-        files.write_parquet(mine, path)
-    sources = files.SourceRegistry()
-    sources.register(
-        "staging", "green", lambda: files.read_parquet(spark, *paths, schema=trips.schema)
-    )
-    rows = sources.source("staging", "green")
-    return group_count(rows.withColumn("month", F.month(pickup)), "VendorID", "month")
-
-
-def registered_months_all(spark, d):
     """Files of every month a service has, written at once, reached the same way.
 
     A trip without a pickup time belongs to no month.
@@ -573,17 +573,9 @@ def sampled_staging(spark, d):
 
 
 def mart_descriptions(spark, d):
-    """Texts of the mart tables and their columns, over trips of one payment type."""
-    return _mart_descriptions(spark, d, supplied.all_trips(spark, d).filter("payment_type = 3"))
-
-
-def mart_descriptions_all(spark, d):
-    """Texts of the mart tables and their columns, as the catalog has them, over all trips."""
-    return _mart_descriptions(spark, d, supplied.all_trips(spark, d))
-
-
-def _mart_descriptions(spark, d, trips):
-    zones, prefix = supplied.complete_zone_lookup(spark, d), fresh_name("marts")
+    """Texts of the mart tables and their columns, as the catalog has them."""
+    trips, zones = supplied.all_trips(spark, d), supplied.complete_zone_lookup(spark, d)
+    prefix = fresh_name("marts")
     jobs.build_marts(stage(trips), zones, fresh_dir(spark, "marts"), tables_prefix=f"{prefix}_")
     found = []
     for name in ("dim_zones", "monthly_zone_revenue"):
@@ -642,6 +634,9 @@ QUERIES: dict[str, Query] = {
         tip_predictions,
         tip_explained,
         tip_tuning,
+        tip_full_predictions,
+        tip_full_explained,
+        tip_full_tuning,
         batch_scored_trips,
         json_roundtrip,
         stream_json_events,
@@ -649,12 +644,10 @@ QUERIES: dict[str, Query] = {
         stream_by_batch,
         produced_messages,
         registered_months,
-        registered_months_all,
         seed_round_trip,
         output_file_count,
         sampled_staging,
         mart_descriptions,
-        mart_descriptions_all,
     )
 }
 
