@@ -7,7 +7,9 @@ from helpers import plan, rows, ts
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tripflow.operators import aggregates
 from tripflow.operators.aggregates import (
     exact_sum,
     group_count,
@@ -196,3 +198,37 @@ def test_sum_of_doubles_beyond_whole_numbers_is_the_plain_sum(spark, values):
     ours, plain_sum, money = df.agg(exact_sum(df, "x"), F.sum("x"), total_money(df, "x")).first()
     assert ours == plain_sum or math.isnan(ours) and math.isnan(plain_sum)
     assert money == ours or math.isnan(money) and math.isnan(ours)
+
+
+def test_parts_of_days_give_the_sums_and_means_of_all(spark):
+    """High and low parts, NULLs, negative amounts and a group without any value."""
+    data = [
+        (zone, f"2024-0{1 + i % 2}-1{i % 5} 0{i % 9}:00:00", s, a, p, d)
+        for i, (zone, s, a, p, d) in enumerate(
+            (z, s, a, p, d)
+            for z in ("A", None)
+            for s in ("Green", "Yellow")
+            for a, p, d in ((9_999_999_999.99, 1, 0.000001), (-0.07, None, 12.5), (None, 3, None)) * 4
+        )
+    ] + [("B", None, "Green", None, None, None)]
+    frame = spark.createDataFrame(
+        data, "zone string, pickup_datetime string, service_type string, a double, p int, d double"
+    )
+    money, distance = T.DecimalType(18, 2), T.DecimalType(18, 6)
+    trips = frame.select(
+        "zone",
+        F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"),
+        "service_type",
+        F.lit("k").alias("tripid"),
+        F.col("a").cast(money).alias("fare_amount"),
+        F.col("p").alias("passenger_count"),
+        F.col("d").cast(distance).alias("trip_distance"),
+    )
+    whole = aggregates.revenue_by_month(trips, "zone", ["fare_amount"], count="tripid")
+    parts = aggregates.revenue_parts_by_day(trips, "zone", ["fare_amount"])
+    types = {"fare_amount": money, "passenger_count": T.IntegerType(), "trip_distance": distance}
+    merged = aggregates.revenue_by_month_of_parts(parts, types, ["fare_amount"])
+    assert parts.count() > merged.count() == 9
+    assert rows(merged.select(whole.columns)) == rows(whole)
+    with pytest.raises(TypeError, match="no whole number"):
+        aggregates.sum_parts(frame, "a")

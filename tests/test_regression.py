@@ -1,3 +1,4 @@
+import json
 import math
 
 import numpy as np
@@ -16,6 +17,7 @@ from tripflow.plans import jobs
 from tripflow.plans.tip_model import TIP_INPUT_SCHEMA, TIP_SPEC, tip_features
 from tripflow.schemas import TIP_FEATURE_TYPES
 from tripflow.sources import supplied
+from tripflow.streaming import messages
 from tripflow.verify import queries
 
 SPEC = Spec("y", ("x1", "x2"), ("c",))
@@ -210,6 +212,31 @@ def test_json_rows_of_a_stream_are_scored(spark, model, tmp_path):
     assert math.isclose(row.predicted_y, 2 + 3 * 1 - 2 + 5, abs_tol=1e-6)
 
 
+def test_a_scored_stream_resumes_and_sets_malformed_messages_apart(spark, model, data, tmp_path):
+    """A model with categories, stored and loaded; the stream drains, gets more, drains again."""
+    model.save(f"{tmp_path}/model")
+    loaded, folder = regression.load(spark, f"{tmp_path}/model"), tmp_path / "in"
+    folder.mkdir()
+    inputs = data.select("x1", "x2", "c").limit(40).collect()
+    schema = T.StructType.fromDDL("x1 double, x2 double, c string")
+    for part in (0, 1):
+        for i, r in list(enumerate(inputs))[part::2]:
+            name, extra = folder / f"{part}-{i}.json", "\n{oops" if i % 8 == 0 else "\n{}"
+            name.write_text(json.dumps(r.asDict()) + extra + "\n")
+        for _ in (1, 2):
+            jobs.score_messages_stream(
+                messages.read_text_files(spark, str(folder), files_at_once=7),
+                loaded, schema, f"{tmp_path}/out", f"{tmp_path}/cp",
+            ).awaitTermination()
+    out = messages.read_stored(spark, f"{tmp_path}/out")
+    good = out.filter("malformed IS NULL")
+    direct = model.predict(data.select("x1", "x2", "c").limit(40))
+    assert rows(good.select(direct.columns)) == rows(direct)
+    bad = out.filter("malformed IS NOT NULL")
+    assert sorted(r.malformed for r in bad.collect()) == ["{oops"] * 5 + ["{}"] * 35
+    assert bad.filter("predicted_y IS NOT NULL OR x1 IS NOT NULL").isEmpty()
+
+
 def test_batches_are_scored_with_all_columns_kept(spark):
     df = spark.createDataFrame([(1, 2.0), (2, None)], "id int, trip_distance double")
     out = score_batches(df, lambda b: b["trip_distance"] * 3, "predicted_duration")

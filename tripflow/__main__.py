@@ -9,7 +9,7 @@ from tripflow.operators import regression
 from tripflow.operators.align import lower_names
 from tripflow.plans import jobs
 from tripflow.session import build_session, size_shuffles
-from tripflow.sources import files, relational
+from tripflow.sources import files, relational, tables
 from tripflow.streaming import messages
 
 
@@ -45,6 +45,12 @@ def parser() -> argparse.ArgumentParser:
     dated.add_argument("--timestamp", required=True)
     dated.add_argument("--cluster_by", nargs="*", default=[])
     dated.add_argument("--path")
+    dated.add_argument("--grain", choices=["day", "month"], default="day")
+    dated.add_argument(
+        "--replace_dates",
+        action="store_true",
+        help="load into the existing table, in place of the dates the files hold",
+    )
 
     hourly = sub.add_parser("hourly-merge", help="hourly revenue of both services, merged")
     hourly.add_argument("--trips", required=True, nargs="+", help="stored union of services")
@@ -115,9 +121,16 @@ def main(argv: list[str] | None = None) -> None:
         jobs.produce(files.read_parquet(spark, *args.input), args.output)
     elif args.job == "load-dated":
         size_shuffles(spark, files.stored_bytes(spark, args.source))
-        jobs.load_dated(
-            spark, args.source, args.table, args.timestamp, tuple(args.cluster_by), args.path
-        )
+        cluster_by = tuple(args.cluster_by)
+        if args.replace_dates:
+            table = tables.DatedTable(
+                args.table, args.timestamp, grain=args.grain, cluster_by=cluster_by
+            )
+            jobs.reload_dates(spark, args.source, table)
+        else:
+            jobs.load_dated(
+                spark, args.source, args.table, args.timestamp, cluster_by, args.path, args.grain
+            )
     elif args.job == "ingest":
         options = relational.write_options(
             relational.postgres_url(args.host, args.port, args.db),

@@ -16,12 +16,31 @@ from tripflow.schemas import REVENUE_MEASURES
 SPLIT = 20
 # Doubles are taken apart in pieces of this many bits.
 PIECE = 26
+# Columns of the monthly report that are averaged.
+MEANS = ("passenger_count", "trip_distance")
+
+
+def _long_parts(units: Column) -> tuple[Column, Column]:
+    return F.shiftright(units, SPLIT), units.bitwiseAND(F.lit(2**SPLIT - 1))
+
+
+def _joined_parts(high: Column, low: Column) -> Column:
+    whole = high.cast("decimal(20,0)") * F.lit(2**SPLIT).cast("decimal(7,0)")
+    return whole + low.cast("decimal(20,0)")
 
 
 def _sum_of_longs(units: Column) -> Column:
-    high = F.sum(F.shiftright(units, SPLIT)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit(2**SPLIT - 1))).cast("decimal(20,0)")
-    return high * F.lit(2**SPLIT).cast("decimal(7,0)") + low
+    return _joined_parts(*map(F.sum, _long_parts(units)))
+
+
+def _units(df: DataFrame, name: str) -> tuple[Column, int] | None:
+    """A number counted in its smallest digit, and its digits; None if a long cannot hold it."""
+    kind, value = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.IntegralType):
+        return value.cast("long"), 0
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (value * F.lit(10**kind.scale)).cast("long"), kind.scale
+    return None
 
 
 def _sum_of_doubles(value: Column) -> Column:
@@ -56,15 +75,45 @@ def exact_sum(df: DataFrame, name: str) -> Column:
     adding decimals; the result is a decimal, built once per group. Doubles
     give a double, see ``_sum_of_doubles``.
     """
-    kind, value = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.IntegralType):
-        return _sum_of_longs(value.cast("long"))
-    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
-        total = _sum_of_longs((value * F.lit(10**kind.scale)).cast("long"))
-        return total * F.lit(Decimal(1).scaleb(-kind.scale)) if kind.scale else total
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return _sum_of_doubles(value)
-    return F.sum(value)
+    units = _units(df, name)
+    if units is not None:
+        return _scaled(_sum_of_longs(units[0]), units[1])
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return _sum_of_doubles(F.col(name))
+    return F.sum(name)
+
+
+def _scaled(total: Column, digits: int) -> Column:
+    return total * F.lit(Decimal(1).scaleb(-digits)) if digits else total
+
+
+# Sums that are merged later: a high and a low part in units, and how many values.
+PARTS = ("high", "low", "n")
+
+
+def sum_parts(df: DataFrame, name: str) -> list[Column]:
+    """What a sum or mean of a whole number or decimal needs to be merged with others.
+
+    Longs, in units of the smallest digit, so nothing is divided or rounded
+    before the last merge.
+    """
+    units = _units(df, name)
+    if units is None:
+        raise TypeError(f"{name} is no whole number or decimal of at most 18 digits")
+    high, low = _long_parts(units[0])
+    totals = (F.sum(high), F.sum(low), F.count(name))
+    return [total.alias(f"{name}_{part}") for total, part in zip(totals, PARTS, strict=True)]
+
+
+def merged_sum(name: str, kind: T.DataType) -> Column:
+    """The sum of a column of type ``kind`` from rows of its parts."""
+    total = _joined_parts(F.sum(f"{name}_high"), F.sum(f"{name}_low"))
+    return _scaled(total, kind.scale if isinstance(kind, T.DecimalType) else 0)
+
+
+def merged_mean(name: str, kind: T.DataType) -> Column:
+    total = merged_sum(name, kind).cast("double")
+    return total / F.nullif(F.sum(f"{name}_n"), F.lit(0))
 
 
 def total_money(df: DataFrame, name: str) -> Column:
@@ -111,8 +160,48 @@ def revenue_by_month(
     ).agg(
         *totals,
         *counts,
-        mean(trips, "passenger_count").alias("avg_montly_passenger_count"),
-        mean(trips, "trip_distance").alias("avg_montly_trip_distance"),
+        *(mean(trips, m).alias(f"avg_montly_{m}") for m in MEANS),
+    )
+
+
+def revenue_parts_by_day(
+    trips: DataFrame,
+    zone: str,
+    measures: Sequence[str] = tuple(REVENUE_MEASURES),
+    count: str = "tripid",
+) -> DataFrame:
+    """Daily parts of the monthly report, per zone and service, to be merged by month."""
+    parts = [p for m in (*measures, *MEANS) for p in sum_parts(trips, m)]
+    return trips.groupBy(
+        F.col(zone).alias("revenue_zone"),
+        truncate("day", "pickup_datetime").alias("revenue_day"),
+        "service_type",
+    ).agg(*parts, F.count(count).alias("trips"))
+
+
+def revenue_by_month_of_parts(
+    parts: DataFrame,
+    types: dict[str, T.DataType],
+    measures: Sequence[str] = tuple(REVENUE_MEASURES),
+) -> DataFrame:
+    """The monthly report from daily parts: they are added, then divided and rounded.
+
+    ``types`` are those of the columns the parts were made of.
+    """
+    totals = [
+        merged_sum(m, types[m]).cast("decimal(28,2)").alias(
+            f"revenue_monthly_{REVENUE_MEASURES[m]}"
+        )
+        for m in measures
+    ]
+    return parts.groupBy(
+        "revenue_zone",
+        truncate("month", "revenue_day").alias("revenue_month"),
+        "service_type",
+    ).agg(
+        *totals,
+        F.sum("trips").alias("total_monthly_trips"),
+        *(merged_mean(m, types[m]).alias(f"avg_montly_{m}") for m in MEANS),
     )
 
 

@@ -69,3 +69,19 @@ def score_json(
 def malformed_json(df: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
     """The rows that ``score_json`` leaves out, for a quarantine."""
     return df.filter(_decoded(text, schema).isNull())
+
+
+def score_messages(
+    df: DataFrame, model: TrainedModel, schema: T.StructType, text: str = "value"
+) -> DataFrame:
+    """All messages: inputs and prediction of good ones, the text of others in ``malformed``.
+
+    For streams that keep a quarantine beside what they score, in one pass.
+    """
+    row = df.withColumn("_row", _decoded(text, schema))
+    inputs = [F.col(f"_row.{name}").alias(name) for name in schema.names]
+    bad = F.col("_row").isNull()
+    flagged = row.select(*inputs, F.when(bad, F.coalesce(text, F.lit(""))).alias("malformed"))
+    scored = model.predict(flagged)
+    prediction = F.when(F.col("malformed").isNull(), F.col(model.predicted))
+    return scored.withColumn(model.predicted, prediction)

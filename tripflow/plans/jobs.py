@@ -6,11 +6,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.operators import regression
+from tripflow.operators.aggregates import revenue_by_month_of_parts, revenue_parts_by_day
 from tripflow.operators.align import aligned_union, lower_names, rename, union_all
-from tripflow.operators.quality import enforce, quality_report
+from tripflow.operators.quality import QualityError, enforce, quality_report
+from tripflow.operators.scoring import score_messages
 from tripflow.plans import marts
 from tripflow.plans.checks import mart_checks, service_checks
 from tripflow.plans.descriptions import (
@@ -22,9 +25,16 @@ from tripflow.plans.descriptions import (
 )
 from tripflow.plans.staging import stage_services
 from tripflow.plans.tip_model import TIP_SPEC, tip_features
-from tripflow.schemas import GREEN, MESSAGE_SCHEMA, YELLOW, ZONE_SCHEMA, ServiceLayout
-from tripflow.session import fresh_dir
-from tripflow.sources import files, relational, tables
+from tripflow.schemas import (
+    GREEN,
+    MESSAGE_SCHEMA,
+    TRIP_TYPES,
+    YELLOW,
+    ZONE_SCHEMA,
+    ServiceLayout,
+)
+from tripflow.session import fresh_dir, fresh_name, scratch_dir
+from tripflow.sources import files, publish, relational, tables
 from tripflow.streaming import messages
 
 
@@ -53,6 +63,7 @@ def load_dated(
     ts: str,
     cluster_by: tuple[str, ...] = (),
     path: str | None = None,
+    grain: str = "day",
 ) -> tables.DatedTable:
     """Lake files to a date-partitioned table by way of an external table.
 
@@ -62,7 +73,17 @@ def load_dated(
     external = f"{table}_external"
     frame = tables.create_external(spark, external, source)
     try:
-        return tables.create_dated_table(frame, table, ts, cluster_by, path)
+        return tables.create_dated_table(frame, table, ts, cluster_by, path, grain=grain)
+    finally:
+        tables.drop_table(spark, external)
+
+
+def reload_dates(spark: SparkSession, source: str, table: tables.DatedTable) -> list:
+    """Lake files of some dates into a dated table, in place of what it has of them."""
+    external = fresh_name("reload_external")
+    frame = tables.create_external(spark, external, source)
+    try:
+        return table.replace_dates(frame)
     finally:
         tables.drop_table(spark, external)
 
@@ -141,32 +162,52 @@ class Marts:
     report: DataFrame
 
 
+def _audited(report: DataFrame, path: str) -> DataFrame:
+    """The stored report; an error in it names where the rejected tables lie."""
+    # A row per check, stored once: to judge it and to show it are two reads.
+    files.write_parquet(report, f"{path}/quality_report", files=1)
+    try:
+        return enforce(report.sparkSession.read.parquet(f"{path}/quality_report"))
+    except QualityError as error:
+        raise QualityError(f"{error}; nothing was published, see {path}") from error
+
+
 def build_marts(
     staged: DataFrame,
     lookup: DataFrame,
     output: str,
     mode: str = "overwrite",
     tables_prefix: str | None = None,
+    run: str | None = None,
 ) -> Marts:
-    """Staged trips to stored zones, fact and monthly mart, then the checks.
-
-    The fact is stored because both the mart and its readers use it. An error
-    in a check raises after the tables are written; warnings are reported.
-    With a prefix the three are also tables of the catalog under that prefix,
-    with the texts that describe them and their columns.
+    """Staged trips to stored zones, fact and monthly mart: written, checked, published.
+
+    All three are written to a folder of this run and checked there. An error
+    in a check raises and leaves what was published before as it is; warnings
+    are reported. Only then do the new tables take the place of the old ones:
+    as folders of ``output``, or with a prefix as tables of the catalog under
+    that prefix, with the texts that describe them and their columns. The fact
+    is stored because both the mart and its readers use it.
     """
-    spark = lookup.sparkSession
+    spark, run = lookup.sparkSession, run or publish.new_run()
+    folder, output = publish.run_folder(output, run), output.rstrip("/")
+    names = ("dim_zones", "fact_trips", "monthly_zone_revenue")
+    if mode == "errorifexists":
+        there = [n for n in names if publish.folder_exists(spark, f"{output}/{n}")]
+        if tables_prefix is not None:
+            there = [n for n in names if spark.catalog.tableExists(f"{tables_prefix}{n}")]
+        if there:
+            raise FileExistsError(f"already published: {there}")
 
     def store(
         df: DataFrame, name: str, comments: dict[str, str], partition_by: tuple[str, ...] = ()
     ) -> DataFrame:
-        path, df = f"{output}/{name}", described(df, comments)
+        path, df = f"{folder}/{name}", described(df, comments)
         if tables_prefix is None:
-            files.write_parquet(df, path, mode, partition_by=partition_by)
+            files.write_parquet(df, path, partition_by=partition_by)
         else:
-            table = f"{tables_prefix}{name}"
-            writer = df.write.mode(mode).partitionBy(*partition_by).option("path", path)
-            writer.saveAsTable(table)
+            table = f"{tables_prefix}{name}__{run}"
+            df.write.partitionBy(*partition_by).option("path", path).saveAsTable(table)
             tables.comment_on(spark, table, TABLES[name])
         return spark.read.schema(df.schema).parquet(path)
 
@@ -175,12 +216,28 @@ def build_marts(
         marts.fact_trips(staged, zones), "fact_trips", TRIP_COLUMNS, ("service_type",)
     )
     monthly = store(marts.monthly_zone_revenue(fact), "monthly_zone_revenue", MONTHLY_COLUMNS)
-    report = quality_report(staged, service_checks(zones)).unionByName(
-        quality_report(monthly, mart_checks())
-    )
-    # A row per check, stored once: to judge it and to show it are two reads.
-    files.write_parquet(report, f"{output}/quality_report", mode, files=1)
-    return Marts(zones, fact, monthly, enforce(spark.read.parquet(f"{output}/quality_report")))
+    try:
+        report = _audited(
+            quality_report(staged, service_checks(zones)).unionByName(
+                quality_report(monthly, mart_checks())
+            ),
+            folder,
+        )
+    except QualityError:
+        if tables_prefix is not None:
+            for name in names:
+                tables.drop_table(spark, f"{tables_prefix}{name}__{run}")
+        raise
+    if tables_prefix is not None:
+        for name in names:
+            publish.publish_table(spark, f"{tables_prefix}{name}__{run}", f"{tables_prefix}{name}")
+        return Marts(zones, fact, monthly, report)
+    stored = {}
+    for name, df in zip((*names, "quality_report"), (zones, fact, monthly, report), strict=True):
+        publish.replace_folder(spark, f"{folder}/{name}", f"{output}/{name}")
+        stored[name] = spark.read.schema(df.schema).parquet(f"{output}/{name}")
+    publish.remove_folder(spark, folder)
+    return Marts(*stored.values())
 
 
 def build_marts_from_files(
@@ -194,7 +251,7 @@ def build_marts_from_files(
 ) -> Marts:
     """The same from raw files, named as the sources of the staging models.
 
-    Staging is stored once; checks and fact read it.
+    Staging is stored once, in the folder of the run; checks and fact read it.
     """
     sources = files.SourceRegistry()
     sources.register("staging", "green", lambda: files.read_parquet(spark, *input_green))
@@ -202,10 +259,46 @@ def build_marts_from_files(
     staged = stage_services(
         sources.source("staging", "green"), sources.source("staging", "yellow")
     )
-    files.write_parquet(staged, f"{output}/staged", mode, partition_by=["service_type"])
+    run = publish.new_run()
+    path = f"{publish.run_folder(output, run)}/staged"
+    files.write_parquet(staged, path, partition_by=["service_type"])
     lookup = files.read_csv(spark, zone_csv, schema=ZONE_SCHEMA)
-    staged = spark.read.parquet(f"{output}/staged")
-    return build_marts(staged, lookup, output, mode, tables_prefix)
+    return build_marts(spark.read.parquet(path), lookup, output, mode, tables_prefix, run)
+
+
+def create_daily_marts(fact: DataFrame, table: str, path: str | None = None) -> tables.DatedTable:
+    """Daily parts of the monthly mart as a dated table, see ``update_daily_marts``."""
+    parts = revenue_parts_by_day(fact, "pickup_zone")
+    return tables.create_dated_table(parts, table, "revenue_day", path=path, grain="month")
+
+
+def update_daily_marts(fact: DataFrame, table: tables.DatedTable) -> None:
+    """Recompute the days that ``fact`` holds whole, and only their months' files.
+
+    Other days of a touched month are taken from the table as they are; the
+    months come from the batch, and folders of others are neither read nor
+    written.
+    """
+    spark = fact.sparkSession
+    with scratch_dir(spark, "daily-parts") as fresh, scratch_dir(spark, "months") as merged:
+        revenue_parts_by_day(fact, "pickup_zone").write.parquet(fresh)
+        new = spark.read.parquet(fresh)
+        days = new.select("revenue_day").distinct()
+        months = [r[0] for r in days.select(F.trunc("revenue_day", "month")).distinct().collect()]
+        touched = F.col(table.date).isin([m for m in months if m is not None])
+        if None in months:
+            touched |= F.col(table.date).isNull()
+        old = spark.table(table.name).filter(touched).drop(table.date)
+        same = old.revenue_day.eqNullSafe(days.revenue_day)
+        kept = old.join(F.broadcast(days), same, "left_anti")
+        # The table cannot be read while its files are replaced.
+        kept.unionByName(new).write.parquet(merged)
+        table.replace_dates(spark.read.parquet(merged))
+
+
+def monthly_mart_of_days(table: tables.DatedTable, spark: SparkSession) -> DataFrame:
+    """The monthly mart, merged from its daily parts."""
+    return revenue_by_month_of_parts(table.read(spark), TRIP_TYPES)
 
 
 @dataclass(frozen=True)
@@ -251,6 +344,24 @@ def explained_tips(run: TipModelRun, output: str, mode: str = "overwrite") -> No
         files.write_parquet(report, f"{output}/{name}", mode)
 
 
+def score_messages_stream(
+    source: DataFrame,
+    model: regression.TrainedModel,
+    schema: T.StructType,
+    output: str,
+    checkpoint: str,
+    once: bool = True,
+):
+    """Score a stream of JSON feature rows with a stored model; malformed ones apart.
+
+    Every message leaves one row, scored or with its text in ``malformed``, in
+    a sink that commits per batch: a restart neither loses nor repeats one. The
+    weights of the categories are a static table that each batch meets by a join.
+    """
+    scored = score_messages(source, model, schema)
+    return messages.store_messages(scored, output, checkpoint, once)
+
+
 def produce(rows: DataFrame, output: str, mode: str = "append") -> None:
     """Each row as one JSON message in text files, which ``read_text_files`` streams."""
     messages.encode_messages(rows).write.mode(mode).text(output)

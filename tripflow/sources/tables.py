@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.functions import cast_columns
+from tripflow.sources.publish import folder_exists
+
+# Row counts lie in the table's folder, under a name that readers of tables skip.
+_COUNTS = "_partition_rows"
+_COUNTS_SCHEMA = "partition_id date, total_rows long, written long"
 
 
 def create_external(
@@ -108,6 +114,7 @@ class DatedTable:
     ts: str
     date: str = "partition_date"
     grain: str = "day"
+    cluster_by: tuple[str, ...] = ()
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.table(self.name).drop(self.date)
@@ -127,13 +134,85 @@ class DatedTable:
         )
 
     def partition_counts(self, spark: SparkSession) -> DataFrame:
-        """Rows per partition; no data column is read."""
-        return (
-            spark.table(self.name)
-            .groupBy(F.col(self.date).alias("partition_id"))
-            .agg(F.count("*").alias("total_rows"))
+        """Rows per partition: table_name, partition_id, total_rows.
+
+        Every write leaves the counts of the partitions it made beside the
+        table, and the latest of each counts: no data file is opened, however
+        many there are. A table that others wrote is counted from its footers.
+        """
+        log = f"{location(spark, self.name)}/{_COUNTS}"
+        if folder_exists(spark, log):
+            latest = F.max_by("total_rows", "written")
+            counts = spark.read.schema(_COUNTS_SCHEMA).parquet(log)
+            counts = counts.groupBy("partition_id").agg(latest.alias("total_rows"))
+        else:
+            counts = self._counted(spark.table(self.name))
+        return counts.select(F.lit(self.name).alias("table_name"), "partition_id", "total_rows")
+
+    def _counted(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.col(self.date).alias("partition_id")).agg(
+            F.count("*").alias("total_rows")
         )
 
+    def _record(self, spark: SparkSession, dates: list[dt.date | None] | None = None) -> None:
+        """Note the rows of the partitions just written; only their footers are read."""
+        rows = spark.table(self.name)
+        if dates is not None:
+            named = F.col(self.date).isin([d for d in dates if d is not None])
+            rows = rows.filter(named | F.col(self.date).isNull() if None in dates else named)
+        noted = self._counted(rows).withColumn("written", F.lit(time.time_ns()))
+        log = f"{location(spark, self.name)}/{_COUNTS}"
+        noted.coalesce(1).write.mode("append").parquet(log)
+
+    def _dated(self, df: DataFrame) -> DataFrame:
+        day = F.to_date(self.ts)
+        return df.withColumn(self.date, day if self.grain == "day" else F.trunc(day, "month"))
+
+    def replace_dates(self, df: DataFrame) -> list[dt.date | None]:
+        """Load the dates that ``df`` holds, each in place of what the table has of it.
+
+        A batch holds whole dates (months with ``grain="month"``); other dates
+        stay as they are, so a load may be repeated, and batches may overlap.
+        Returns the dates. ``df`` is read twice, once for its timestamps alone,
+        so it should be a stored or external table.
+        """
+        spark = df.sparkSession
+        # Columns go by place into a table: its own order, the date last.
+        rows = self._dated(df).select(*spark.table(self.name).columns)
+        touched = [r[0] for r in rows.select(self.date).distinct().collect()]
+        if not touched:
+            return []
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            rows = _laid_out(rows, self.date, self.cluster_by, self.ts)
+            rows.write.mode("overwrite").insertInto(self.name)
+        finally:
+            spark.conf.set(key, before)
+        self._record(spark, touched)
+        return touched
+
+
+def location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.filter("col_name = 'Location'").first().data_type.rstrip("/")
+
+
+def _laid_out(df: DataFrame, date: str, cluster_by: tuple[str, ...], ts: str) -> DataFrame:
+    """Rows in the files they are to be written to.
+
+    Without cluster columns the rebalance hint groups a date's rows to keep the
+    file count low, and lets AQE split a date that is too big for one task.
+    With them rows are cut into ranges of date and cluster columns, so that the
+    files of one date hold ranges of their own and readers skip whole files;
+    the timestamp comes last, so that one busy date and key can be cut, too.
+    Sorting inside a task gives the row groups of a file narrow ranges.
+    """
+    if cluster_by:
+        return df.repartitionByRange(date, *cluster_by, ts).sortWithinPartitions(date, *cluster_by)
+    return df.hint("rebalance", date).sortWithinPartitions(date)
+
 
 def create_dated_table(
     df: DataFrame,
@@ -145,27 +224,18 @@ def create_dated_table(
     grain: str = "day",
     **options: str,
 ) -> DatedTable:
-    """Write a table partitioned by date and optionally sorted inside.
-
-    The rebalance hint groups a date's rows to keep the file count low, and
-    lets AQE split a date that is too big for one task, so a hot day does not
-    become one straggler. Sorting inside each task gives the row groups narrow
-    ranges of the cluster columns, which readers skip by. ``grain="month"``
-    suits tables whose days would be tiny files. Further options go to the file
-    writer, e.g. page or row-group sizes.
+    """Write a table partitioned by date, optionally in ranges of the cluster columns.
+
+    ``grain="month"`` suits tables whose days would be tiny files. Further
+    options go to the file writer, e.g. page or row-group sizes.
     """
     if grain not in ("day", "month"):
         raise ValueError(f"unknown grain {grain!r}")
-    day = F.to_date(ts)
-    dated = df.withColumn(date, day if grain == "day" else F.trunc(day, "month"))
-    writer = (
-        dated.hint("rebalance", date)
-        .sortWithinPartitions(date, *cluster_by)
-        .write.mode("overwrite")
-        .options(**options)
-        .partitionBy(date)
-    )
+    table = DatedTable(name, ts, date, grain, cluster_by)
+    rows = _laid_out(table._dated(df), date, cluster_by, ts)
+    writer = rows.write.mode("overwrite").options(**options).partitionBy(date)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
-    return DatedTable(name, ts, date, grain)
+    table._record(df.sparkSession)
+    return table

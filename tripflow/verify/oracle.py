@@ -308,6 +308,7 @@ _STAGED_COLUMNS = ["tripid", "service_type", *TRIP_TYPES, "payment_type_descript
 ORACLE: dict[str, str] = {
     "monthly_zone_revenue": MONTHLY_BY_NAME,
     "marts_job": MONTHLY_BY_NAME,
+    "monthly_mart_from_days": MONTHLY_BY_NAME,
     "staging_green": _staged_service("Green"),
     "staging_yellow": _staged_service("Yellow"),
     "trip_keys": f"WITH {RAW} SELECT vendorid, pickup_datetime, {_KEY} AS tripid FROM raw",
@@ -365,8 +366,11 @@ SELECT DISTINCT l_suppkey AS vendorid FROM lineitem WHERE {_dates(MONTH)}""",
     "vendor_trip_count_in_range": f"""
 SELECT count(*) AS trips FROM lineitem WHERE {_dates(NINETEEN_MONTHS)} AND l_suppkey = {VENDOR}""",
     "partition_row_counts": """
-SELECT strftime(ts, '%Y-%m-%d') AS partition_id, count(*) AS total_rows
+SELECT 'events_dated' AS table_name, strftime(ts, '%Y-%m-%d') AS partition_id,
+  count(*) AS total_rows
 FROM events GROUP BY ALL""",
+    "reloaded_dates": """
+SELECT *, count(*) OVER (PARTITION BY CAST(ts AS DATE)) AS total_rows FROM events""",
     "external_to_dated_job": "SELECT * FROM events",
     "external_csv_view": f"""WITH {ZONES}
 SELECT * FROM zones UNION ALL SELECT * FROM zones""",
@@ -418,6 +422,10 @@ SELECT count(*) AS "rows", round(avg(abs(err)), 4) AS mean_absolute_error,
 FROM e""",
     "tip_prediction_by_zone": _BY_ZONE,
     "json_scored_by_zone": _BY_ZONE,
+    "stream_scored_by_zone": f"""SELECT pulocationid, true AS scored, trips AS messages,
+  predicted_tip_amount
+FROM ({_BY_ZONE})
+UNION ALL SELECT NULL, false, count(*), NULL FROM events""",
     "tip_attribution_by_zone": f"""WITH {RAW}, {FEATURES}, {FITTED}
 SELECT pulocationid, round(avg(slope * mean_fare + intercept), 4) AS baseline_prediction,
     round(avg(slope * (fare_amount - mean_fare)), 4) AS attribution

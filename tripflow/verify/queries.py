@@ -20,7 +20,7 @@ from tripflow.plans import jobs, marts, tip_model
 from tripflow.plans.checks import service_checks
 from tripflow.plans.staging import stage, stage_green, stage_yellow
 from tripflow.plans.tip_model import TIP_INPUT_SCHEMA, TIP_SPEC
-from tripflow.schemas import ZONE_SCHEMA
+from tripflow.schemas import REVENUE_MEASURES, TRIP_TYPES, ZONE_SCHEMA
 from tripflow.session import fresh_dir, fresh_name, pin_runtime_settings, size_shuffles
 from tripflow.sources import files, supplied, tables
 from tripflow.streaming import messages
@@ -34,6 +34,10 @@ VENDOR = 1
 SINCE = "2024-01-05 00:00:00"
 PREVIEW_ROWS = 100
 DRIFT_FROM = "1998-06-01 00:00:00"
+# Trips of one day are loaded anew, those of later months added.
+REPLACED, ADDED_FROM = ("1997-03-05 00:00:00", "1997-03-06 00:00:00"), "1998-06-01 00:00:00"
+# Two batches of events share what lies between.
+RELOADED = ("2024-01-08 00:00:00", "2024-01-20 00:00:00")
 
 ROW_KEY = {"vendorid": T.LongType(), "pickup_datetime": T.TimestampNTZType()}
 FARE_SPEC = regression.Spec("tip_amount", ("fare_amount",))
@@ -56,6 +60,10 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def _time(text: str):
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def _staged(spark: SparkSession, d: str) -> DataFrame:
     return stage(supplied.all_trips(spark, d))
 
@@ -115,6 +123,21 @@ def monthly_zone_revenue(spark, d):
     return marts.monthly_zone_revenue(_fact(spark, d))
 
 
+def monthly_mart_from_days(spark, d):
+    """The monthly mart of daily parts: days loaded, one replaced, the later ones added."""
+    root = fresh_dir(spark, "daily")
+    fact = _stored(_fact(spark, d), "fact")
+    pickup, added = F.col("pickup_datetime"), _time(ADDED_FROM)
+    one = (pickup >= _time(REPLACED[0])) & (pickup < _time(REPLACED[1]))
+    # The day to be replaced first comes with every amount doubled.
+    amounts = {m: F.when(one, F.col(m) * 2).otherwise(F.col(m)).cast(TRIP_TYPES[m]) for m in REVENUE_MEASURES}
+    early = fact.filter((pickup < added) | pickup.isNull()).withColumns(amounts)
+    days = jobs.create_daily_marts(early, fresh_name("daily"), f"{root}/daily")
+    jobs.update_daily_marts(fact.filter(one), days)
+    jobs.update_daily_marts(fact.filter(pickup >= added), days)
+    return jobs.monthly_mart_of_days(days, spark)
+
+
 def monthly_revenue_by_zone_id(spark, d):
     return marts.monthly_revenue_by_zone_id(supplied.all_trips(spark, d))
 
@@ -238,7 +261,25 @@ def vendor_trip_count_in_range(spark, d):
 
 def partition_row_counts(spark, d):
     counts = _events_by_day(spark, d).partition_counts(spark)
-    return counts.orderBy(F.desc("total_rows"), "partition_id")
+    # Tables of a run have names of their own; what is before the last part is ours.
+    named = F.regexp_replace("table_name", "_[0-9a-f]+$", "")
+    return counts.withColumn("table_name", named).orderBy(F.desc("total_rows"), "partition_id")
+
+
+def reloaded_dates(spark, d):
+    """All events in two batches that share dates, both loaded twice: each date once."""
+    events, root = supplied.table(spark, d, "events"), fresh_dir(spark, "batches")
+    first, second = (F.col("ts") < _time(t) for t in RELOADED)
+    files.write_parquet(events.filter(second | F.col("ts").isNull()), f"{root}/early")
+    files.write_parquet(events.filter(~first), f"{root}/late")
+    table = tables.create_dated_table(
+        events.limit(0), fresh_name("events_reloaded"), "ts", ("user_id",), f"{root}/table"
+    )
+    for batch in ("early", "late", "early", "late"):
+        jobs.reload_dates(spark, f"{root}/{batch}", table)
+    counts = table.partition_counts(spark).withColumnRenamed("partition_id", "day")
+    rows = table.read(spark).withColumn("day", F.to_date("ts"))
+    return rows.join(counts.drop("table_name"), rows.day.eqNullSafe(counts.day), "left").drop("day")
 
 
 def external_to_dated_job(spark, d):
@@ -453,6 +494,32 @@ def tip_full_tuning(spark, d):
     return regression.tune(train, held_out, TIP_SPEC)[1]
 
 
+def stream_scored_by_zone(spark, d):
+    """Feature rows and other messages as one stream in batches, scored or set apart.
+
+    The other messages are the events' own, which lack the inputs.
+    """
+    run = jobs.tip_model(supplied.all_trips(spark, d), ROW_KEY, FARE_SPEC)
+    root, inputs = fresh_dir(spark, "scored"), run.features.select(*TIP_INPUT_SCHEMA.names)
+    run.model.save(f"{root}/model")
+    jobs.produce(inputs, f"{root}/sent")
+    other = supplied.table(spark, d, "events").select(F.coalesce("props", F.lit("")).alias("value"))
+    other.write.mode("append").text(f"{root}/sent")
+    jobs.score_messages_stream(
+        messages.read_text_files(spark, f"{root}/sent", files_at_once=2),
+        regression.load(spark, f"{root}/model"),
+        TIP_INPUT_SCHEMA,
+        f"{root}/out",
+        f"{root}/checkpoint",
+    ).awaitTermination()
+    rows = messages.read_stored(spark, f"{root}/out")
+    good = F.col("malformed").isNull()
+    return rows.groupBy("pulocationid", good.alias("scored")).agg(
+        F.count("*").alias("messages"),
+        F.round(F.avg("predicted_tip_amount"), 4).alias("predicted_tip_amount"),
+    )
+
+
 def batch_scored_trips(spark, d):
     trips = supplied.all_trips(spark, d).select(
         "vendorid", "pickup_datetime", "pulocationid", "dolocationid", "trip_distance"
@@ -590,6 +657,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         monthly_zone_revenue,
+        monthly_mart_from_days,
         staging_green,
         staging_yellow,
         trip_keys,
@@ -613,6 +681,7 @@ QUERIES: dict[str, Query] = {
         distinct_vendors_in_range,
         vendor_trip_count_in_range,
         partition_row_counts,
+        reloaded_dates,
         external_to_dated_job,
         external_csv_view,
         typed_feature_table,
@@ -631,6 +700,7 @@ QUERIES: dict[str, Query] = {
         tip_prediction_by_zone,
         tip_attribution_by_zone,
         json_scored_by_zone,
+        stream_scored_by_zone,
         tip_predictions,
         tip_explained,
         tip_tuning,
@@ -659,7 +729,7 @@ READS = {
         (
             "hourly_revenue_green", "hourly_outer_merge", "hourly_service_columns",
             "hourly_green_yellow_merge", "hourly_merge_job", "trip_date_and_hours",
-            "partition_row_counts", "external_to_dated_job", "json_roundtrip",
+            "partition_row_counts", "reloaded_dates", "external_to_dated_job", "json_roundtrip",
             "stream_json_events", "stream_resumed", "stream_by_batch", "produced_messages",
         ),
         ("events",),
