@@ -41,6 +41,31 @@ def test_glob_and_column_pruned_scan(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint>" in text and "EqualTo(id,1)" in text
 
 
+def test_drifting_files_of_a_scheme_that_only_spark_opens(spark, tmp_path):
+    """Types change twice along the names; some files lack a column. Few looks, not one per file."""
+    frames = ["cast(id AS bigint) AS n", "cast(id AS double) AS n, 'x' AS c", "id AS n, 'y' AS c"]
+    for i in range(24):
+        one = spark.range(i, i + 1).selectExpr(*frames[i // 10].split(", "))
+        one.coalesce(1).write.parquet(f"{tmp_path}/in/m{i:02d}.parquet")
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.drift.link./in", f"file://{tmp_path}/in")
+    types = {"n": T.IntegerType(), "c": T.StringType()}
+    looks, merge = [], files._mergeable_runs
+
+    def watched(session, paths):
+        looks.append(len(paths))
+        return merge(session, paths)
+
+    files._mergeable_runs = watched
+    try:
+        out = files.read_drifting_parquet(spark, ["viewfs://drift/in"], types)
+        found = sorted((r.n, r.c) for r in out.collect())
+    finally:
+        files._mergeable_runs = merge
+    assert found == [(i, [None, "x", "y"][i // 10]) for i in range(24)]
+    assert sum(looks[:1]) == 24 and len(looks) < 20
+    assert rows(out) == rows(files.read_drifting_parquet(spark, [f"{tmp_path}/in"], types))
+
+
 def test_drifting_months_share_one_scan_per_schema(spark, tmp_path):
     paths = files.month_paths(str(tmp_path), "green", [2020], range(1, 5))
     one = spark.createDataFrame([(1, "a")], "Passengers long, flag string")

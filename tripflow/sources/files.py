@@ -7,7 +7,9 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
 from pyarrow.fs import FileSystem
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,21 +59,52 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def schema_groups(spark: SparkSession, paths: Iterable[str]) -> list[list[str]]:
+def schema_groups(
+    spark: SparkSession, paths: Iterable[str]
+) -> list[tuple[bool, list[str]]]:
     """Files under the paths, grouped by the schema in their footers.
 
+    With each group comes whether its files may lack columns of one another.
+
     One job looks at all files: Spark lists them, and tasks read the footers
     of those they are dealt. What reaches the driver are names and schemas, as
-    with any listing. Files that only Spark can open are asked for one by one.
+    with any listing. Files that only Spark can open are left to its own merge
+    of footers, see ``_mergeable_runs``.
     """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
     files = listed.option("recursiveFileLookup", True).load(list(paths)).select("path")
-    found = files.mapInArrow(_footers, "path string, schema string")
+    found = files.mapInArrow(_footers, "path string, schema string").orderBy("path")
     groups: dict[str, list[str]] = {}
-    for row in found.orderBy("path").collect():
-        schema = row.schema or spark.read.parquet(row.path).schema.simpleString().lower()
-        groups.setdefault(schema, []).append(row.path)
-    return list(groups.values())
+    unknown = []
+    for row in found.toLocalIterator():
+        if row.schema is None:
+            unknown.append(row.path)
+        else:
+            groups.setdefault(row.schema, []).append(row.path)
+    for schema, run in _mergeable_runs(spark, unknown):
+        groups.setdefault(schema, []).extend(run)
+    return [(schema.startswith("merged "), files) for schema, files in groups.items()]
+
+
+def _mergeable_runs(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[str]]]:
+    """Files in the order of their names, cut where types change: a schema and its files.
+
+    Spark merges the footers of many files in one distributed job, on any file
+    system it knows, and refuses if a column has two types. Files it merges are
+    a group, whatever columns some of them lack; others are halved. A type that
+    changes k times along the names takes about k log n such jobs, not n.
+    """
+    if not paths:
+        return []
+    try:
+        merged = spark.read.option("mergeSchema", True).parquet(*paths).schema
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error) or len(paths) == 1:
+            raise
+        half = len(paths) // 2
+        return _mergeable_runs(spark, paths[:half]) + _mergeable_runs(spark, paths[half:])
+    fields = sorted(f"{f.name.lower()} {f.dataType.simpleString()}" for f in merged)
+    return [("merged " + ";".join(fields), paths)]
 
 
 def read_drifting_parquet(
@@ -93,8 +126,9 @@ def read_drifting_parquet(
     if not groups:
         raise ValueError("no files to read")
 
-    def typed(group: list[str]) -> DataFrame:
-        frame = spark.read.parquet(*group)
+    def typed(found: tuple[bool, list[str]]) -> DataFrame:
+        merge, group = found
+        frame = spark.read.option("mergeSchema", merge).parquet(*group)
         present = {c.lower() for c in frame.columns}
         here = {n: t for n, t in types.items() if n.lower() in present}
         absent = {n: F.lit(None).cast(t) for n, t in types.items() if n not in here}
