@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripflow.session import fresh_dir
+from tripflow.session import fresh_dir, pin_runtime_settings, size_shuffles
 
 # Whitespace of the text contracts: space and the controls from tab to return.
 WHITE = r"[\x20\x09-\x0D]"
@@ -26,6 +26,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized_for(df: DataFrame) -> DataFrame:
+    """Size the shuffles that follow by the files of a stored table, and return it.
+
+    The sizes come with the listing: no column is read.
+    """
+    spark = df.sparkSession
+    pin_runtime_settings(spark)
+    found = df.metadataColumn("_metadata")
+    files = df.select(found["file_path"].alias("path"), found["file_size"].alias("size")).distinct()
+    size_shuffles(spark, files.agg(F.sum("size")).first()[0] or 0)
+    return df
+
+
 def with_row(df: DataFrame, name: str = "row") -> DataFrame:
     """Add an id per row, also where the table's own id is null or repeated.
 

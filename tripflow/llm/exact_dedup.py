@@ -119,7 +119,7 @@ def name_documents(
         depth += 1
         level = _next_level(level.filter("left > 1"), depth)
     identity = reduce(DataFrame.unionByName, done)
-    return cut.drop("pieces").join(identity, "row")
+    return stored(cut.drop("pieces").join(identity, "row"), "documents-named")
 
 
 def _next_level(level: DataFrame, depth: int) -> DataFrame:
@@ -170,6 +170,8 @@ def exact_dedup(
     groups = named.groupBy("level", "name").agg(
         F.count(F.lit(1)).alias("group_size"), F.min(order).alias("best")
     )
+    # Stored first, so that the join has two plain sides and a large group can be split.
+    groups = stored(groups, "text-groups")
     return named.join(groups, ["level", "name"]).select(
         "row",
         "doc_id",

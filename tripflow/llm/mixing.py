@@ -85,7 +85,7 @@ def shard_counts(sources: DataFrame, shard_blocks: int, seed: int) -> DataFrame:
     wanted = sources.agg(F.sum("wanted")).first()[0] or 0.0
     slots = round(wanted)
     if not slots:
-        return sources.select("place", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("count"))
+        return sources.select("place", *(F.lit(0).cast("long").alias(c) for c in ("shard", "count")))
     shards = -(-slots // shard_blocks)
     room = -(-slots // shards)
     exact = F.col("wanted") * F.lit(room / wanted)
@@ -98,12 +98,12 @@ def shard_counts(sources: DataFrame, shard_blocks: int, seed: int) -> DataFrame:
     sure, fractions = parts.agg(F.sum("whole"), F.sum("part")).first()
     left = room - sure
 
-    numbers = sources.sparkSession.range(shards).withColumnRenamed("id", "shard")
-    grid = parts.select(
-        "place", F.col("whole"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    )
+    # Every row of ``sure`` stands for a slot at least: no more rows than slots.
+    shard = F.explode(F.expr(f"sequence(0L, {shards - 1}L)")).alias("shard")
+    sure = parts.filter("whole > 0").select("place", shard, F.col("whole").alias("count"))
     if left <= 0 or not fractions:
-        return grid.select("place", "shard", F.col("whole").alias("count"))
+        return sure
+    numbers = sources.sparkSession.range(shards).withColumnRenamed("id", "shard")
     draws = numbers.select(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(left - 1))).alias("draw")
     ).select("shard", _uniform(fractions, F.lit(seed), "shard", "draw").alias("at"))
@@ -112,10 +112,8 @@ def shard_counts(sources: DataFrame, shard_blocks: int, seed: int) -> DataFrame:
     cells = parts.filter("part > 0").select("place", "low", "part", F.explode(cell).alias("cell"))
     hits = draws.withColumn("cell", F.expr(f"at div {_ONE}")).join(cells, "cell")
     hits = hits.filter("at >= low AND at < low + part")
-    extra = hits.groupBy("place", "shard").agg(F.count(F.lit(1)).alias("extra"))
-    return grid.join(extra, ["place", "shard"], "left").select(
-        "place", "shard", (F.col("whole") + F.coalesce("extra", F.lit(0))).alias("count")
-    )
+    drawn = hits.select("place", "shard", F.lit(1).cast("long").alias("count"))
+    return sure.union(drawn).groupBy("place", "shard").agg(F.sum("count").alias("count"))
 
 
 class Mix:
@@ -189,7 +187,9 @@ class Mix:
         counts = shard_counts(sources, shard_blocks, seed)
         before = W.partitionBy("place").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
         counts = counts.withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0)))
-        numbered = counts.filter("count > 0").select(
+        # The window leaves a source in one task: its slots are made by shard, in many.
+        counts = stored(counts.filter("count > 0"), "mix-counts").repartition("place", "shard")
+        numbered = counts.select(
             "place", "shard", F.explode(F.expr("sequence(first, first + count - 1)")).alias("number")
         )
         by_place = self.sources.select("place", "blocks", "words_before")

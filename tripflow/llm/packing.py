@@ -37,7 +37,7 @@ class Capacities:
     tokens: int = 4096
     documents: int = 4096
     attention: int = 4096 * 4096
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0)
+    weights: tuple[float, float, float] = (1.0, 1.0, 1.0)
     rule: str = "norm"  # or "dot"
 
 

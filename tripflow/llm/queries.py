@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.align_tokens import align_tokenizers
-from tripflow.llm.common import read_table
+from tripflow.llm.common import read_table, sized_for, stored
 from tripflow.llm.decontaminate import find_overlaps, hit_words
 from tripflow.llm.exact_dedup import exact_dedup
 from tripflow.llm.language import identify
@@ -27,27 +27,32 @@ from tripflow.session import fresh_dir
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _sized(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A table, with the shuffles of the query sized for it."""
+    return sized_for(read_table(spark, d, name))
+
+
 def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Every document with the one that stands for its text."""
-    return exact_dedup(read_table(spark, d, "documents")).drop("row")
+    return exact_dedup(_sized(spark, d, "documents")).drop("row")
 
 
 def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Every document with the lines that an earlier line resembles."""
-    report = line_report(read_table(spark, d, "documents")).drop("row")
+    report = line_report(_sized(spark, d, "documents")).drop("row")
     return report.withColumn("removed_lines", F.array_join("removed_lines", ","))
 
 
 def op3_language(spark: SparkSession, d: str) -> DataFrame:
     """Predicted language of every document."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return identify(read_table(spark, d, "documents"), path)
+    return identify(_sized(spark, d, "documents"), path)
 
 
 def op4_quality(spark: SparkSession, d: str) -> DataFrame:
     """Quality of every document; sources are hosts, their languages paths."""
     scored = score_quality(
-        read_table(spark, d, "documents"),
+        _sized(spark, d, "documents"),
         read_table(spark, d, "labels"),
         host=F.col("source"),
         path=F.col("lang"),
@@ -57,12 +62,12 @@ def op4_quality(spark: SparkSession, d: str) -> DataFrame:
 
 def op5_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Components of near-duplicates of all documents."""
-    return near_duplicates(read_table(spark, d, "documents")).drop("row")
+    return near_duplicates(_sized(spark, d, "documents")).drop("row")
 
 
 def op6_sharding(spark: SparkSession, d: str) -> DataFrame:
     """Every document in one of eight shards."""
-    placed = shard_rows(read_table(spark, d, "documents"), shards=8)
+    placed = shard_rows(_sized(spark, d, "documents"), shards=8)
     return placed.select(
         "doc_id",
         "size",
@@ -76,30 +81,32 @@ def op6_sharding(spark: SparkSession, d: str) -> DataFrame:
 
 def op7_top_k(spark: SparkSession, d: str) -> DataFrame:
     """Ten best vectors for every hundredth vector."""
-    return top_k(read_table(spark, d, "embeddings"), k=10, every=100)
+    return top_k(_sized(spark, d, "embeddings"), k=10, every=100)
 
 
 def op8_mixing(spark: SparkSession, d: str) -> DataFrame:
     """How many words of every document a mix of all sources takes."""
-    return mix(read_table(spark, d, "documents")).drop("row")
+    return mix(_sized(spark, d, "documents")).drop("row")
 
 
 def op9_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     """Every document, cut and packed in sequences of 4096 tokens.
 
     Document count and attention cost of a sequence cannot exceed what 4096
-    tokens allow, so that only tokens bind: as few sequences as possible.
+    tokens allow, so that only tokens bind: as few sequences as possible. All
+    three weigh alike in the choice of a sequence.
     """
     path = public_tokenizers.path("word_bpe_49k.json")
-    return pack_documents(read_table(spark, d, "documents"), path).drop("row")
+    return pack_documents(_sized(spark, d, "documents"), path).drop("row")
 
 
 def op10_warc(spark: SparkSession, d: str) -> DataFrame:
     """Every page written to archives with revisits, read back and resolved."""
     path = fresh_dir(spark, "warc")
-    write_archives(read_table(spark, d, "pages"), path)
-    records = resolved_records(read_archives(spark, path, with_payload=False))
-    return records.drop("uri", "digest_matches")
+    write_archives(_sized(spark, d, "pages"), path)
+    # Both sides of the join read the records: parsed and hashed once.
+    records = stored(read_archives(spark, path, with_payload=False), "warc-records")
+    return resolved_records(records).drop("uri", "digest_matches")
 
 
 def op11_whitening(spark: SparkSession, d: str) -> DataFrame:
@@ -107,13 +114,13 @@ def op11_whitening(spark: SparkSession, d: str) -> DataFrame:
 
     A deviation beyond a long is null; ``deviation_exact`` holds it.
     """
-    rows = whitened_components(read_table(spark, d, "embeddings"), components=8)
+    rows = whitened_components(_sized(spark, d, "embeddings"), components=8)
     return rows.withColumn("deviation", F.expr("try_cast(deviation_exact AS BIGINT)"))
 
 
 def op12_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     """Words of every document that lie in a passage of the benchmark."""
-    found = find_overlaps(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+    found = find_overlaps(_sized(spark, d, "documents"), read_table(spark, d, "benchmark"))
     n_hit = hit_words("spans")
     return found.select(
         "doc_id",
@@ -128,7 +135,7 @@ def op12_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 def op13_align_tokens(spark: SparkSession, d: str) -> DataFrame:
     """Groups and links of two tokenizers in every document."""
     paths = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-    return align_tokenizers(read_table(spark, d, "documents"), *paths)
+    return align_tokenizers(_sized(spark, d, "documents"), *paths)
 
 
 QUERIES: dict[str, Query] = {

@@ -63,7 +63,8 @@ def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
     best = headers.groupBy("payload_key", "payload_bytes").agg(
         F.max(F.struct("page_id", "row")).alias("best")
     )
-    joined = headers.join(best, ["payload_key", "payload_bytes"])
+    # Stored first, so that the join has two plain sides and a hot payload can be split.
+    joined = headers.join(stored(best, "warc-best"), ["payload_key", "payload_bytes"])
     response = (F.col("payload_bytes") < min_bytes) | (F.col("row") == F.col("best.row"))
     return joined.select(
         *headers.columns,
