@@ -4,7 +4,8 @@ Stages take and return whole tables. Rows come with the columns of
 ``documents`` (doc_id, text, lang, source, n_chars) and leave with the same,
 except the last stage, which returns the pieces of packed sequences. Nulls in
 any column, empty and very long texts, repeated rows and empty tables pass
-through every stage as its operator defines.
+through every stage as its operator defines. Each stage sizes its shuffles by
+the files of the table it reads.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import read_table, stored
+from tripflow.llm.common import read_table, sized_for, stored
 from tripflow.llm.exact_dedup import keep_first_texts
 from tripflow.llm.language import keep_identified
 from tripflow.llm.mixing import Mix
@@ -27,17 +28,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or that no learned language claims, go."""
-    return keep_identified(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return keep_identified(sized_for(docs), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
-    return keep_first_texts(docs)
+    return keep_first_texts(sized_for(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, of similarity 0.8 or more, stays."""
-    return keep_one_of_each(docs, percent=80, band_rows=BAND_ROWS_80)
+    return keep_one_of_each(sized_for(docs), percent=80, band_rows=BAND_ROWS_80)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,13 +46,13 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document taken twice gives two rows with its id; n_chars follows the text.
     """
-    mixed = Mix(docs).texts()
+    mixed = Mix(sized_for(docs)).texts()
     return mixed.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 tokens: the rows of ``pack_documents``."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).drop("row")
+    return pack_documents(sized_for(docs), public_tokenizers.path("word_bpe_49k.json")).drop("row")
 
 
 STAGES: list[tuple[str, Stage]] = [
