@@ -2,60 +2,73 @@
 
 A line is the set of its words. Words are ordered by rarity, and a line's
 prefix are its rarest words: two lines whose sets reach a Jaccard similarity
-of 0.8 share a word of their prefixes. Lines meet on such a word if their
-lengths and the places of the word allow the overlap the threshold asks for
-(length and positional filter), and if their bit sketches do. What is left is
-confirmed on the full sets, and a line goes if an earlier one is similar.
+of 0.8 share words of their prefixes. Lines meet on such a word if their
+lengths allow the overlap the threshold asks for and if their bit sketches do.
+A pair then has to share as many prefix words as its overlap cannot do without,
+the first of them early enough (positional filter). What is left is confirmed
+on the words themselves, and a line goes if an earlier one is similar.
 
 Every step is a DataFrame operation. Any fixed order of words gives the same
-result; rarity only keeps the candidates few. Words are therefore ranked by
-how often words of their hash bucket occur in the whole corpus: the counts of
-65,536 buckets are all that reaches the driver, whatever the corpus. Lines with
-the same words are one class, which posts its prefix once.
+result; rarity only keeps the candidates few. A word's rarity is a level on a
+logarithmic scale of how often words of its hash bucket occur in the whole
+corpus: a bucket is never rarer than its words, so no common word is taken for
+a rare one, and the counts of 262,144 buckets are all that reaches the driver,
+whatever the corpus. Lines with the same words are one class, which posts its
+prefix once.
 """
 
 from __future__ import annotations
 
+from math import log2
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import WHITE, stored, with_row
+from tripflow.session import scratch_dir
 
-BUCKET_BITS = 16
-_LOW = 63 - BUCKET_BITS
+BUCKET_BITS = 18
+# A key is the level of a word's bucket, then bits of the word's hash.
+LEVELS, _HASH_BITS = 128, 56
+_STEP = LEVELS / 64  # levels to a doubling, so that any long count has one
+# Lines that are looked up again are marked in so many bits; more lines than
+# that share bits, and are then shuffled without need.
+_MARK_BITS = 22
 
 
 def _words(line: Column) -> Column:
-    """Hashes of the words of a line."""
     trimmed = F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
-    words = F.when(trimmed != "", F.split(trimmed, f"{WHITE}+")).otherwise(F.array())
-    return F.transform(words, lambda w: F.xxhash64(w))
+    return F.when(trimmed != "", F.split(trimmed, f"{WHITE}+")).otherwise(F.array())
 
 
 def _bucket(hashed: Column) -> Column:
     return F.shiftrightunsigned(hashed, 64 - BUCKET_BITS).cast("int")
 
 
-def _ranks(docs: DataFrame) -> Column:
-    """Rank of every bucket, the rarest first, as one constant array."""
-    hashes = docs.select(F.explode(_words(F.col("text"))).alias("hash"))
-    rows = hashes.groupBy(_bucket(F.col("hash")).alias("bucket")).count().collect()
-    counts = dict.fromkeys(range(1 << BUCKET_BITS), 0) | {r[0]: r[1] for r in rows}
-    ranks = [0] * (1 << BUCKET_BITS)
-    for rank, bucket in enumerate(sorted(counts, key=lambda b: (counts[b], b))):
-        ranks[bucket] = rank
-    # Already where they belong in a key, see ``_keys``.
-    return F.from_json(F.lit(str([rank << _LOW for rank in ranks])), "array<long>")
-
-
-def _keys(line: Column, ranks: Column) -> Column:
-    """The set of a line as whole numbers: rank of the bucket, then 47 bits of the hash."""
-    low = F.lit((1 << _LOW) - 1)
-    key = lambda h: F.get(ranks, _bucket(h)).bitwiseOR(h.bitwiseAND(low))
-    return F.sort_array(F.array_distinct(F.transform(_words(line), key)))
+def _levels(texts: DataFrame) -> Column:
+    """Level of every bucket by the occurrences of its words, as one constant array."""
+    words = texts.select(F.explode(F.split("text", f"{WHITE}+")).alias("word"))
+    buckets = words.filter("word <> ''").select(_bucket(F.xxhash64("word")).alias("bucket"))
+    counts = buckets.groupBy("bucket").count().toArrow()
+    levels = [0] * (1 << BUCKET_BITS)
+    pairs = zip(counts.column("bucket").to_pylist(), counts.column("count").to_pylist(), strict=True)
+    for bucket, count in pairs:
+        levels[bucket] = int(_STEP * log2(count))
+    return F.from_json(F.lit(str(levels).replace(" ", "")), "array<int>")
+
+
+def _keys(line: Column, levels: Column) -> Column:
+    """The set of a line as whole numbers, the rarest word first."""
+    low = F.lit((1 << _HASH_BITS) - 1)
+    hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
+    key = lambda h: F.shiftleft(F.get(levels, _bucket(h)).cast("long"), _HASH_BITS).bitwiseOR(
+        h.bitwiseAND(low)
+    )
+    return F.sort_array(F.array_distinct(F.transform(hashes, key)))
 
 
-def _ceil_share(n: str, percent: int) -> str:
+def _least_share(n: str, percent: int) -> str:
+    """The overlap a set of n words needs with any that is similar."""
     return f"(({n} * {percent} + 99) div 100)"
 
 
@@ -64,6 +77,21 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return with_row(docs.select(F.col(id_col).alias("doc_id"), text.alias("text")))
 
 
+def _marks(places: DataFrame) -> Column:
+    """Whether (row, line_no) may be one of ``places``: a constant map of bits."""
+    bit = F.pmod(F.xxhash64("row", "line_no"), F.lit(1 << _MARK_BITS))
+    cells = places.select(bit.alias("bit")).selectExpr(
+        "cast(bit div 64 AS int) AS cell", "shiftleft(1L, cast(bit % 64 AS int)) AS mark"
+    )
+    found = cells.groupBy("cell").agg(F.bit_or("mark").alias("marks")).toArrow()
+    marks = [0] * (1 << (_MARK_BITS - 6))
+    for cell, value in zip(*(found.column(c).to_pylist() for c in ("cell", "marks")), strict=True):
+        marks[cell] = value
+    table = F.from_json(F.lit(str(marks).replace(" ", "")), "array<long>")
+    cell = F.get(table, F.floor(bit / 64).cast("int"))
+    return F.getbit(cell, (bit % 64).cast("int")) == 1
+
+
 def similar_lines(
     docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -75,115 +103,110 @@ def similar_lines(
     ``percent`` in their sets of words. ``links`` counts the other word sets
     that are that similar. A line without words is never removed. A null text
     is one empty line. ``docs`` must read a stored table; extra columns are
-    ignored; an empty table gives an empty result.
+    ignored; an empty table gives an empty result; texts are read as a whole,
+    however long, and rows that repeat are lines of their own.
+
+    Words of a line count as one if 56 bits of their hash and their level
+    agree, and two sets as one class if 128 bits of theirs do; pairs of classes
+    are confirmed on the words.
     """
+    spark = docs.sparkSession
     texts = _lines(docs, id_col, text_col)
-    ranks = _ranks(texts)
+    levels = _levels(texts)
     each = texts.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    keyed = each.select("row", "doc_id", "line_no", _keys(F.col("line"), ranks).alias("keys"))
-    n = F.size("keys")
+    keyed = each.select("row", "doc_id", "line_no", _keys(F.col("line"), levels).alias("keys"))
     bits = F.expr("aggregate(keys, 0L, (acc, k) -> acc | shiftleft(1L, cast(k % 64 as int)))")
     prefix = F.expr(
-        f"transform(slice(keys, 1, cast(n - {_ceil_share('n', percent)} + 1 as int)),"
+        f"transform(slice(keys, 1, n - cast({_least_share('n', percent)} AS int) + 1),"
         " k -> cast(k % 2147483647 as int))"
     )
-    lines = stored(
-        keyed.withColumn("n", n).select(
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
+    narrow = ["row", "doc_id", "line_no", "n", "class", "class2"]
+    with scratch_dir(spark, "line-keys") as keys, scratch_dir(spark, "line-postings") as posted:
+        keyed.withColumn("n", F.size("keys")).select(
             "row", "doc_id", "line_no", "n",
             F.xxhash64("keys").alias("class"),
             F.xxhash64(F.lit(1), "keys").alias("class2"),
             F.when(F.col("n") > 0, bits).alias("bits"),
             F.when(F.col("n") > 0, prefix).alias("prefix"),
-        ),
-        "lines",
-    )
-
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
-    classes = stored(
-        lines.filter("n > 0").groupBy("class", "class2", "n", "bits", "prefix").agg(F.min(order).alias("first")),
-        "line-classes",
+        ).write.parquet(keys)
+        wide = spark.read.parquet(keys)
+        wide.filter("n > 0").groupBy("class", "class2", "n", "bits", "prefix").agg(
+            F.min(order).alias("first"), F.count(F.lit(1)).alias("lines")
+        ).withColumn("id", F.monotonically_increasing_id()).write.parquet(posted)
+        lines = stored(wide.select(*narrow), "lines")
+        classes = spark.read.parquet(posted)
+        pairs = stored(_candidates(classes, percent), "line-pairs")
+        classes = stored(classes.select("id", "class", "class2", "first", "lines"), "line-classes")
+
+    found = classes.join(stored(_links(texts, classes, pairs, percent), "line-links"), "id", "left")
+    # What is neither repeated nor linked keeps the values of no match.
+    found = found.filter("lines > 1 OR links IS NOT NULL").select(
+        "class", "class2", F.struct("first.row", "first.line_no").alias("kept_at"), "links", "late"
     )
-    pairs = stored(_candidates(classes, percent), "line-pairs")
-    links = _confirmed(texts, ranks, classes, pairs, percent)
-
-    both = links.select("class", "class2", F.col("other_first"), "first").union(
-        links.select("other", "other2", F.col("first"), "other_first")
-    ).toDF("class", "class2", "theirs", "own")
-    found = both.groupBy("class", "class2").agg(
-        F.count(F.lit(1)).alias("links"), F.bool_or(F.col("theirs") < F.col("own")).alias("late")
-    )
-    found = classes.select("class", "class2", "first").join(found, ["class", "class2"], "left")
-    found = stored(
-        found.select(
-            "class", "class2", F.struct("first.row", "first.line_no").alias("kept_at"),
-            F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("late", F.lit(False)).alias("late"),
-        ),
-        "line-found",
-    )
     here = F.struct("row", "line_no")
-    return lines.drop("bits", "prefix").join(found, ["class", "class2"], "left").select(
+    late = F.coalesce("late", F.lit(False))
+    return lines.join(stored(found, "line-found"), ["class", "class2"], "left").select(
         "row", "doc_id", "line_no", F.col("n").alias("n_words"),
         F.coalesce("links", F.lit(0)).alias("links"),
-        F.coalesce(F.col("late") | (here != F.col("kept_at")), F.lit(False)).alias("removed"),
+        F.coalesce(late | (here != F.col("kept_at")), F.lit(False)).alias("removed"),
     )
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that pass prefix, length, positional and bit filters.
+    """Pairs of classes that pass the length, sketch, count and positional filters.
 
     o common words of sets with m and n reach the threshold t when
-    o >= t / (1 + t) * (m + n); in percent, (100 + p) * o >= p * (m + n).
+    o >= t / (1 + t) * (m + n); in percent, (100 + p) * o >= p * (m + n). Of
+    these o, a set has at most n - k beyond its prefix of k words, and the
+    prefix that ends first in the order of words shares all the others.
     """
-    posted = classes.select(
-        "class", "n", "bits", F.posexplode("prefix").alias("at", "word")
-    )
+    posted = classes.select("id", "n", "bits", F.posexplode("prefix").alias("at", "word"))
     a, b = posted.alias("a"), posted.alias("b")
     p = percent
     long_enough = F.expr(f"100 * a.n >= {p} * b.n AND 100 * b.n >= {p} * a.n")
-    place = F.expr(f"{100 + p} * least(a.n - a.at, b.n - b.at) >= {p} * (a.n + b.n)")
     # Words that one set lacks are at least as many as bits that differ.
     sketch = F.expr(
         f"{100 + p} * (a.n + b.n - bit_count(a.bits ^ b.bits)) >= {2 * p} * (a.n + b.n)"
     )
     met = a.join(
-        b,
-        (F.col("a.word") == F.col("b.word"))
-        & (F.col("a.class") < F.col("b.class"))
-        & long_enough & place & sketch,
-    )
-    return met.select(
-        F.col("a.class").alias("class"), F.col("b.class").alias("other")
-    ).distinct()
-
-
-def _confirmed(
-    texts: DataFrame, ranks: Column, classes: DataFrame, pairs: DataFrame, percent: int
-) -> DataFrame:
-    """Candidate pairs whose full sets reach the threshold.
-
-    The sets are made again from the texts of the classes' first lines, for
-    candidates only.
-    """
-    wanted = pairs.select("class").union(pairs.select("other")).distinct()
-    firsts = classes.join(wanted, "class").select("class", "class2", "first")
-    by_row = firsts.select(F.col("first.row").alias("row"), F.col("first.line_no").alias("line_no"), "class", "class2", "first")
-    at = by_row.groupBy("row").agg(F.collect_list(F.struct("line_no", "class", "class2", "first")).alias("at"))
-    # A document's own lines bound the list.
-    cut = texts.select("row", "text").join(at, "row").withColumn("split", F.split("text", "\n"))
-    sets = cut.select("split", F.explode("at").alias("p")).select(
-        "p.class", "p.class2", "p.first", _keys(F.get("split", F.col("p.line_no")), ranks).alias("keys")
+        b, (F.col("a.word") == F.col("b.word")) & (F.col("a.id") < F.col("b.id")) & long_enough & sketch
     )
-    sets = stored(sets, "line-sets")
-    other = sets.select(
-        F.col("class").alias("other"), F.col("class2").alias("other2"),
-        F.col("first").alias("other_first"), F.col("keys").alias("other_keys"),
-    )
-    joined = pairs.join(sets, "class").join(other, "other")
-    common = F.size(F.array_intersect("keys", "other_keys"))
-    reached = 100 * common >= percent * (F.size("keys") + F.size("other_keys") - common)
-    return joined.filter(reached).select(
-        "class", "class2", "first", "other", "other2", "other_first"
+    counted = met.groupBy(
+        F.col("a.id").alias("id"), F.col("b.id").alias("other"),
+        F.col("a.n").alias("m"), F.col("b.n").alias("n"),
+    ).agg(F.count(F.lit(1)).alias("shared"), F.min("a.at").alias("a_at"), F.min("b.at").alias("b_at"))
+    # n - k, with k = n - least_share + 1 words in the prefix
+    beyond = [f"({_least_share(x, p)} - 1)" for x in ("m", "n")]
+    least = f"(({p} * (m + n) + {99 + p}) div {100 + p})"
+    return counted.filter(
+        f"shared >= {least} - greatest({', '.join(beyond)})"
+        f" AND least(m - a_at, n - b_at) >= {least}"
+    ).select("id", "other")
+
+
+def _links(texts: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Of every class with a similar one: how many there are, and if one comes earlier.
+
+    Words are taken again from the first line of a class, for candidates only.
+    """
+    wanted = pairs.select("id").union(pairs.select("other")).distinct()
+    firsts = classes.join(wanted, "id").select("id", "first")
+    firsts = stored(firsts.select("id", "first", "first.row", "first.line_no"), "line-firsts")
+    cut = texts.select("row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    cut = cut.filter(_marks(firsts)).join(firsts, ["row", "line_no"])
+    sets = stored(cut.select("id", "first", F.array_distinct(_words(F.col("line"))).alias("words")), "line-sets")
+    other = sets.toDF("other", "other_first", "other_words")
+    joined = pairs.join(sets, "id").join(other, "other")
+    common = F.size(F.array_intersect("words", "other_words"))
+    reached = 100 * common >= percent * (F.size("words") + F.size("other_words") - common)
+    earlier = F.col("first") < F.col("other_first")
+    ends = F.array(
+        F.struct(F.col("id").alias("id"), (~earlier).alias("late")),
+        F.struct(F.col("other").alias("id"), earlier.alias("late")),
     )
+    both = joined.filter(reached).select(F.inline(ends))
+    return both.groupBy("id").agg(F.count(F.lit(1)).alias("links"), F.bool_or("late").alias("late"))
 
 
 def line_report(
