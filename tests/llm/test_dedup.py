@@ -206,3 +206,37 @@ def test_lines_are_taken_out_of_the_texts(odd):
     assert out[1] == "same text\nhere and there" or out[1] == ""  # one of the repeated rows keeps it
     assert out[15] == "a\n\nb a" and out[4] is None
     assert without_repeated_lines(odd).columns == odd.columns
+
+
+def test_a_template_of_many_similar_lines(spark, tmp_path):
+    """2,000 lines that differ in one word of twenty are all similar to each other; none is lost.
+
+    Beside them lines of all lengths with some words changed, near the threshold.
+    """
+    draw = np.random.default_rng(8)
+    stem = [f"t{i}" for i in range(19)]
+    texts = ["\n".join(" ".join([*stem[:7], f"x{i}", *stem[7:]]) for i in range(k, k + 100)) for k in range(0, 2000, 100)]
+    path = f"{tmp_path}/template"
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4).write.parquet(path)
+    found = similar_lines(spark.read.parquet(path)).collect()
+    assert {r.links for r in found} == {1999} and sum(not r.removed for r in found) == 1
+    assert not next(r.removed for r in found if (r.doc_id, r.line_no) == (0, 0))
+
+    texts = []
+    for i in range(40):
+        n = int(draw.integers(1, 400))
+        base = [f"w{x}" for x in draw.integers(0, 3000, n)]
+        lines = []
+        for _ in range(4):
+            own = list(base)
+            for at in draw.integers(0, n, int(n * draw.uniform(0, 0.25))):
+                own[at] = f"w{draw.integers(0, 3000)}"
+            lines.append(" ".join(own[: max(1, int(n * draw.uniform(0.78, 1)))]))
+        texts.append("\n".join(lines))
+    path = f"{tmp_path}/near"
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {(r.row, r.line_no): (r.n_words, r.links, r.removed) for r in similar_lines(docs).collect()}
+    assert got == lines_by_hand(rows)
+    assert 30 < sum(r[1] > 0 for r in got.values()) < len(got)

@@ -45,26 +45,31 @@ def _bucket(hashed: Column) -> Column:
     return F.shiftrightunsigned(hashed, 64 - BUCKET_BITS).cast("int")
 
 
-def _levels(texts: DataFrame) -> Column:
-    """Level of every bucket by the occurrences of its words, as one constant array."""
-    words = texts.select(F.explode(F.split("text", f"{WHITE}+")).alias("word"))
-    buckets = words.filter("word <> ''").select(_bucket(F.xxhash64("word")).alias("bucket"))
+def _levels(hashed: DataFrame) -> Column:
+    """Level of every bucket by how many lines hold its words, as one constant array.
+
+    Already where a level belongs in a key, see ``_keys``.
+    """
+    buckets = hashed.select(F.explode("hashes").alias("hash")).select(_bucket(F.col("hash")).alias("bucket"))
     counts = buckets.groupBy("bucket").count().toArrow()
     levels = [0] * (1 << BUCKET_BITS)
     pairs = zip(counts.column("bucket").to_pylist(), counts.column("count").to_pylist(), strict=True)
     for bucket, count in pairs:
-        levels[bucket] = int(_STEP * log2(count))
-    return F.from_json(F.lit(str(levels).replace(" ", "")), "array<int>")
+        levels[bucket] = int(_STEP * log2(count)) << _HASH_BITS
+    return F.from_json(F.lit(str(levels).replace(" ", "")), "array<long>")
 
 
-def _keys(line: Column, levels: Column) -> Column:
-    """The set of a line as whole numbers, the rarest word first."""
+def _keys(levels: Column) -> Column:
+    """The hashes of a line as whole numbers above zero, the rarest word first."""
     low = F.lit((1 << _HASH_BITS) - 1)
-    hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
-    key = lambda h: F.shiftleft(F.get(levels, _bucket(h)).cast("long"), _HASH_BITS).bitwiseOR(
-        h.bitwiseAND(low)
-    )
-    return F.sort_array(F.array_distinct(F.transform(hashes, key)))
+    key = lambda h: F.get(levels, _bucket(h)).bitwiseOR(h.bitwiseAND(low))
+    return F.sort_array(F.array_distinct(F.transform("hashes", key)))
+
+
+def _sketch(half: int) -> Column:
+    """A bit for each of a line's keys in one of two halves of 64."""
+    bit = "shiftleft(1L, cast(k & 63 AS int))"
+    return F.expr(f"aggregate(keys, 0L, (acc, k) -> acc | if((k & 64) = {64 * half}, {bit}, 0L))")
 
 
 def _least_share(n: str, percent: int) -> str:
@@ -112,26 +117,31 @@ def similar_lines(
     """
     spark = docs.sparkSession
     texts = _lines(docs, id_col, text_col)
-    levels = _levels(texts)
     each = texts.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    keyed = each.select("row", "doc_id", "line_no", _keys(F.col("line"), levels).alias("keys"))
-    bits = F.expr("aggregate(keys, 0L, (acc, k) -> acc | shiftleft(1L, cast(k % 64 as int)))")
+    hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))
     prefix = F.expr(
         f"transform(slice(keys, 1, n - cast({_least_share('n', percent)} AS int) + 1),"
         " k -> cast(k % 2147483647 as int))"
     )
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
     narrow = ["row", "doc_id", "line_no", "n", "class", "class2"]
+    some = F.col("n") > 0
     with scratch_dir(spark, "line-keys") as keys, scratch_dir(spark, "line-postings") as posted:
-        keyed.withColumn("n", F.size("keys")).select(
-            "row", "doc_id", "line_no", "n",
-            F.xxhash64("keys").alias("class"),
-            F.xxhash64(F.lit(1), "keys").alias("class2"),
-            F.when(F.col("n") > 0, bits).alias("bits"),
-            F.when(F.col("n") > 0, prefix).alias("prefix"),
-        ).write.parquet(keys)
+        # Texts are split once; the hashes go when the keys are made of them.
+        with scratch_dir(spark, "line-hashes") as split:
+            each.select("row", "doc_id", "line_no", hashes.alias("hashes")).write.parquet(split)
+            hashed = spark.read.parquet(split)
+            keyed = hashed.withColumn("keys", _keys(_levels(hashed)))
+            keyed.withColumn("n", F.size("keys")).select(
+                "row", "doc_id", "line_no", "n",
+                F.xxhash64("keys").alias("class"),
+                F.xxhash64(F.lit(1), "keys").alias("class2"),
+                F.when(some, _sketch(0)).alias("bits"),
+                F.when(some, _sketch(1)).alias("bits2"),
+                F.when(some, prefix).alias("prefix"),
+            ).write.parquet(keys)
         wide = spark.read.parquet(keys)
-        wide.filter("n > 0").groupBy("class", "class2", "n", "bits", "prefix").agg(
+        wide.filter("n > 0").groupBy("class", "class2", "n", "bits", "bits2", "prefix").agg(
             F.min(order).alias("first"), F.count(F.lit(1)).alias("lines")
         ).withColumn("id", F.monotonically_increasing_id()).write.parquet(posted)
         lines = stored(wide.select(*narrow), "lines")
@@ -157,30 +167,36 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that pass the length, sketch, count and positional filters.
 
     o common words of sets with m and n reach the threshold t when
-    o >= t / (1 + t) * (m + n); in percent, (100 + p) * o >= p * (m + n). Of
-    these o, a set has at most n - k beyond its prefix of k words, and the
-    prefix that ends first in the order of words shares all the others.
+    o >= t / (1 + t) * (m + n); in percent, (100 + p) * o >= p * (m + n). With
+    q = n - o + 2 words of each set, or all of its prefix if that is shorter,
+    a set has at most n - q of the o words beyond these, and the one whose q
+    words end first in the order of words shares all others: two of them, but
+    where a prefix is too short. So pairs meet on these words only, which are
+    fewer than the prefix for sets of like length.
     """
-    posted = classes.select("id", "n", "bits", F.posexplode("prefix").alias("at", "word"))
+    posted = classes.select("id", "n", "bits", "bits2", F.posexplode("prefix").alias("at", "word"))
     a, b = posted.alias("a"), posted.alias("b")
     p = percent
     long_enough = F.expr(f"100 * a.n >= {p} * b.n AND 100 * b.n >= {p} * a.n")
+    near = F.expr(f"{100 + p} * (least(a.n - a.at, b.n - b.at) + 1) >= {p} * (a.n + b.n)")
     # Words that one set lacks are at least as many as bits that differ.
-    sketch = F.expr(
-        f"{100 + p} * (a.n + b.n - bit_count(a.bits ^ b.bits)) >= {2 * p} * (a.n + b.n)"
-    )
+    differ = "(bit_count(a.bits ^ b.bits) + bit_count(a.bits2 ^ b.bits2))"
+    sketch = F.expr(f"{100 + p} * (a.n + b.n - {differ}) >= {2 * p} * (a.n + b.n)")
     met = a.join(
-        b, (F.col("a.word") == F.col("b.word")) & (F.col("a.id") < F.col("b.id")) & long_enough & sketch
-    )
+        b,
+        (F.col("a.word") == F.col("b.word"))
+        & (F.col("a.id") < F.col("b.id"))
+        & long_enough & near & sketch,
+    )
     counted = met.groupBy(
         F.col("a.id").alias("id"), F.col("b.id").alias("other"),
         F.col("a.n").alias("m"), F.col("b.n").alias("n"),
     ).agg(F.count(F.lit(1)).alias("shared"), F.min("a.at").alias("a_at"), F.min("b.at").alias("b_at"))
-    # n - k, with k = n - least_share + 1 words in the prefix
-    beyond = [f"({_least_share(x, p)} - 1)" for x in ("m", "n")]
     least = f"(({p} * (m + n) + {99 + p}) div {100 + p})"
+    # Words of a set beyond its whole prefix: n - (n - least_share + 1).
+    beyond = ", ".join(f"{_least_share(x, p)} - 1" for x in ("m", "n"))
     return counted.filter(
-        f"shared >= {least} - greatest({', '.join(beyond)})"
+        f"shared >= least(2, {least} - greatest({beyond}))"
         f" AND least(m - a_at, n - b_at) >= {least}"
     ).select("id", "other")
 
