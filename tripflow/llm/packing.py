@@ -15,6 +15,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,33 +71,35 @@ class WordTokens:
         if len(keep) > CACHE_WORDS // 2:
             keep = np.sort(keep[np.argsort(-met[keep], kind="stable")[: CACHE_WORDS // 2]])
         words = list(self.known)
-        old = self.pool, self.starts, met
+        pool, first, counts = self.pool, self.starts[keep], np.diff(self.starts)[keep]
+        ends = np.cumsum(counts)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - counts), counts)
         self._clear()
-        self._store([words[i] for i in keep], [old[0][old[1][i] : old[1][i + 1]] for i in keep])
-        self.met[: len(keep)] = old[2][keep] // 2
+        self._store([words[i] for i in keep], pool[at], counts)
+        self.met[: len(keep)] = met[keep] // 2
 
-    def _store(self, words: list[str], ids: list[np.ndarray]) -> None:
+    def _store(self, words: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
+        """Words with the ids of all of them in a row, and how many each has."""
         first = len(self.known)
         while first + len(words) + 1 > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.met = np.concatenate([self.met, np.zeros_like(self.met)])
-        flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
         self.pool[self.used : self.used + len(flat)] = flat
         self.known.update(zip(words, range(first, first + len(words)), strict=True))
-        ends = self.used + np.cumsum([len(x) for x in ids], dtype=np.int64)
+        ends = self.used + np.cumsum(counts)
         self.starts[first + 1 : first + 1 + len(words)] = ends
         self.used += len(flat)
 
     def _add(self, words: list[str]) -> None:
         """Tokenise words as one text, a space between two, and deal the ids out by offset."""
         found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        heads = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
-        at = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
+        ids, spans = found.ids, chain.from_iterable(found.offsets)
+        heads = np.cumsum([0, *map(len, words[:-1])]) + np.arange(len(words))
+        at = np.fromiter(spans, np.int64, 2 * len(ids))[::2]
         owner = np.searchsorted(heads, at, side="right") - 1
-        each = np.bincount(owner, minlength=len(words))
-        self._store(words, np.split(np.array(found.ids, np.uint32), np.cumsum(each)[:-1]))
+        self._store(words, np.array(ids, np.uint32), np.bincount(owner, minlength=len(words)))
 
     def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text starts (one more at the end)."""
@@ -109,7 +112,7 @@ class WordTokens:
         missing = [w for w in words if w not in self.known]
         for i in range(0, len(missing), ENCODE_WORDS):
             self._add(missing[i : i + ENCODE_WORDS])
-        index = np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         self.met[index] += 1
         each = index[coded.indices.to_numpy()] if len(words) else np.empty(0, np.int64)
         first = self.starts[each]
