@@ -12,6 +12,7 @@ from tripflow.session import fresh_dir, pin_runtime_settings, size_shuffles
 WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_BYTES = 8 << 20
 _PLACE_BITS = 33  # monotonically_increasing_id keeps the partition above these
 
 
@@ -29,10 +30,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def sized_for(df: DataFrame) -> DataFrame:
     """Size the shuffles that follow by the files of a stored table, and return it.
 
-    The sizes come with the listing: no column is read.
+    The sizes come with the listing: no column is read. Batches that go to
+    Python are bounded by bytes, as ten thousand long texts are too many.
     """
     spark = df.sparkSession
     pin_runtime_settings(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     found = df.metadataColumn("_metadata")
     files = df.select(found["file_path"].alias("path"), found["file_size"].alias("size")).distinct()
     size_shuffles(spark, files.agg(F.sum("size")).first()[0] or 0)
