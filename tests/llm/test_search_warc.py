@@ -37,7 +37,8 @@ def test_top_k_equals_brute_force(spark, tmp_path):
     schema = "vec_id long, embedding array<double>, rank int, score string"
     spark.createDataFrame([(*r, 1, "x") for r in rows], schema).repartition(3).write.parquet(f"{tmp_path}/v")
     vectors = spark.read.parquet(f"{tmp_path}/v")
-    for k, sizes in ((5, {}), (200, {"candidate_block": 16, "query_block": 3})):
+    rounds = {"block_bytes": 100, "round_blocks": 2}
+    for k, sizes in ((5, {}), (200, {"candidate_block": 16, "query_block": 3}), (7, rounds)):
         found = top_k(vectors, k=k, every=5, **sizes).collect()
         got = Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in found)
         assert got == top_by_hand(rows, k, 5)
