@@ -118,7 +118,7 @@ def test_large_groups_of_near_copies_in_blocks(spark, tmp_path, monkeypatch):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/d")
     docs = spark.read.parquet(f"{tmp_path}/d")
     expected = dict(enumerate(near_by_hand([shingles(t) for t in texts])))
-    for documents in (4096, 40):
+    for documents in (4096, 40, 7):
         monkeypatch.setattr(near_dedup, "BLOCK_DOCUMENTS", documents)
         assert {r.doc_id: r.component_id for r in near_duplicates(docs).collect()} == expected
 
@@ -141,6 +141,34 @@ def test_forest_connects_what_all_pairs_connect():
     assert [top(i) for i in range(120)] == near_by_hand([set(s.tolist()) for s in sets])
 
 
+def test_forest_leaves_out_what_is_connected_already():
+    draw = np.random.default_rng(2)
+    base = np.arange(100, dtype=np.uint64)
+    sets = [np.delete(base, draw.integers(0, 100, 2)) for _ in range(30)]
+    parts = np.array([1] * 20 + [2] * 9 + [3])
+    links = forest(np.arange(30), sets, 85, parts)
+    assert len(links) == 2 and {frozenset(parts[list(x)]) for x in links} <= {
+        frozenset(x) for x in ((1, 2), (1, 3), (2, 3))
+    }
+    assert forest(np.arange(30), sets, 85, np.zeros(30, int)) == []
+
+
+def test_a_connected_large_group_is_not_met_in_blocks(spark, tmp_path, monkeypatch):
+    """Documents that one centre links take no task of their own for each pair of blocks."""
+    words = [f"word{i}" for i in range(200)]
+    texts = [" ".join([*words, f"end{i}"]) for i in range(300)] + ["some other text of seven words"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    monkeypatch.setattr(near_dedup, "BLOCK_DOCUMENTS", 10)
+    met = []
+    sets = near_dedup._sets
+    monkeypatch.setattr(
+        near_dedup, "_sets", lambda docs, nodes, n: (met.append(nodes), sets(docs, nodes, n))[1]
+    )
+    found = near_duplicates(spark.read.parquet(f"{tmp_path}/d")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: 0 for i in range(300)} | {300: 300}
+    assert met[-1].count() == 0 and "firsts" in met[-1].columns
+
+
 def test_signatures_estimate_the_similarity():
     draw = np.random.default_rng(2)
     functions = near_dedup._functions(400, 3)

@@ -10,10 +10,12 @@ Exact copies are collapsed first. Candidates are linked in stars, one centre
 per band value, never in all pairs, and the components of these links are the
 clusters to look at. Inside a cluster every pair that could reach the
 threshold is confirmed on the full sets: a prefix filter over the cluster's
-rarest shingles finds the pairs, and pairs already connected are skipped. A
-large cluster is cut into blocks that meet pairwise, each pair a task of
-bounded size. What leaves a task is a forest of links, no more rows than
-documents.
+rarest shingles finds the pairs, and pairs already connected are skipped. In a
+cluster too large for one task each document first meets the centre it shares
+most bands with, a step that grows with the documents. What these links connect
+is contracted: documents of the largest part never meet each other again, only
+the others do, and they meet the largest part, in blocks, each pair of blocks a
+task of bounded size.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.batches import large_text, slices
@@ -153,27 +155,35 @@ def _sketched(batches: Iterator[pa.RecordBatch], n: int, hashes: int, rows: int,
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch], n: int):
+    """The text, in the last column, becomes its set of shingles; others pass."""
     for batch in batches:
-        for part in slices(batch, 2):
-            words, starts = _hashed_words(large_text(part.column(2)))
+        last = batch.num_columns - 1
+        for part in slices(batch, last):
+            words, starts = _hashed_words(large_text(part.column(last)))
             shingles, at = _shingles(words, starts, n)
             sets = [np.unique(shingles[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(sets, pa.binary())],
-                names=["node", "cluster", "shingles"],
+                [*part.columns[:last], pa.array(sets, pa.binary())],
+                names=[*batch.schema.names[:last], "shingles"],
             )
 
 
-def forest(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def forest(
+    nodes: np.ndarray, sets: list[np.ndarray], percent: int, parts: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """Links that connect all nodes whose sets reach the threshold, as few as do.
 
+    Nodes of one of ``parts`` are connected already; without it none are.
+
     Sets come in order of size. A set meets the earlier ones that share one of
     its ``size - least overlap + 1`` rarest elements; any set that reaches the
     threshold does. Those in its own component already are skipped.
     """
+    parts = np.arange(len(sets)) if parts is None else np.unique(parts, return_inverse=True)[1]
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(sizes, kind="stable")
     nodes, sizes, sets = nodes[order], sizes[order], [sets[i] for i in order]
+    component = parts[order]
     starts = np.concatenate([[0], np.cumsum(sizes)])
     _, tokens, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rarity = np.empty(len(often), np.int64)
@@ -194,7 +204,6 @@ def forest(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tupl
     first = np.searchsorted(posted[by_token], np.arange(len(often) + 1))
     met = np.zeros(len(often), np.int64)  # how many of a token's sets are earlier
 
-    component = np.arange(len(sets))
     held = np.zeros(len(often), bool)
     links = []
     for i, prefix in enumerate(prefixes):
@@ -223,14 +232,14 @@ def forest(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tupl
 
 def _linked(table: pa.Table, percent: int) -> pa.Table:
     cluster = table.column("cluster").to_numpy()
-    nodes = table.column("node").to_numpy()
+    nodes, parts = table.column("node").to_numpy(), table.column("part").to_numpy()
     raw = table.column("shingles")
     order = np.argsort(cluster, kind="stable")
     links = []
     for same in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
         if len(same) > 1:
             sets = [np.frombuffer(raw[i].as_buffer(), np.uint64) for i in same]
-            links += forest(nodes[same], sets, percent)
+            links += forest(nodes[same], sets, percent, parts[same])
     return pa.table(
         {
             "a": pa.array([x[0] for x in links], pa.int64()),
@@ -239,47 +248,110 @@ def _linked(table: pa.Table, percent: int) -> pa.Table:
     )
 
 
-def _confirmed(docs: DataFrame, clusters: DataFrame, counts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links between the nodes of each cluster, from the full sets of their texts."""
+def _reached(batches: Iterator[pa.RecordBatch], percent: int):
+    """Pairs of nodes whose sets reach the threshold."""
+    for batch in batches:
+        sets, others = batch.column(2), batch.column(3)
+        keep = np.zeros(batch.num_rows, bool)
+        for i in range(batch.num_rows):
+            x, y = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (sets, others))
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1)], names=["a", "b"]
+        ).filter(pa.array(keep))
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """``nodes`` with the shingles of their texts. Both sides grow with the
+    corpus, so the join is the same at every size.
+    """
+    rows = docs.join(nodes.hint("merge"), F.col("row") == F.col("node"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema)
+    return rows.select(*nodes.columns, "text").mapInArrow(
+        lambda batches: _with_sets(batches, n), f"{schema}, shingles binary"
+    )
+
+
+def _star_links(docs: DataFrame, stars: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+    """Confirmed links of nodes to the centre each shares most bands with: (a, b)."""
+    shared = stars.join(nodes.select("node"), "node").groupBy("node", "centre").count()
+    best = F.max(F.struct("count", (-F.col("centre")).alias("centre"))).alias("best")
+    chosen = shared.groupBy("node").agg(best).select("node", (-F.col("best.centre")).alias("centre"))
+    chosen = stored(chosen, "near-chosen")
+    centres = chosen.select(F.col("centre").alias("node")).distinct()
+    others = _sets(docs, centres, n).withColumnsRenamed({"node": "centre", "shingles": "other"})
+    # Two plain sides, so that Spark can split a centre which many nodes have.
+    pairs = _sets(docs, chosen, n).join(others, "centre").select("node", "centre", "shingles", "other")
+    return pairs.mapInArrow(lambda batches: _reached(batches, percent), "a long, b long")
+
+
+def _blocks(shingles: Column, documents: Column) -> Column:
+    return F.greatest(
+        F.ceil(shingles / BLOCK_SHINGLES), F.ceil(documents / BLOCK_DOCUMENTS)
+    ).cast("int")
+
+
+def _confirmed(
+    docs: DataFrame, clusters: DataFrame, stars: DataFrame, counts: DataFrame, n: int, percent: int
+) -> DataFrame:
+    """Links that connect what is similar in each cluster, from the full sets of its texts."""
     members = clusters.join(counts, "node")
+    blocks = _blocks(F.sum("n_shingles"), F.count(F.lit(1)))
     totals = members.groupBy("cluster").agg(
-        F.sum("n_shingles").alias("shingles"), F.count(F.lit(1)).alias("documents")
-    )
-    blocks = F.greatest(
-        F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.ceil(F.col("documents") / BLOCK_DOCUMENTS)
+        F.sum("n_shingles").alias("shingles"), blocks.alias("blocks")
     )
-    totals = stored(totals.withColumn("blocks", blocks.cast("int")), "near-totals")
+    totals = stored(totals, "near-totals")
     small = totals.filter("blocks = 1").agg(F.sum("shingles")).first()[0] or 0
-    shared = max(1, -(-small // BLOCK_SHINGLES))
-
-    # Both sides grow with the corpus, so the plan is the same at every size.
-    wanted = clusters.hint("merge")
-    texts = docs.join(wanted, F.col("row") == F.col("node")).select("node", "cluster", "text")
-    sets = texts.mapInArrow(
-        lambda batches: _with_sets(batches, n), "node long, cluster long, shingles binary"
-    )
-    # Small clusters share tasks; the blocks of a large one meet in pairs.
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    numbers = F.expr("sequence(0, blocks - 1)")
-    pairs = F.transform(
-        F.filter(numbers, lambda o: o != F.col("own")),
-        lambda o: F.struct(F.least(o, F.col("own")).alias("x"), F.greatest(o, F.col("own")).alias("y")),
+    tasks = max(1, -(-small // BLOCK_SHINGLES))
+
+    # Large clusters: what the stars connect is contracted.
+    large = members.join(totals.filter("blocks > 1").select("cluster"), "cluster")
+    links = stored(_star_links(docs, stars, large, n, percent), "near-star-links")
+    solid = connected_components(links, "near-solid").withColumnRenamed("component", "part")
+    large = large.join(solid, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    large = stored(large, "near-parts")
+    sizes = large.groupBy("cluster", "part").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("n_shingles").alias("shingles")
     )
-    alone = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))
-    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(shared))).otherwise(
-        F.col("cluster")
-    )
-    placed = (
-        sets.join(totals.select("cluster", "blocks"), "cluster")
-        .withColumn("own", own)
-        .withColumn("meet", F.explode(F.when(F.col("blocks") == 1, alone).otherwise(pairs)))
+    # Blocks of the largest part come first, then those of all others together.
+    first = F.max(F.struct("documents", "shingles", "part"))
+    layout = (
+        sizes.groupBy("cluster")
+        .agg(first.alias("top"), F.sum("documents").alias("d"), F.sum("shingles").alias("s"))
         .select(
-            (F.col("blocks") > 1).alias("large"), task.alias("task"), "meet", "cluster", "node", "shingles"
+            "cluster",
+            F.col("top.part").alias("top"),
+            _blocks(F.col("top.shingles"), F.col("top.documents")).alias("firsts"),
+            _blocks(F.col("s") - F.col("top.shingles"), F.col("d") - F.col("top.documents")).alias("rest"),
         )
     )
-    return placed.groupBy("large", "task", "meet").applyInArrow(
+    layout = stored(layout, "near-layout")
+    in_top = F.col("part") == F.col("top")
+    place = lambda count: F.pmod(F.xxhash64("node"), F.greatest(count, F.lit(1))).cast("int")
+    own = F.when(in_top, place(F.col("firsts"))).otherwise(F.col("firsts") + place(F.col("rest")))
+    number = F.expr("explode(sequence(0, firsts + rest - 1))").alias("other")
+    meeting = F.when(in_top, F.col("other") >= F.col("firsts")).otherwise(F.col("other") != F.col("own"))
+    large = large.join(layout, "cluster").filter(~in_top | (F.col("rest") > 0))
+    large = large.select("node", "cluster", "part", "top", "firsts", "rest", own.alias("own"))
+
+    # Small clusters share tasks; the blocks of a large one meet in pairs.
+    one = members.join(totals.filter("blocks = 1").select("cluster"), "cluster")
+    task = F.pmod(F.xxhash64("cluster"), F.lit(tasks)).alias("task")
+    alone = F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")).alias("meet")
+    alike = _sets(docs, one.select("node", "cluster"), n).select(
+        F.lit(False).alias("large"), task, alone, "cluster", "node", F.col("node").alias("part"), "shingles"
+    )
+    pair = F.struct(F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    apart = _sets(docs, large, n).select("*", number).filter(meeting)
+    apart = apart.select(
+        F.lit(True).alias("large"), F.col("cluster").alias("task"), pair.alias("meet"),
+        "cluster", "node", "part", "shingles",
+    )
+    found = alike.union(apart).groupBy("large", "task", "meet").applyInArrow(
         lambda table: _linked(table, percent), "a long, b long"
     )
+    return found.union(links)
 
 
 def near_duplicates(
@@ -329,13 +401,13 @@ def near_duplicates(
         .drop("n")
     )
     stars = banded.join(stored(centres, "near-centres"), "band")
-    stars = stars.filter("node <> centre").select("centre", "node")
+    stars = stored(stars.filter("node <> centre").select("centre", "node"), "near-stars")
     clusters = stored(
         connected_components(stars, "near-clusters").withColumnRenamed("component", "cluster"),
         "near-clusters",
     )
     counts = sketches.select(F.col("row").alias("node"), "n_shingles")
-    links = stored(_confirmed(texts, clusters, counts, words, percent), "near-links")
+    links = stored(_confirmed(texts, clusters, stars, counts, words, percent), "near-links")
     linked = connected_components(links, "near-linked")
 
     ids = texts.select("row", "doc_id")
