@@ -83,9 +83,8 @@ def _record_id(row: Column) -> Column:
 def _field(name: str, value: Column) -> Column:
     """A header line, empty if there is no value; controls and blanks are escaped."""
     safe = value.cast("string")
-    for code in (*range(33), 127):
-        if code in (0, 9, 10, 13, 32, 127):
-            safe = F.replace(safe, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    for code in (0, 9, 10, 13, 32, 127):
+        safe = F.replace(safe, F.lit(chr(code)), F.lit(f"%{code:02X}"))
     return F.coalesce(F.concat(F.lit(f"{name}: "), safe, F.lit(CRLF)), F.lit(""))
 
 
@@ -237,6 +236,8 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
 
 def resolved_records(records: DataFrame) -> DataFrame:
     """Records with revisits joined to their responses, which give length and page."""
+    # Stored first, or both sides of the join would read and hash all archives.
+    records = stored(records.drop("payload"), "warc-records")
     responses = records.filter("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_id"),
         F.col("page_id").alias("response_page"),
