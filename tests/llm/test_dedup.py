@@ -159,14 +159,14 @@ def test_a_connected_large_group_is_not_met_in_blocks(spark, tmp_path, monkeypat
     texts = [" ".join([*words, f"end{i}"]) for i in range(300)] + ["some other text of seven words"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/d")
     monkeypatch.setattr(near_dedup, "BLOCK_DOCUMENTS", 10)
-    met = []
-    sets = near_dedup._sets
+    tables, store = {}, near_dedup.stored
     monkeypatch.setattr(
-        near_dedup, "_sets", lambda docs, nodes, n: (met.append(nodes), sets(docs, nodes, n))[1]
+        near_dedup, "stored", lambda df, label: tables.setdefault(label, store(df, label))
     )
     found = near_duplicates(spark.read.parquet(f"{tmp_path}/d")).collect()
     assert {r.doc_id: r.component_id for r in found} == {i: 0 for i in range(300)} | {300: 300}
-    assert met[-1].count() == 0 and "firsts" in met[-1].columns
+    assert [r.rest for r in tables["near-layout"].collect()] == [0]
+    assert tables["near-links"].count() == tables["near-star-links"].count() == 299
 
 
 def test_signatures_estimate_the_similarity():

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.batches import large_text, slices
 from tripflow.llm.common import stored, with_row
 from tripflow.llm.components import connected_components
+from tripflow.session import fresh_dir
 
 WORDS = 5
 PERCENT = 85
@@ -262,28 +263,38 @@ def _reached(batches: Iterator[pa.RecordBatch], percent: int):
         ).filter(pa.array(keep))
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """``nodes`` with the shingles of their texts. Both sides grow with the
-    corpus, so the join is the same at every size.
+def _stored_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """``nodes`` with the shingles of their texts. Texts are moved once, and both
+    sides of the join grow with the corpus, so it is the same at every size.
+    Sets of large clusters have files of their own.
     """
     rows = docs.join(nodes.hint("merge"), F.col("row") == F.col("node"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema)
-    return rows.select(*nodes.columns, "text").mapInArrow(
-        lambda batches: _with_sets(batches, n), f"{schema}, shingles binary"
+    columns = [c for c in nodes.columns if c != "large"]
+    sets = rows.select("large", *columns, "text").mapInArrow(
+        lambda batches: _with_sets(batches, n),
+        "large boolean, "
+        + ", ".join(f"{c} {nodes.schema[c].dataType.simpleString()}" for c in columns)
+        + ", shingles binary",
     )
+    path = fresh_dir(docs.sparkSession, "near-sets")
+    sets.write.partitionBy("large").parquet(path)
+    return docs.sparkSession.read.schema(sets.schema).parquet(path)
 
 
-def _star_links(docs: DataFrame, stars: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+def _star_links(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
     """Confirmed links of nodes to the centre each shares most bands with: (a, b)."""
-    shared = stars.join(nodes.select("node"), "node").groupBy("node", "centre").count()
+    shared = stars.join(sets.select("node"), "node").groupBy("node", "centre").count()
     best = F.max(F.struct("count", (-F.col("centre")).alias("centre"))).alias("best")
     chosen = shared.groupBy("node").agg(best).select("node", (-F.col("best.centre")).alias("centre"))
+    # Stored, so that the join has two plain sides and Spark can split a centre which many nodes have.
     chosen = stored(chosen, "near-chosen")
-    centres = chosen.select(F.col("centre").alias("node")).distinct()
-    others = _sets(docs, centres, n).withColumnsRenamed({"node": "centre", "shingles": "other"})
-    # Two plain sides, so that Spark can split a centre which many nodes have.
-    pairs = _sets(docs, chosen, n).join(others, "centre").select("node", "centre", "shingles", "other")
-    return pairs.mapInArrow(lambda batches: _reached(batches, percent), "a long, b long")
+    centres = chosen.select("centre").distinct()
+    others = sets.select(F.col("node").alias("centre"), F.col("shingles").alias("other"))
+    others = stored(others.join(centres, "centre"), "near-centre-sets")
+    pairs = sets.select("node", "shingles").join(chosen, "node").join(others, "centre")
+    return pairs.select("node", "centre", "shingles", "other").mapInArrow(
+        lambda batches: _reached(batches, percent), "a long, b long"
+    )
 
 
 def _blocks(shingles: Column, documents: Column) -> Column:
@@ -305,12 +316,15 @@ def _confirmed(
     small = totals.filter("blocks = 1").agg(F.sum("shingles")).first()[0] or 0
     tasks = max(1, -(-small // BLOCK_SHINGLES))
 
+    size = totals.select("cluster", (F.col("blocks") > 1).alias("large"))
+    sets = _stored_sets(docs, members.join(size, "cluster"), n)
+
     # Large clusters: what the stars connect is contracted.
-    large = members.join(totals.filter("blocks > 1").select("cluster"), "cluster")
-    links = stored(_star_links(docs, stars, large, n, percent), "near-star-links")
+    large_sets = sets.filter("large")
+    links = stored(_star_links(large_sets, stars, percent), "near-star-links")
     solid = connected_components(links, "near-solid").withColumnRenamed("component", "part")
-    large = large.join(solid, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    large = stored(large, "near-parts")
+    large = large_sets.select("node", "cluster", "n_shingles").join(solid, "node", "left")
+    large = stored(large.withColumn("part", F.coalesce("part", "node")), "near-parts")
     sizes = large.groupBy("cluster", "part").agg(
         F.count(F.lit(1)).alias("documents"), F.sum("n_shingles").alias("shingles")
     )
@@ -333,17 +347,16 @@ def _confirmed(
     number = F.expr("explode(sequence(0, firsts + rest - 1))").alias("other")
     meeting = F.when(in_top, F.col("other") >= F.col("firsts")).otherwise(F.col("other") != F.col("own"))
     large = large.join(layout, "cluster").filter(~in_top | (F.col("rest") > 0))
-    large = large.select("node", "cluster", "part", "top", "firsts", "rest", own.alias("own"))
+    large = large.select("node", "part", "top", "firsts", "rest", own.alias("own"))
 
     # Small clusters share tasks; the blocks of a large one meet in pairs.
-    one = members.join(totals.filter("blocks = 1").select("cluster"), "cluster")
     task = F.pmod(F.xxhash64("cluster"), F.lit(tasks)).alias("task")
     alone = F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")).alias("meet")
-    alike = _sets(docs, one.select("node", "cluster"), n).select(
+    alike = sets.filter("NOT large").select(
         F.lit(False).alias("large"), task, alone, "cluster", "node", F.col("node").alias("part"), "shingles"
     )
     pair = F.struct(F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-    apart = _sets(docs, large, n).select("*", number).filter(meeting)
+    apart = large_sets.join(large, "node").select("*", number).filter(meeting)
     apart = apart.select(
         F.lit(True).alias("large"), F.col("cluster").alias("task"), pair.alias("meet"),
         "cluster", "node", "part", "shingles",
