@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tripflow.operators import gram, regression
 from tripflow.operators.numbering import number_within
 from tripflow.operators.regression import Spec
-from tripflow.operators.scoring import malformed_json, score_batches, score_json
+from tripflow.operators.scoring import malformed_json, score_batches, score_json, score_messages
 from tripflow.plans import jobs
 from tripflow.plans.tip_model import TIP_INPUT_SCHEMA, TIP_SPEC, tip_features
 from tripflow.schemas import TIP_FEATURE_TYPES
@@ -195,6 +195,20 @@ def test_json_rows_are_scored_and_malformed_ones_left_out(spark, sf):
     assert malformed_json(texts, TIP_INPUT_SCHEMA).count() == 3
 
 
+@pytest.mark.parametrize("score", [score_json, score_messages])
+def test_json_is_parsed_once(spark, model, score):
+    """A filter or a second reference would repeat the parser for every field."""
+    schema = T.StructType.fromDDL("x1 double, X2 double, c string")
+    texts = ['{"x1":1, "x2":2, "c":"b"}', '{"X1":1, "x1":9, "x2":null, "C":null}', "{", "[]", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    scored = score(df, model, schema)
+    optimized = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_json(") == 1
+    found = {(r.x1, r.X2, r.c) for r in scored.collect()}
+    assert found - {(None, None, None)} == {(1.0, 2.0, "b"), (1.0, None, None)}
+    assert rows(malformed_json(df, schema)) == rows(df.filter("value IS NULL OR value IN ('{', '[]', '')"))
+
+
 def test_json_rows_of_a_stream_are_scored(spark, model, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text('{"x1":1.0,"x2":2.0,"c":"b"}\n{oops\n')

@@ -35,24 +35,38 @@ def score_batches(
     return df.mapInPandas(run, schema)
 
 
-def _decoded(text: str, schema: T.StructType) -> Column:
-    """JSON object as a struct of ``schema``, NULL if it is malformed.
+def _decoded(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
+    """Add ``_row``: a JSON object as a struct of ``schema``, NULL if it is malformed.
 
     Names match without regard to case. Malformed is what is no JSON object,
     lacks a declared input, or holds a value that does not fit its type.
-    """
-    fields = F.map_entries(F.from_json(text, "map<string,string>"))
-
-    def sent(name: str) -> Column:
-        return F.get(F.filter(fields, lambda e: F.lower(e["key"]) == name.lower()), 0)
 
-    values = {f.name: sent(f.name)["value"].try_cast(f.dataType) for f in schema.fields}
-    fits = [
-        sent(name).isNotNull() & (sent(name)["value"].isNull() | value.isNotNull())
-        for name, value in values.items()
-    ]
-    row = F.struct(*(value.alias(name) for name, value in values.items()))
-    return F.when(reduce(and_, fits), row)
+    Each text is parsed once and each value cast once. Every step is a select
+    of its own, and the first and the last pass through an ``inline``: Spark
+    would else repeat what they hold in all that refers to it, filters too.
+    """
+    def once(df: DataFrame, value: Column, name: str) -> DataFrame:
+        return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+    kept, names = df.columns, schema.names
+    df = once(df, F.from_json(text, "map<string,string>"), "_fields")
+    df = df.select(
+        *kept,
+        F.transform(F.map_keys("_fields"), F.lower).alias("_names"),
+        F.map_values("_fields").alias("_values"),
+    )
+    at = {n: F.array_position("_names", n.lower()).cast("int") for n in names}
+    df = df.select(*kept, "_values", *(at[n].alias(f"_at_{n}") for n in names))
+    sent = (F.get("_values", F.col(f"_at_{n}") - 1).alias(f"_sent_{n}") for n in names)
+    df = df.select(*kept, *(f"_at_{n}" for n in names), *sent)
+    cast = (F.col(f"_sent_{f.name}").try_cast(f.dataType).alias(f"_cast_{f.name}") for f in schema)
+    df = df.select("*", *cast)
+    fits = (
+        (F.col(f"_at_{n}") > 0) & (F.col(f"_sent_{n}").isNull() | F.col(f"_cast_{n}").isNotNull())
+        for n in names
+    )
+    row = F.struct(*(F.col(f"_cast_{n}").alias(n) for n in names))
+    return once(df, F.when(reduce(and_, fits), row), "_row").select(*kept, "_row")
 
 
 def score_json(
@@ -62,13 +76,13 @@ def score_json(
 
     Malformed rows are not scored, see ``_decoded``; ``malformed_json`` has them.
     """
-    good = df.withColumn("_row", _decoded(text, schema)).filter("_row IS NOT NULL")
+    good = _decoded(df, text, schema).filter("_row IS NOT NULL")
     return model.predict(good.select(*df.columns, *(f"_row.{name}" for name in schema.names)))
 
 
 def malformed_json(df: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
     """The rows that ``score_json`` leaves out, for a quarantine."""
-    return df.filter(_decoded(text, schema).isNull())
+    return _decoded(df, text, schema).filter("_row IS NULL").select(*df.columns)
 
 
 def score_messages(
@@ -78,7 +92,7 @@ def score_messages(
 
     For streams that keep a quarantine beside what they score, in one pass.
     """
-    row = df.withColumn("_row", _decoded(text, schema))
+    row = _decoded(df, text, schema)
     inputs = [F.col(f"_row.{name}").alias(name) for name in schema.names]
     bad = F.col("_row").isNull()
     flagged = row.select(*inputs, F.when(bad, F.coalesce(text, F.lit(""))).alias("malformed"))
