@@ -4,7 +4,7 @@ import datetime as dt
 import os
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 from test_plans import green, supplied_shape, zone_frame
 
@@ -27,6 +27,16 @@ def published(spark, output, prefix):
     return {n: rows(spark.table(f"{prefix}{n}")) for n in NAMES}
 
 
+@pytest.mark.parametrize("catalog", [False, True])
+def test_staging_is_shuffled_once_for_fact_and_checks(spark, tmp_path, monkeypatch, catalog):
+    output, prefix = str(tmp_path / "out"), f"{fresh_name('m')}_" if catalog else None
+    plans, report = [], jobs.quality_report
+    monkeypatch.setattr(jobs, "quality_report", lambda df, c: plans.append(plan(df)) or report(df, c))
+    jobs.build_marts(trips(spark, green(1.0, 0)), zone_frame(spark), output, tables_prefix=prefix)
+    assert plans and not any("Window" in p for p in plans)
+    assert not list(tmp_path.rglob("staged"))
+
+
 @pytest.mark.parametrize("catalog", [False, True])
 def test_a_failed_check_leaves_the_old_marts_readable(spark, tmp_path, catalog):
     output, prefix = str(tmp_path / "out"), f"{fresh_name('m')}_" if catalog else None

@@ -187,7 +187,8 @@ def build_marts(
     are reported. Only then do the new tables take the place of the old ones:
     as folders of ``output``, or with a prefix as tables of the catalog under
     that prefix, with the texts that describe them and their columns. The fact
-    is stored because both the mart and its readers use it.
+    is stored because both the mart and its readers use it, staging because the
+    fact and every check read it; the latter goes with the run.
     """
     spark, run = lookup.sparkSession, run or publish.new_run()
     folder, output = publish.run_folder(output, run), output.rstrip("/")
@@ -212,6 +213,8 @@ def build_marts(
         return spark.read.schema(df.schema).parquet(path)
 
     zones = store(marts.dim_zones(lookup), "dim_zones", ZONE_COLUMNS)
+    files.write_parquet(staged, f"{folder}/staged")
+    staged = spark.read.schema(staged.schema).parquet(f"{folder}/staged")
     fact = store(
         marts.fact_trips(staged, zones), "fact_trips", TRIP_COLUMNS, ("service_type",)
     )
@@ -231,6 +234,7 @@ def build_marts(
     if tables_prefix is not None:
         for name in names:
             publish.publish_table(spark, f"{tables_prefix}{name}__{run}", f"{tables_prefix}{name}")
+        publish.remove_folder(spark, f"{folder}/staged")
         return Marts(zones, fact, monthly, report)
     stored = {}
     for name, df in zip((*names, "quality_report"), (zones, fact, monthly, report), strict=True):
@@ -249,21 +253,15 @@ def build_marts_from_files(
     mode: str = "overwrite",
     tables_prefix: str | None = None,
 ) -> Marts:
-    """The same from raw files, named as the sources of the staging models.
-
-    Staging is stored once, in the folder of the run; checks and fact read it.
-    """
+    """The same from raw files, named as the sources of the staging models."""
     sources = files.SourceRegistry()
     sources.register("staging", "green", lambda: files.read_parquet(spark, *input_green))
     sources.register("staging", "yellow", lambda: files.read_parquet(spark, *input_yellow))
     staged = stage_services(
         sources.source("staging", "green"), sources.source("staging", "yellow")
     )
-    run = publish.new_run()
-    path = f"{publish.run_folder(output, run)}/staged"
-    files.write_parquet(staged, path, partition_by=["service_type"])
     lookup = files.read_csv(spark, zone_csv, schema=ZONE_SCHEMA)
-    return build_marts(spark.read.parquet(path), lookup, output, mode, tables_prefix, run)
+    return build_marts(staged, lookup, output, mode, tables_prefix)
 
 
 def create_daily_marts(fact: DataFrame, table: str, path: str | None = None) -> tables.DatedTable:
