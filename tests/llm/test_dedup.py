@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripflow.llm import near_dedup
+from tripflow.llm import line_dedup, near_dedup
 from tripflow.llm.components import connected_components
 from tripflow.llm.exact_dedup import exact_dedup, keep_first_texts
 from tripflow.llm.line_dedup import line_report, similar_lines, without_repeated_lines
@@ -268,3 +268,30 @@ def test_a_template_of_many_similar_lines(spark, tmp_path):
     got = {(r.row, r.line_no): (r.n_words, r.links, r.removed) for r in similar_lines(docs).collect()}
     assert got == lines_by_hand(rows)
     assert 30 < sum(r[1] > 0 for r in got.values()) < len(got)
+
+
+def test_similar_lines_of_a_template_make_no_pairs(spark, tmp_path, monkeypatch):
+    """Links of a large group are counted in blocks, not as rows; of different groups as pairs."""
+    stem = [f"t{i}" for i in range(19)]
+    lines = [" ".join([*stem[: i % 19], f"x{i}", *stem[i % 19 :]]) for i in range(300)]
+    lines += [" ".join([f"u{i}" for i in range(10) if i != k]) for k in range(3)] + ["v1 v2 v3 v4 v5", "v1 v2 v3 v4"]
+    rows = [(i, "\n".join(lines[i::20])) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/d")
+    docs, expected = spark.read.parquet(f"{tmp_path}/d"), lines_by_hand(rows)
+    tables, store = {}, line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, label: tables.setdefault(label, store(df, label)))
+    for block, groups in ((128, 16), (40, 2), (7, 3)):
+        monkeypatch.setattr(line_dedup, "BLOCK_LINES", block)
+        monkeypatch.setattr(line_dedup, "GROUP_BLOCKS", groups)
+        tables.clear()
+        found = similar_lines(docs).collect()
+        assert {(r.row, r.line_no): (r.n_words, r.links, r.removed) for r in found} == expected
+        assert tables["line-pairs"].count() <= 4  # 44,850 pairs of lines of the template
+    assert max(links for _, links, _ in expected.values()) == 299
+    # Without families every link is found as a pair: they bear on no result.
+    alone = lambda live: live.select("id", F.col("id").alias("family")).limit(0)
+    monkeypatch.setattr(line_dedup, "_families", alone)
+    tables.clear()
+    found = similar_lines(docs).collect()
+    assert {(r.row, r.line_no): (r.n_words, r.links, r.removed) for r in found} == expected
+    assert tables["line-pairs"].count() >= 44_850

@@ -3,10 +3,15 @@
 A line is the set of its words. Words are ordered by rarity, and a line's
 prefix are its rarest words: two lines whose sets reach a Jaccard similarity
 of 0.8 share words of their prefixes. Lines meet on such a word if their
-lengths allow the overlap the threshold asks for and if their bit sketches do.
-A pair then has to share as many prefix words as its overlap cannot do without,
-the first of them early enough (positional filter). What is left is confirmed
-on the words themselves, and a line goes if an earlier one is similar.
+lengths and its places allow the overlap the threshold asks for and if their
+bit sketches do. A line goes if an earlier one is similar, which the words
+themselves confirm.
+
+No step lists the pairs of a large group of similar lines. A semi join keeps
+the words on which a line meets any other. Lines that share two such words in
+a row are one family: its lines meet in blocks, and each counts its links where
+it meets them. Only lines of different families meet as pairs. So families may
+be drawn in any way; only the number of pairs depends on it.
 
 Every step is a DataFrame operation. Any fixed order of words gives the same
 result; rarity only keeps the candidates few. A word's rarity is a level on a
@@ -25,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import WHITE, stored, with_row
+from tripflow.llm.components import connected_components
 from tripflow.session import scratch_dir
 
 BUCKET_BITS = 18
@@ -34,11 +40,16 @@ _STEP = LEVELS / 64  # levels to a doubling, so that any long count has one
 # Lines that are looked up again are marked in so many bits; more lines than
 # that share bits, and are then shuffled without need.
 _MARK_BITS = 22
+# Lines of a family that meet at once, and how many blocks of them meet all
+# others in one group of rows: a larger family is dealt into more groups.
+BLOCK_LINES, GROUP_BLOCKS = 128, 16
 
 
 def _words(line: Column) -> Column:
+    """Runs of non-blanks. Where all blanks are spaces no pattern is needed."""
     trimmed = F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
-    return F.when(trimmed != "", F.split(trimmed, f"{WHITE}+")).otherwise(F.array())
+    by_pattern = F.when(trimmed != "", F.split(trimmed, f"{WHITE}+")).otherwise(F.array())
+    return F.when(line.rlike(r"[\x09-\x0D]"), by_pattern).otherwise(F.array_remove(F.split(line, " "), ""))
 
 
 def _bucket(hashed: Column) -> Column:
@@ -46,24 +57,21 @@ def _bucket(hashed: Column) -> Column:
 
 
 def _levels(hashed: DataFrame) -> Column:
-    """Level of every bucket by how many lines hold its words, as one constant array.
-
-    Already where a level belongs in a key, see ``_keys``.
-    """
+    """Level of every bucket by how many lines hold its words, as one constant array of bytes."""
     buckets = hashed.select(F.explode("hashes").alias("hash")).select(_bucket(F.col("hash")).alias("bucket"))
     counts = buckets.groupBy("bucket").count().toArrow()
     levels = [0] * (1 << BUCKET_BITS)
     pairs = zip(counts.column("bucket").to_pylist(), counts.column("count").to_pylist(), strict=True)
     for bucket, count in pairs:
-        levels[bucket] = int(_STEP * log2(count)) << _HASH_BITS
-    return F.from_json(F.lit(str(levels).replace(" ", "")), "array<long>")
+        levels[bucket] = int(_STEP * log2(count))
+    return F.from_json(F.lit(str(levels).replace(" ", "")), "array<tinyint>")
 
 
 def _keys(levels: Column) -> Column:
     """The hashes of a line as whole numbers above zero, the rarest word first."""
     low = F.lit((1 << _HASH_BITS) - 1)
-    key = lambda h: F.get(levels, _bucket(h)).bitwiseOR(h.bitwiseAND(low))
-    return F.sort_array(F.array_distinct(F.transform("hashes", key)))
+    level = lambda h: F.shiftleft(F.get(levels, _bucket(h)).cast("long"), _HASH_BITS)
+    return F.sort_array(F.transform("hashes", lambda h: level(h).bitwiseOR(h.bitwiseAND(low))))
 
 
 def _sketch(half: int) -> Column:
@@ -123,13 +131,12 @@ def similar_lines(
         f"transform(slice(keys, 1, n - cast({_least_share('n', percent)} AS int) + 1),"
         " k -> cast(k % 2147483647 as int))"
     )
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
     narrow = ["row", "doc_id", "line_no", "n", "class", "class2"]
     some = F.col("n") > 0
     with scratch_dir(spark, "line-keys") as keys, scratch_dir(spark, "line-postings") as posted:
         # Texts are split once; the hashes go when the keys are made of them.
         with scratch_dir(spark, "line-hashes") as split:
-            each.select("row", "doc_id", "line_no", hashes.alias("hashes")).write.parquet(split)
+            each.select("row", "doc_id", "line_no", hashes.alias("hashes")).write.option("parquet.enable.dictionary", "false").parquet(split)
             hashed = spark.read.parquet(split)
             keyed = hashed.withColumn("keys", _keys(_levels(hashed)))
             keyed.withColumn("n", F.size("keys")).select(
@@ -141,57 +148,107 @@ def similar_lines(
                 F.when(some, prefix).alias("prefix"),
             ).write.parquet(keys)
         wide = spark.read.parquet(keys)
+        # A count alone is summed up by hash; the first lines follow for those that need them.
         wide.filter("n > 0").groupBy("class", "class2", "n", "bits", "bits2", "prefix").agg(
-            F.min(order).alias("first"), F.count(F.lit(1)).alias("lines")
-        ).withColumn("id", F.monotonically_increasing_id()).write.parquet(posted)
-        lines = stored(wide.select(*narrow), "lines")
+            F.count(F.lit(1)).alias("lines")
+        ).select(
+            # In this order both sides of the join of postings read alike and share one shuffle.
+            F.monotonically_increasing_id().alias("id"), "n", "bits", "bits2", "prefix", "class", "class2", "lines",
+        ).write.parquet(posted)
         classes = spark.read.parquet(posted)
-        pairs = stored(_candidates(classes, percent), "line-pairs")
-        classes = stored(classes.select("id", "class", "class2", "first", "lines"), "line-classes")
+        live = stored(_live(classes, percent), "line-live")
+        met = stored(live.select("id", "bits", "bits2").distinct(), "line-met")
+        wanted = classes.join(met.select("id", F.lit(True).alias("met")), "id", "left")
+        wanted = wanted.filter("lines > 1 OR met").select("id", "class", "class2")
+        placed = wide.select(*narrow).join(wanted, ["class", "class2"], "left").drop("class", "class2")
+        placed = stored(placed, "line-placed")
 
-    found = classes.join(stored(_links(texts, classes, pairs, percent), "line-links"), "id", "left")
-    # What is neither repeated nor linked keeps the values of no match.
-    found = found.filter("lines > 1 OR links IS NOT NULL").select(
-        "class", "class2", F.struct("first.row", "first.line_no").alias("kept_at"), "links", "late"
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
+    again = placed.filter("id IS NOT NULL")
+    firsts = stored(again.groupBy("id").agg(F.min(order).alias("first")), "line-firsts")
+    links = stored(_links(texts, firsts.join(met, "id"), live, percent), "line-links")
+    found = firsts.join(links, "id", "left").select(
+        "id", F.struct("first.row", "first.line_no").alias("kept_at"), "links", "late"
     )
     here = F.struct("row", "line_no")
     late = F.coalesce("late", F.lit(False))
-    return lines.join(stored(found, "line-found"), ["class", "class2"], "left").select(
+    counted = again.join(found, "id").select(
         "row", "doc_id", "line_no", F.col("n").alias("n_words"),
-        F.coalesce("links", F.lit(0)).alias("links"),
-        F.coalesce(late | (here != F.col("kept_at")), F.lit(False)).alias("removed"),
+        F.coalesce("links", F.lit(0)).alias("links"), (late | (here != F.col("kept_at"))).alias("removed"),
     )
+    # A line that is neither repeated nor linked.
+    alone = placed.filter("id IS NULL").select(
+        "row", "doc_id", "line_no", F.col("n").alias("n_words"),
+        F.lit(0).cast("long").alias("links"), F.lit(False).alias("removed"),
+    )
+    return counted.union(alone)
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that pass the length, sketch, count and positional filters.
+def _meet(percent: int) -> Column:
+    """Whether two classes may be similar that share a word of their prefixes.
 
     o common words of sets with m and n reach the threshold t when
-    o >= t / (1 + t) * (m + n); in percent, (100 + p) * o >= p * (m + n). With
-    q = n - o + 2 words of each set, or all of its prefix if that is shorter,
-    a set has at most n - q of the o words beyond these, and the one whose q
-    words end first in the order of words shares all others: two of them, but
-    where a prefix is too short. So pairs meet on these words only, which are
-    fewer than the prefix for sets of like length.
+    o >= t / (1 + t) * (m + n); in percent, (100 + p) * o >= p * (m + n). The
+    first common word has o - 1 common words behind it in either set; places
+    one further on are let through for the second.
     """
-    posted = classes.select("id", "n", "bits", "bits2", F.posexplode("prefix").alias("at", "word"))
-    a, b = posted.alias("a"), posted.alias("b")
     p = percent
     long_enough = F.expr(f"100 * a.n >= {p} * b.n AND 100 * b.n >= {p} * a.n")
     near = F.expr(f"{100 + p} * (least(a.n - a.at, b.n - b.at) + 1) >= {p} * (a.n + b.n)")
-    # Words that one set lacks are at least as many as bits that differ.
-    differ = "(bit_count(a.bits ^ b.bits) + bit_count(a.bits2 ^ b.bits2))"
-    sketch = F.expr(f"{100 + p} * (a.n + b.n - {differ}) >= {2 * p} * (a.n + b.n)")
-    met = a.join(
-        b,
-        (F.col("a.word") == F.col("b.word"))
-        & (F.col("a.id") < F.col("b.id"))
-        & long_enough & near & sketch,
-    )
-    counted = met.groupBy(
+    return (F.col("a.word") == F.col("b.word")) & long_enough & near & F.expr(_sketches_allow("a.n + b.n", "a", "b", p))
+
+
+def _sketches_allow(both: str, a: str, b: str, p: int) -> str:
+    """Words that one set lacks are at least as many as bits that differ."""
+    differ = f"(bit_count({a}.bits ^ {b}.bits) + bit_count({a}.bits2 ^ {b}.bits2))"
+    return f"{100 + p} * {differ} <= {100 - p} * ({both})"
+
+
+def _live(classes: DataFrame, percent: int) -> DataFrame:
+    """The words of prefixes on which a class meets any other: a row each, whatever meets there."""
+    posted = classes.select("id", "n", "bits", "bits2", F.posexplode("prefix").alias("at", "word"))
+    a, b = posted.alias("a"), posted.alias("b")
+    return a.join(b, _meet(percent) & (F.col("a.id") != F.col("b.id")), "left_semi")
+
+
+def _families(live: DataFrame) -> DataFrame:
+    """Classes connected by two live words in a row: id, family. Linear in the words."""
+    words = F.array_sort(F.collect_list(F.struct("at", "word"))).getField("word")
+    two = F.expr("transform(sequence(1, size(words) - 1), i -> xxhash64(words[i - 1], words[i]))")
+    marks = live.groupBy("id").agg(words.alias("words")).filter("size(words) > 1")
+    marks = stored(marks.select("id", F.explode(two).alias("mark")), "line-marks")
+    least = marks.groupBy("mark").agg(F.min("id").alias("least"))
+    edges = stored(marks.join(least, "mark").filter("id <> least").select("id", "least"), "line-edges")
+    return connected_components(edges, "line-families").toDF("id", "family")
+
+
+def _sets(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """``places``, each a line, with its words, taken from the texts again."""
+    cut = texts.select("row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    cut = cut.filter(_marks(places)).join(places, ["row", "line_no"])
+    return cut.withColumn("words", F.array_distinct(_words(F.col("line")))).drop("row", "line_no", "line")
+
+
+def _similar(a: str, b: str, percent: int) -> str:
+    common = f"size(array_intersect({a}, {b}))"
+    return f"{100 + percent} * {common} >= {percent} * (size({a}) + size({b}))"
+
+
+def _pairs(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different families that pass the count and positional filters.
+
+    o common words of sets with m and n are needed. With q = n - o + 2 words of
+    each set, or all of its prefix if that is shorter, a set has at most n - q of
+    them beyond these, and the one whose q words end first in the order of words
+    shares all others: two of them, but where a prefix is too short.
+    """
+    a, b = met.alias("a"), met.alias("b")
+    apart = (F.col("a.family") != F.col("b.family")) & (F.col("a.id") < F.col("b.id"))
+    counted = a.join(b, apart & _meet(percent)).groupBy(
         F.col("a.id").alias("id"), F.col("b.id").alias("other"),
         F.col("a.n").alias("m"), F.col("b.n").alias("n"),
     ).agg(F.count(F.lit(1)).alias("shared"), F.min("a.at").alias("a_at"), F.min("b.at").alias("b_at"))
+    p = percent
     least = f"(({p} * (m + n) + {99 + p}) div {100 + p})"
     # Words of a set beyond its whole prefix: n - (n - least_share + 1).
     beyond = ", ".join(f"{_least_share(x, p)} - 1" for x in ("m", "n"))
@@ -201,28 +258,64 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     ).select("id", "other")
 
 
-def _links(texts: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _links(texts: DataFrame, firsts: DataFrame, live: DataFrame, percent: int) -> DataFrame:
     """Of every class with a similar one: how many there are, and if one comes earlier.
 
-    Words are taken again from the first line of a class, for candidates only.
+    Words are taken only for classes that are in a family or in a pair.
     """
-    wanted = pairs.select("id").union(pairs.select("other")).distinct()
-    firsts = classes.join(wanted, "id").select("id", "first")
-    firsts = stored(firsts.select("id", "first", "first.row", "first.line_no"), "line-firsts")
-    cut = texts.select("row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    cut = cut.filter(_marks(firsts)).join(firsts, ["row", "line_no"])
-    sets = stored(cut.select("id", "first", F.array_distinct(_words(F.col("line"))).alias("words")), "line-sets")
+    family = stored(_families(live), "line-family")
+    met = live.join(family, "id", "left").withColumn("family", F.coalesce("family", "id"))
+    met = stored(met, "line-met-words")
+    pairs = stored(_pairs(met, percent), "line-pairs")
+    sizes = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK_LINES).cast("int").alias("blocks"))
+    paired = pairs.select("id").union(pairs.select("other")).distinct()
+    places = firsts.join(family.join(sizes, "family"), "id", "left")
+    places = places.join(paired.withColumn("paired", F.lit(True)), "id", "left")
+    places = places.filter("paired OR family IS NOT NULL").withColumns(
+        {"row": F.col("first.row"), "line_no": F.col("first.line_no")}
+    )
+    sets = stored(_sets(texts, stored(places, "line-places")), "line-sets")
+    inside = _links_inside(sets.filter("family IS NOT NULL"), percent)
+    sets = sets.filter("paired").select("id", "first", "words")
     other = sets.toDF("other", "other_first", "other_words")
-    joined = pairs.join(sets, "id").join(other, "other")
-    common = F.size(F.array_intersect("words", "other_words"))
-    reached = 100 * common >= percent * (F.size("words") + F.size("other_words") - common)
+    joined = pairs.join(sets, "id").join(other, "other").filter(_similar("words", "other_words", percent))
     earlier = F.col("first") < F.col("other_first")
     ends = F.array(
-        F.struct(F.col("id").alias("id"), (~earlier).alias("late")),
-        F.struct(F.col("other").alias("id"), earlier.alias("late")),
+        F.struct(F.col("id").alias("id"), F.lit(1).cast("long").alias("links"), (~earlier).alias("late")),
+        F.struct(F.col("other").alias("id"), F.lit(1).cast("long").alias("links"), earlier.alias("late")),
     )
-    both = joined.filter(reached).select(F.inline(ends))
-    return both.groupBy("id").agg(F.count(F.lit(1)).alias("links"), F.bool_or("late").alias("late"))
+    both = inside.union(joined.select(F.inline(ends)))
+    return both.groupBy("id").agg(F.sum("links").alias("links"), F.bool_or("late").alias("late"))
+
+
+def _links_inside(sets: DataFrame, percent: int) -> DataFrame:
+    """The same for links within families: id, links, late, a row for each class and block it meets.
+
+    A family is dealt into blocks; every block meets every one, and each of its
+    lines counts what it finds there.
+    """
+    member = F.struct("id", "first", "words", "bits", "bits2", F.size("words").alias("n"))
+    block = F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block")
+    dealt = sets.groupBy("family", "blocks", block).agg(F.collect_list(member).alias("members"))
+    dealt = stored(dealt, "line-blocks")
+    group = F.floor(F.col("block") / GROUP_BLOCKS).cast("int")
+    groups = F.sequence(F.lit(0), F.floor((F.col("blocks") - 1) / GROUP_BLOCKS).cast("int"))
+    mine = dealt.select("family", group.alias("group"), "members")
+    theirs = dealt.select("family", F.explode(groups).alias("group"), F.col("members").alias("others"))
+    p = percent
+    reached = (
+        f"{_sketches_allow('x.n + y.n', 'x', 'y', p)} AND x.id <> y.id"
+        f" AND 100 * least(x.n, y.n) >= {p} * greatest(x.n, y.n) AND {_similar('x.words', 'y.words', p)}"
+    )
+    # Links in the lower half, those to earlier lines in the upper: one pass.
+    here = f"aggregate(others, 0L, (sum, y) -> sum + if({reached}, if(y.first < x.first, {(1 << 32) + 1}L, 1L), 0L))"
+    found = mine.join(theirs, ["family", "group"]).select(
+        F.expr(f"inline(transform(members, x -> struct(x.id AS id, {here} AS found)))")
+    )
+    return found.filter("found > 0").select(
+        "id", F.col("found").bitwiseAND(F.lit((1 << 32) - 1)).alias("links"),
+        (F.shiftright("found", 32) > 0).alias("late"),
+    )
 
 
 def line_report(
