@@ -119,9 +119,9 @@ def similar_lines(
     ignored; an empty table gives an empty result; texts are read as a whole,
     however long, and rows that repeat are lines of their own.
 
-    Words of a line count as one if 56 bits of their hash and their level
-    agree, and two sets as one class if 128 bits of theirs do; pairs of classes
-    are confirmed on the words.
+    Words of a line count as one if 64 bits of their hash agree, and two sets
+    as one class if 128 bits of theirs do; pairs of classes are confirmed on
+    the words.
     """
     spark = docs.sparkSession
     texts = _lines(docs, id_col, text_col)
@@ -136,7 +136,8 @@ def similar_lines(
     with scratch_dir(spark, "line-keys") as keys, scratch_dir(spark, "line-postings") as posted:
         # Texts are split once; the hashes go when the keys are made of them.
         with scratch_dir(spark, "line-hashes") as split:
-            each.select("row", "doc_id", "line_no", hashes.alias("hashes")).write.option("parquet.enable.dictionary", "false").parquet(split)
+            each = each.select("row", "doc_id", "line_no", hashes.alias("hashes"))
+            each.write.option("parquet.enable.dictionary", "false").parquet(split)
             hashed = spark.read.parquet(split)
             keyed = hashed.withColumn("keys", _keys(_levels(hashed)))
             keyed.withColumn("n", F.size("keys")).select(
