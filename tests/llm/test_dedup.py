@@ -295,3 +295,28 @@ def test_similar_lines_of_a_template_make_no_pairs(spark, tmp_path, monkeypatch)
     found = similar_lines(docs).collect()
     assert {(r.row, r.line_no): (r.n_words, r.links, r.removed) for r in found} == expected
     assert tables["line-pairs"].count() >= 44_850
+
+
+def test_lines_of_large_families_meet_as_forms(spark, tmp_path, monkeypatch):
+    """Edited copies of one line equal brute force; a template's lines, alike but for one word, are one form."""
+    draw = np.random.default_rng(5)
+    base, lines = [f"b{i}" for i in range(60)], []
+    for i in range(90):
+        own = [w for w in base if draw.random() > 0.06] + [f"e{x}" for x in draw.integers(0, 30, draw.integers(0, 5))]
+        lines.append(("\t" if i % 7 == 0 else "  ").join(own))
+    lines += [" ".join([*stem, f"{end}{i}"]) for i in range(40) for stem, end in ((base[:19], "x"), (base[20:28], "y"))]
+    lines += ["", "\t", " a  b \r c", "a b c"]
+    rows = [(i, "\n".join(lines[i::20])) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/d")
+    docs, expected = spark.read.parquet(f"{tmp_path}/d"), lines_by_hand(rows)
+    tables, store = {}, line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, label: tables.setdefault(label, store(df, label)))
+    for few, bits, block, groups in ((2, 4, 128, 16), (2, 1, 7, 3)):
+        for name, value in zip(("FEW_LINES", "SHARED_BITS", "BLOCK_LINES", "GROUP_BLOCKS"), (few, bits, block, groups), strict=True):
+            monkeypatch.setattr(line_dedup, name, value)
+        tables.clear()
+        found = similar_lines(docs).collect()
+        assert {(r.row, r.line_no): (r.n_words, r.links, r.removed) for r in found} == expected
+        forms = tables["line-family-forms"]
+        # The lines x: with the word left out that only one of them has they are the same.
+        assert [r.lines for r in forms.filter("n = 20").collect()] == [40]

@@ -27,9 +27,10 @@ from __future__ import annotations
 from math import log2
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import WHITE, stored, with_row
+from tripflow.llm.common import stored, with_row
 from tripflow.llm.components import connected_components
 from tripflow.session import scratch_dir
 
@@ -43,13 +44,16 @@ _MARK_BITS = 22
 # Lines of a family that meet at once, and how many blocks of them meet all
 # others in one group of rows: a larger family is dealt into more groups.
 BLOCK_LINES, GROUP_BLOCKS = 128, 16
+# As many words make a block of fewer lines.
+BLOCK_WORDS = 1 << 16
+# Lines of larger families are compared by bits for their family's most frequent words.
+FEW_LINES, SHARED_BITS = 32, 4
 
 
 def _words(line: Column) -> Column:
-    """Runs of non-blanks. Where all blanks are spaces no pattern is needed."""
-    trimmed = F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
-    by_pattern = F.when(trimmed != "", F.split(trimmed, f"{WHITE}+")).otherwise(F.array())
-    return F.when(line.rlike(r"[\x09-\x0D]"), by_pattern).otherwise(F.array_remove(F.split(line, " "), ""))
+    """Hashes of the distinct runs of non-blanks; all blanks are spaces by now."""
+    hashes = F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)))
+    return F.array_remove(hashes, F.xxhash64(F.lit("")))
 
 
 def _bucket(hashed: Column) -> Column:
@@ -59,7 +63,14 @@ def _bucket(hashed: Column) -> Column:
 def _levels(hashed: DataFrame) -> Column:
     """Level of every bucket by how many lines hold its words, as one constant array of bytes."""
     buckets = hashed.select(F.explode("hashes").alias("hash")).select(_bucket(F.col("hash")).alias("bucket"))
-    counts = buckets.groupBy("bucket").count().toArrow()
+    # All buckets fit into the compact map that Spark tries first.
+    conf, size = hashed.sparkSession.conf, "spark.sql.codegen.aggregate.fastHashMap.capacityBit"
+    before = conf.get(size, None)
+    conf.set(size, str(BUCKET_BITS))
+    try:
+        counts = buckets.groupBy("bucket").count().toArrow()
+    finally:
+        conf.unset(size) if before is None else conf.set(size, before)
     levels = [0] * (1 << BUCKET_BITS)
     pairs = zip(counts.column("bucket").to_pylist(), counts.column("count").to_pylist(), strict=True)
     for bucket, count in pairs:
@@ -74,10 +85,9 @@ def _keys(levels: Column) -> Column:
     return F.sort_array(F.transform("hashes", lambda h: level(h).bitwiseOR(h.bitwiseAND(low))))
 
 
-def _sketch(half: int) -> Column:
-    """A bit for each of a line's keys in one of two halves of 64."""
-    bit = "shiftleft(1L, cast(k & 63 AS int))"
-    return F.expr(f"aggregate(keys, 0L, (acc, k) -> acc | if((k & 64) = {64 * half}, {bit}, 0L))")
+def _sketch(words: str) -> Column:
+    """64 bits, of which every word turns one."""
+    return F.expr(f"aggregate({words}, 0L, (acc, k) -> acc ^ shiftleft(1L, cast(k & 63 AS int)))")
 
 
 def _least_share(n: str, percent: int) -> str:
@@ -86,7 +96,10 @@ def _least_share(n: str, percent: int) -> str:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Texts with their ids and rows; blanks within lines become spaces."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    spaced = F.translate(text, "\t\x0b\x0c\r", " " * 4)
+    text = F.when(text.rlike(r"[\x09\x0B-\x0D]"), spaced).otherwise(text)
     return with_row(docs.select(F.col(id_col).alias("doc_id"), text.alias("text")))
 
 
@@ -126,7 +139,6 @@ def similar_lines(
     spark = docs.sparkSession
     texts = _lines(docs, id_col, text_col)
     each = texts.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))
     prefix = F.expr(
         f"transform(slice(keys, 1, n - cast({_least_share('n', percent)} AS int) + 1),"
         " k -> cast(k % 2147483647 as int))"
@@ -136,7 +148,7 @@ def similar_lines(
     with scratch_dir(spark, "line-keys") as keys, scratch_dir(spark, "line-postings") as posted:
         # Texts are split once; the hashes go when the keys are made of them.
         with scratch_dir(spark, "line-hashes") as split:
-            each = each.select("row", "doc_id", "line_no", hashes.alias("hashes"))
+            each = each.select("row", "doc_id", "line_no", _words(F.col("line")).alias("hashes"))
             each.write.option("parquet.enable.dictionary", "false").parquet(split)
             hashed = spark.read.parquet(split)
             keyed = hashed.withColumn("keys", _keys(_levels(hashed)))
@@ -144,21 +156,20 @@ def similar_lines(
                 "row", "doc_id", "line_no", "n",
                 F.xxhash64("keys").alias("class"),
                 F.xxhash64(F.lit(1), "keys").alias("class2"),
-                F.when(some, _sketch(0)).alias("bits"),
-                F.when(some, _sketch(1)).alias("bits2"),
+                F.when(some, _sketch("keys")).alias("bits"),
                 F.when(some, prefix).alias("prefix"),
-            ).write.parquet(keys)
+            ).write.option("parquet.enable.dictionary", "false").parquet(keys)
         wide = spark.read.parquet(keys)
         # A count alone is summed up by hash; the first lines follow for those that need them.
-        wide.filter("n > 0").groupBy("class", "class2", "n", "bits", "bits2", "prefix").agg(
+        wide.filter("n > 0").groupBy("class", "class2", "n", "bits", "prefix").agg(
             F.count(F.lit(1)).alias("lines")
         ).select(
             # In this order both sides of the join of postings read alike and share one shuffle.
-            F.monotonically_increasing_id().alias("id"), "n", "bits", "bits2", "prefix", "class", "class2", "lines",
-        ).write.parquet(posted)
+            F.monotonically_increasing_id().alias("id"), "n", "bits", "prefix", "class", "class2", "lines",
+        ).write.option("parquet.enable.dictionary", "false").parquet(posted)
         classes = spark.read.parquet(posted)
-        live = stored(_live(classes, percent), "line-live")
-        met = stored(live.select("id", "bits", "bits2").distinct(), "line-met")
+        live = F.array_sort(F.collect_list(F.struct("at", "word"))).alias("live")
+        met = stored(_live(classes, percent).groupBy("id", "n", "bits").agg(live), "line-met")
         wanted = classes.join(met.select("id", F.lit(True).alias("met")), "id", "left")
         wanted = wanted.filter("lines > 1 OR met").select("id", "class", "class2")
         placed = wide.select(*narrow).join(wanted, ["class", "class2"], "left").drop("class", "class2")
@@ -167,7 +178,7 @@ def similar_lines(
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
     again = placed.filter("id IS NOT NULL")
     firsts = stored(again.groupBy("id").agg(F.min(order).alias("first")), "line-firsts")
-    links = stored(_links(texts, firsts.join(met, "id"), live, percent), "line-links")
+    links = stored(_links(texts, firsts, met, percent), "line-links")
     found = firsts.join(links, "id", "left").select(
         "id", F.struct("first.row", "first.line_no").alias("kept_at"), "links", "late"
     )
@@ -196,27 +207,24 @@ def _meet(percent: int) -> Column:
     p = percent
     long_enough = F.expr(f"100 * a.n >= {p} * b.n AND 100 * b.n >= {p} * a.n")
     near = F.expr(f"{100 + p} * (least(a.n - a.at, b.n - b.at) + 1) >= {p} * (a.n + b.n)")
-    return (F.col("a.word") == F.col("b.word")) & long_enough & near & F.expr(_sketches_allow("a.n + b.n", "a", "b", p))
+    # Words that one set lacks are at least as many as bits that differ.
+    sketches = F.expr(f"{100 + p} * bit_count(a.bits ^ b.bits) <= {100 - p} * (a.n + b.n)")
+    return (F.col("a.word") == F.col("b.word")) & long_enough & near & sketches
 
 
-def _sketches_allow(both: str, a: str, b: str, p: int) -> str:
-    """Words that one set lacks are at least as many as bits that differ."""
-    differ = f"(bit_count({a}.bits ^ {b}.bits) + bit_count({a}.bits2 ^ {b}.bits2))"
-    return f"{100 + p} * {differ} <= {100 - p} * ({both})"
 
 
 def _live(classes: DataFrame, percent: int) -> DataFrame:
     """The words of prefixes on which a class meets any other: a row each, whatever meets there."""
-    posted = classes.select("id", "n", "bits", "bits2", F.posexplode("prefix").alias("at", "word"))
+    posted = classes.select("id", "n", "bits", F.posexplode("prefix").alias("at", "word"))
     a, b = posted.alias("a"), posted.alias("b")
     return a.join(b, _meet(percent) & (F.col("a.id") != F.col("b.id")), "left_semi")
 
 
-def _families(live: DataFrame) -> DataFrame:
+def _families(met: DataFrame) -> DataFrame:
     """Classes connected by two live words in a row: id, family. Linear in the words."""
-    words = F.array_sort(F.collect_list(F.struct("at", "word"))).getField("word")
-    two = F.expr("transform(sequence(1, size(words) - 1), i -> xxhash64(words[i - 1], words[i]))")
-    marks = live.groupBy("id").agg(words.alias("words")).filter("size(words) > 1")
+    two = F.expr("transform(sequence(1, size(live) - 1), i -> xxhash64(live[i - 1].word, live[i].word))")
+    marks = met.filter("size(live) > 1")
     marks = stored(marks.select("id", F.explode(two).alias("mark")), "line-marks")
     least = marks.groupBy("mark").agg(F.min("id").alias("least"))
     edges = stored(marks.join(least, "mark").filter("id <> least").select("id", "least"), "line-edges")
@@ -224,10 +232,10 @@ def _families(live: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """``places``, each a line, with its words, taken from the texts again."""
+    """``places``, each a line, with the hashes of its words, taken from the texts again."""
     cut = texts.select("row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     cut = cut.filter(_marks(places)).join(places, ["row", "line_no"])
-    return cut.withColumn("words", F.array_distinct(_words(F.col("line")))).drop("row", "line_no", "line")
+    return cut.withColumn("words", _words(F.col("line"))).drop("row", "line_no", "line")
 
 
 def _similar(a: str, b: str, percent: int) -> str:
@@ -259,20 +267,19 @@ def _pairs(met: DataFrame, percent: int) -> DataFrame:
     ).select("id", "other")
 
 
-def _links(texts: DataFrame, firsts: DataFrame, live: DataFrame, percent: int) -> DataFrame:
+def _links(texts: DataFrame, firsts: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     """Of every class with a similar one: how many there are, and if one comes earlier.
 
     Words are taken only for classes that are in a family or in a pair.
     """
-    family = stored(_families(live), "line-family")
-    met = live.join(family, "id", "left").withColumn("family", F.coalesce("family", "id"))
-    met = stored(met, "line-met-words")
-    pairs = stored(_pairs(met, percent), "line-pairs")
-    sizes = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK_LINES).cast("int").alias("blocks"))
+    family = stored(_families(met), "line-family")
+    words = met.join(family, "id", "left").withColumn("family", F.coalesce("family", "id"))
+    words = stored(words.select("id", "n", "bits", "family", F.inline("live")), "line-met-words")
+    pairs = stored(_pairs(words, percent), "line-pairs")
+    sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("lines"))
     paired = pairs.select("id").union(pairs.select("other")).distinct()
-    places = firsts.join(family.join(sizes, "family"), "id", "left")
-    places = places.join(paired.withColumn("paired", F.lit(True)), "id", "left")
-    places = places.filter("paired OR family IS NOT NULL").withColumns(
+    wanted = family.join(sizes, "family").join(paired.withColumn("paired", F.lit(True)), "id", "full")
+    places = firsts.join(wanted, "id").withColumns(
         {"row": F.col("first.row"), "line_no": F.col("first.line_no")}
     )
     sets = stored(_sets(texts, stored(places, "line-places")), "line-sets")
@@ -289,34 +296,99 @@ def _links(texts: DataFrame, firsts: DataFrame, live: DataFrame, percent: int) -
     return both.groupBy("id").agg(F.sum("links").alias("links"), F.bool_or("late").alias("late"))
 
 
+def _forms(lines: DataFrame) -> DataFrame:
+    """Lines of large families by what they share there: id, first, n, bits0 to bits3, rest, form, form2.
+
+    A word has a bit if it is one of the 256 that most lines of its family have,
+    and is left out if no other line has it; the rest are listed. Two lines
+    share what their bits and their rests do. Lines with the same n, bits and
+    rest are one form.
+    """
+    key = ["family", "word"]
+    words = lines.select("id", "family", F.explode("words").alias("word"))
+    often = words.groupBy(*key).agg(F.count(F.lit(1)).alias("found")).filter("found > 1")
+    often = stored(often, "line-family-words")
+    place = F.row_number().over(W.partitionBy("family").orderBy(F.desc("found"), "word")) - 1
+    top = often.withColumn("place", place).filter(f"place < {64 * SHARED_BITS}").select(*key, "place")
+    bits = [f"bits{k}" for k in range(SHARED_BITS)]
+    marked = [
+        F.bit_or(F.expr(f"if(place div 64 = {k}, shiftleft(1L, cast(place % 64 AS int)), 0L)")).alias(name)
+        for k, name in enumerate(bits)
+    ]
+    rest = F.sort_array(F.collect_list(F.when(F.col("place").isNull(), F.col("word")))).alias("rest")
+    held = words.join(often.join(top, key, "left").drop("found"), key).groupBy("id").agg(*marked, rest)
+    found = lines.select("id", "first", "family", F.size("words").alias("n")).join(held, "id", "left")
+    none = F.array().cast("array<long>")
+    found = found.withColumns({b: F.coalesce(b, F.lit(0).cast("long")) for b in bits} | {"rest": F.coalesce("rest", none)})
+    form = {"form": F.xxhash64("n", *bits, "rest"), "form2": F.xxhash64(F.lit(1), "n", *bits, "rest")}
+    return found.withColumns(form)
+
+
 def _links_inside(sets: DataFrame, percent: int) -> DataFrame:
-    """The same for links within families: id, links, late, a row for each class and block it meets.
+    """The same for links within families: id, links, late."""
+    member = F.struct("id", "first", "words", F.size("words").alias("n"))
+    few = sets.filter(f"lines <= {FEW_LINES}").groupBy("family").agg(F.collect_list(member).alias("members"))
+    reached = (
+        f"x.id <> y.id AND 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
+        f" AND {_similar('x.words', 'y.words', percent)}"
+    )
+    # Links in the lower half, those to earlier lines in the upper: one pass.
+    here = f"aggregate(members, 0L, (sum, y) -> sum + if({reached}, if(y.first < x.first, {(1 << 32) + 1}L, 1L), 0L))"
+    found = few.select(F.expr(f"inline(transform(members, x -> struct(x.id AS id, {here} AS found)))"))
+    found = found.filter("found > 0").select(
+        "id", F.col("found").bitwiseAND(F.lit((1 << 32) - 1)).alias("links"),
+        (F.shiftright("found", 32) > 0).alias("late"),
+    )
+    return found.union(_links_of_forms(sets.filter(f"lines > {FEW_LINES}"), percent))
 
-    A family is dealt into blocks; every block meets every one, and each of its
-    lines counts what it finds there.
+
+def _links_of_forms(lines: DataFrame, percent: int) -> DataFrame:
+    """The same for large families.
+
+    The forms of a family are dealt into blocks; every block meets all others,
+    a group of them at once, and each of its forms counts the lines it finds
+    there and keeps the first of them.
     """
-    member = F.struct("id", "first", "words", "bits", "bits2", F.size("words").alias("n"))
-    block = F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block")
-    dealt = sets.groupBy("family", "blocks", block).agg(F.collect_list(member).alias("members"))
+    key, bits = ["family", "form", "form2"], [f"bits{k}" for k in range(SHARED_BITS)]
+    lines = stored(_forms(lines), "line-forms")
+    forms = stored(
+        lines.groupBy(*key, "n", *bits, "rest").agg(
+            F.count(F.lit(1)).alias("lines"), F.min("first").alias("first")
+        ),
+        "line-family-forms",
+    )
+    blocks = F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_LINES), F.ceil(F.sum(F.size("rest")) / BLOCK_WORDS)
+    )
+    forms = forms.join(forms.groupBy("family").agg(blocks.cast("int").alias("blocks")), "family")
+    block = F.pmod(F.xxhash64("form", "form2"), "blocks").cast("int").alias("block")
+    p = percent
+    least, most = F.expr(_least_share("n", p)).alias("least"), F.expr(f"100 * n div {p}").alias("most")
+    member = F.struct("form", "form2", "n", least, most, *bits, F.size("rest").alias("size"), "rest", "lines", "first")
+    dealt = forms.groupBy("family", "blocks", block).agg(F.collect_list(member).alias("members"))
     dealt = stored(dealt, "line-blocks")
     group = F.floor(F.col("block") / GROUP_BLOCKS).cast("int")
     groups = F.sequence(F.lit(0), F.floor((F.col("blocks") - 1) / GROUP_BLOCKS).cast("int"))
-    mine = dealt.select("family", group.alias("group"), "members")
-    theirs = dealt.select("family", F.explode(groups).alias("group"), F.col("members").alias("others"))
-    p = percent
+    mine = dealt.select("family", F.explode(groups).alias("group"), "members")
+    theirs = dealt.groupBy("family", group.alias("group")).agg(F.flatten(F.collect_list("members")).alias("others"))
+    common = " + ".join(f"bit_count(x.{b} & y.{b})" for b in bits)
+    enough = f">= {p} * (x.n + y.n)"
+    # Rests are compared only if they may decide it.
     reached = (
-        f"{_sketches_allow('x.n + y.n', 'x', 'y', p)} AND x.id <> y.id"
-        f" AND 100 * least(x.n, y.n) >= {p} * greatest(x.n, y.n) AND {_similar('x.words', 'y.words', p)}"
+        f"y.n >= x.least AND y.n <= x.most AND {100 + p} * ({common} + least(x.size, y.size)) {enough}"
+        f" AND (x.size = 0 OR y.size = 0 OR"
+        f" {100 + p} * ({common} + size(array_intersect(x.rest, y.rest))) {enough})"
     )
-    # Links in the lower half, those to earlier lines in the upper: one pass.
-    here = f"aggregate(others, 0L, (sum, y) -> sum + if({reached}, if(y.first < x.first, {(1 << 32) + 1}L, 1L), 0L))"
+    near = f"transform(members, x -> struct(x, filter(others, y -> {reached}) AS near))"
+    # A form finds itself too if its own lines are similar.
+    count = "aggregate(z.near, 0L, (sum, y) -> sum + y.lines - if(y.form = z.x.form AND y.form2 = z.x.form2, 1L, 0L))"
+    first = "array_min(transform(z.near, y -> y.first))"
     found = mine.join(theirs, ["family", "group"]).select(
-        F.expr(f"inline(transform(members, x -> struct(x.id AS id, {here} AS found)))")
+        "family",
+        F.expr(f"inline(transform({near}, z -> struct(z.x.form, z.x.form2, {count} AS links, {first} AS least)))"),
     )
-    return found.filter("found > 0").select(
-        "id", F.col("found").bitwiseAND(F.lit((1 << 32) - 1)).alias("links"),
-        (F.shiftright("found", 32) > 0).alias("late"),
-    )
+    found = found.filter("links > 0").groupBy(*key).agg(F.sum("links").alias("links"), F.min("least").alias("least"))
+    return lines.join(found, key).select("id", "links", (F.col("least") < F.col("first")).alias("late"))
 
 
 def line_report(
