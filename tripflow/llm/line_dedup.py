@@ -4,14 +4,15 @@ A line is the set of its words. Words are ordered by rarity, and a line's
 prefix are its rarest words: two lines whose sets reach a Jaccard similarity
 of 0.8 share words of their prefixes. Lines meet on such a word if their
 lengths and its places allow the overlap the threshold asks for and if their
-bit sketches do. A line goes if an earlier one is similar, which the words
-themselves confirm.
+bit sketches do. A line goes if an earlier one is similar, which the hashes of
+all words confirm.
 
 No step lists the pairs of a large group of similar lines. A semi join keeps
 the words on which a line meets any other. Lines that share two such words in
 a row are one family: its lines meet in blocks, and each counts its links where
-it meets them. Only lines of different families meet as pairs. So families may
-be drawn in any way; only the number of pairs depends on it.
+it meets them. In a large family lines that differ only in words of their own
+are one form and meet the others once. Only lines of different families meet as
+pairs. So families may be drawn in any way; only the number of pairs depends on it.
 
 Every step is a DataFrame operation. Any fixed order of words gives the same
 result; rarity only keeps the candidates few. A word's rarity is a level on a
@@ -133,8 +134,8 @@ def similar_lines(
     however long, and rows that repeat are lines of their own.
 
     Words of a line count as one if 64 bits of their hash agree, and two sets
-    as one class if 128 bits of theirs do; pairs of classes are confirmed on
-    the words.
+    as one class or form if 128 bits of theirs do; pairs of classes are
+    confirmed on the hashes of all their words.
     """
     spark = docs.sparkSession
     texts = _lines(docs, id_col, text_col)
